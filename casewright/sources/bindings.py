@@ -208,7 +208,7 @@ class Bindings:
             "concat(case_id, '.V', cast(1 + k % 3 as string)) as victim_id",
             "concat('Sheet victim ', cast(k as string)) as name", "'' as phone", "'' as address",
             "'' as social_media", "'' as narrative", "'' as irf_case_notes",
-            f"{self.STATUS}[cast((cn + k % 3) % 4 as int)] as case_status",
+            f"{self.STATUS}[cast((cn div 3 + (k % 3) div 2) % 4 as int)] as case_status",
             "'' as suspects_identified_and_located", "'' as priority",
             "case when k % 23 = 0 then '07/03/2001' else '' end as date_closed",
         )
@@ -302,4 +302,4 @@ class Bindings:
         return self.case_form.join(self.person_box, F.col("id") == F.col("cif_id")).filter(
             "pb_number is not null").selectExpr(
             f"concat({case_number('(cif_id div 3)')}, '.PB', cast(pb_number as string)) as suspect_id",
-            "cif_id", "interview_date", "(cif_id * 37 + pb_number * 11) % 997 / 997.0D as soc")
+            "cif_number", "interview_date", "(cif_id * 37 + pb_number * 11) % 997 / 997.0D as soc")
