@@ -350,8 +350,7 @@ def p17_drop_empty(b):
 
 @query
 def p18_features(b):
-    return features.drop_empty_features(feature_rows(b), (*fv.ROW_IDENTITY_COLUMNS, "arrest")).drop(
-        "case_notes", "recruited_agency")
+    return features.drop_empty_features(feature_rows(b), (*fv.ROW_IDENTITY_COLUMNS, "arrest")).drop("case_notes")
 
 
 @query

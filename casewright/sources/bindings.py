@@ -25,7 +25,7 @@ def flag_sql(i: int, name: str) -> str:
     if name == "exploitation_organ_removal_occ":
         return f"false as {name}"
     return (f"case when (o_orderkey + {i}) % 41 = 0 then cast(null as boolean) "
-            f"else (o_orderkey * {2 * i + 3} + {i * i}) % {3 + i % 5} = 0 end as {name}")
+            f"else (o_orderkey * {2 * i + 3} + {i * i}) % 97 < {20 + 10 * (i % 5)} end as {name}")
 
 
 class Bindings:
