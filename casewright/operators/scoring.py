@@ -173,8 +173,12 @@ def case_measures(settings: Settings, victims: DataFrame | None = None,
     if forms is not None:
         measures = [F.col("interview_date")]
         if "arrest" in forms.columns and arrests is None:
-            parts.append(forms.select(ids.case_of_suspect("suspect_id").alias("case_id"),
-                                      F.col("arrest").alias("others_arrested")))
+            # A suspect id starts with the case of its form, so both keys lead to the same case.
+            arrest = F.col("arrest").alias("others_arrested")
+            if legacy_case_key:
+                parts.append(forms.select(ids.case_of_suspect("suspect_id").alias("case_id"), arrest))
+            else:
+                measures.append(arrest)
         if set(settings.belief_weights) <= set(forms.columns):
             measures.append(belief_weight(settings).alias("belief_score"))
         if set(settings.exploitation_weights) & set(forms.columns):

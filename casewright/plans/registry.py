@@ -31,14 +31,20 @@ COMPACT_FOLDS = 2
 QUERIES: dict = {}
 
 
+def settle_on(spark: SparkSession):
+    return lambda name, df: cut_lineage(spark, name, df)
+
+
 def query(fn):
     """Register a query under the function's name."""
     QUERIES[fn.__name__] = lambda spark, folder: fn(Bindings(spark, folder))
     return fn
 
 
-def settle_on(spark: SparkSession):
-    return lambda name, df: cut_lineage(spark, name, df)
+def branching_query(fn):
+    """Register a query that reads the box lines along many branches: they are written down once."""
+    QUERIES[fn.__name__] = lambda spark, folder: fn(Bindings(spark, folder, settle_on(spark)))
+    return fn
 
 
 # --- shared intermediates ------------------------------------------------------------------------
@@ -60,27 +66,25 @@ def feature_rows(b: Bindings) -> DataFrame:
     return runs.model_features(noted_forms(b), SETTINGS)
 
 
-def new_suspects(b: Bindings) -> DataFrame:
-    return people.suspect_rows(noted_forms(b))
+def new_suspects(b: Bindings, forms: DataFrame | None = None) -> DataFrame:
+    return people.suspect_rows(noted_forms(b) if forms is None else forms)
 
 
 def new_victims(b: Bindings) -> DataFrame:
     return people.victim_rows(relational.scan_victims(b, SETTINGS.country))
 
 
-def groups(b: Bindings):
-    return runs.entity_groups(b, new_suspects(b), new_victims(b))
-
-
-def arrested_ids(b: Bindings) -> DataFrame:
-    return suspect_forms(b).filter(F.col("arrested") == "Yes").select("suspect_id")
+def groups(b: Bindings, forms: DataFrame | None = None):
+    return runs.entity_groups(b, new_suspects(b, forms), new_victims(b))
 
 
 def closed_groups(b: Bindings):
     """The three groups after finished rows were closed."""
-    arrested = arrested_ids(b)
-    return [lifecycle.close_finished(lifecycle.combine(g), None if g.name == "victims" else arrested)
-            for g in groups(b)]
+    settle = settle_on(b.spark)
+    forms = settle("forms", noted_forms(b))
+    arrested = forms.filter(F.col("arrested") == "Yes").select("suspect_id")
+    return [lifecycle.close_finished(lifecycle.combine(g), None if g.name == "victims" else arrested, settle)
+            for g in groups(b, forms)]
 
 
 def case_scores(b: Bindings, settings: Settings = PLAIN, **parts) -> DataFrame:
@@ -582,18 +586,18 @@ def w3_first_row_fill(b):
 # --- sorting and sets ---------------------------------------------------------------------------------------
 
 
-@query
+@branching_query
 def t1_sort_by_priority(b):
     return ranking.by_priority(_scored(b, PLAIN).select("suspect_id", "priority"), "suspect_id")
 
 
-@query
+@branching_query
 def t2_top_rows(b):
     return ranking.top_rows(_scored(b, PLAIN).select("suspect_id", "case_id", "priority"), "suspect_id",
                             PLAIN.published_rows)
 
 
-@query
+@branching_query
 def t3_link_work_list(b):
     return ranking.link_sheet_work_list(_scored(b, PLAIN), 200).select(
         "sheet_id", "name", "case_id", "suspect_case_id", "source")
@@ -646,12 +650,12 @@ def _slim(group: EntityGroup, df: DataFrame) -> DataFrame:
                      F.col(name).alias("name"), "case_status", "date_closed")
 
 
-@query
+@branching_query
 def l1_combine(b):
     return unions.by_name(*[_slim(g, lifecycle.combine(g).active) for g in groups(b)])
 
 
-@query
+@branching_query
 def l2_close_finished(b):
     rows = []
     for g in closed_groups(b):
@@ -660,7 +664,7 @@ def l2_close_finished(b):
     return unions.by_name(*rows)
 
 
-@query
+@branching_query
 def l3_propagate_closing(b):
     rows = []
     for g in lifecycle.propagate_closing(*closed_groups(b), settle=settle_on(b.spark)):
@@ -687,19 +691,19 @@ def l6_located_names(b):
                                        "victim_id").select("victim_id", "suspects_identified_and_located")
 
 
-@query
+@branching_query
 def l7_copy_priority(b):
     return lifecycle.copy_priority(_scored(b, PLAIN), b.victims_sheet, "case_id", "victim_id").select(
         "victim_id", "priority", "narrative")
 
 
-@query
+@branching_query
 def l7b_copy_priority_police(b):
     return lifecycle.copy_priority(_scored(b, PLAIN), b.police_sheet, "suspect_id", "suspect_id",
                                    how="inner").select("suspect_id", "priority", "narrative")
 
 
-@query
+@branching_query
 def l8_case_roll_up(b):
     suspects = lifecycle.add_willing_names(
         _scored(b, PLAIN), aggregates.willing_victims(b.victims_sheet), "suspect_id")
@@ -729,7 +733,7 @@ def c1_willing_score(b):
     return case_scores(b, victims=b.victims_sheet).select("suspect_id", "willing_score")
 
 
-@query
+@branching_query
 def c2_arrest_scores(b):
     scores = case_scores(b, police=b.police_sheet, forms=feature_rows(b))
     return scores.withColumn("bio_known", scoring.bio_known(PLAIN)).select(
@@ -798,7 +802,7 @@ def c9_strength(b):
         "suspect_id", "strength_of_case")
 
 
-@query
+@branching_query
 def c10_weights(b):
     """Solvability under weights read from a parameter table with a blank cell."""
     rows = [(k, "" if k == "PV_Believes" else str(v)) for k, v in fv.SOLVABILITY_WEIGHTS.items()]
@@ -807,24 +811,24 @@ def c10_weights(b):
     return _scored(b, settings).select("suspect_id", F.round("solvability", 6).alias("solvability"))
 
 
-@query
+@branching_query
 def c11_solvability(b):
     return _scored(b, PLAIN).select("suspect_id", F.round("solvability", 6).alias("solvability"))
 
 
-@query
+@branching_query
 def c12_priority(b):
     return _scored(b, PLAIN).select("suspect_id", "priority")
 
 
-@query
+@branching_query
 def c13_all_scores(b):
     return ranking.top_rows(_scored(b, SETTINGS, _links_by_suspect(b)), "suspect_id", SETTINGS.published_rows).select(
         "suspect_id", "priority", "strength_of_case", F.round("solvability", 6).alias("solvability"),
         F.round("eminence_score", 6).alias("eminence_score"))
 
 
-@query
+@branching_query
 def c13b_all_scores_v2(b):
     """The older chain: five terms, missing ones make the priority 0; arrests from their sheet."""
     settings = replace(PLAIN, variant="v2", bio_mode="v2")
@@ -888,8 +892,8 @@ def m5_fit_predict(b):
 @query
 def m6_grid_search(b):
     rows, columns = _split_rows(b)
-    found = strength_model.grid_search(rows.filter("part = 'train'"), columns, COMPACT_GRID, COMPACT_FOLDS, 2)
-    scored = strength_model.probability_of_one(found.bestModel.transform(rows))
+    best, _ = strength_model.grid_search(rows.filter("part = 'train'"), columns, COMPACT_GRID, COMPACT_FOLDS, 2)
+    scored = strength_model.probability_of_one(best.transform(rows))
     return scored.select("suspect_id", "cif_number", "part", "soc")
 
 
@@ -1013,18 +1017,12 @@ def _run_rows(result: runs.RunResult) -> DataFrame:
     return unions.by_name(*rows, cases)
 
 
-@query
+@branching_query
 def e1_run_v3(b):
-    settle = settle_on(b.spark)
-    model = compact_model(b, settle("features", feature_rows(b)))
-    return _run_rows(runs.run_v3(b, PLAIN, model, settle))
+    return _run_rows(runs.run_v3(b, PLAIN, lambda rows: compact_model(b, rows), settle_on(b.spark)))
 
 
-@query
+@branching_query
 def e2_run_v2(b):
-    settle = settle_on(b.spark)
     settings = replace(PLAIN, variant="v2", bio_mode="v2")
-    forms = aggregates.label_from_arrests(
-        people.suspect_forms_v2(relational.scan_case_forms_v2(b)), aggregates.arrest_rows(b.arrests_sheet))
-    model = compact_model(b, settle("features", features.engineer_v2(forms)))
-    return _run_rows(runs.run_v2(b, settings, model, settle))
+    return _run_rows(runs.run_v2(b, settings, lambda rows: compact_model(b, rows), settle_on(b.spark)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,7 +11,6 @@ from casewright.config import Settings
 from casewright.operators import (aggregates, features, graph as graph_ops, lifecycle, link_stats,
                                   people, ranking, scoring, strength_model)
 from casewright.operators.lifecycle import EntityGroup
-from casewright.operators.strength_model import StrengthModel
 from casewright.schemas import POLICE_SHEET, SUSPECT_SHEET, VICTIM_SHEET
 from casewright.sources import relational, sheets
 
@@ -54,7 +54,8 @@ def merge_and_close(groups, arrested: DataFrame, notes: DataFrame | None,
         if notes is not None:
             group = replace(group, active=lifecycle.add_incident_notes(
                 group.active, notes, group.uid).select(*group.columns))
-        out.append(lifecycle.close_finished(group, None if group.name == "victims" else arrested))
+        out.append(lifecycle.close_finished(
+            group, None if group.name == "victims" else arrested, settle))
     return lifecycle.propagate_closing(*out, settle=settle)
 
 
@@ -65,13 +66,18 @@ def model_features(forms: DataFrame, settings: Settings) -> DataFrame:
     return features.engineer_v3(labelled, places=settings.places)
 
 
-def run_v3(tables, settings: Settings, model: StrengthModel, settle) -> RunResult:
+# Feature rows in, model out: fits one, or loads a saved one.
+ModelSource = Callable[[DataFrame], strength_model.StrengthModel]
+
+
+def run_v3(tables, settings: Settings, model_for: ModelSource, settle) -> RunResult:
     """Newer rules. ``settle(name, df)`` writes a table to shared storage and returns it read back;
     it is used where several results branch off one state."""
     scanned = relational.scan_case_forms(tables, settings.country, contacts=True)
     forms = settle("forms", people.with_narrative(people.suspect_forms(scanned)))
 
-    scored_forms = settle("scored-forms", strength_model.predict(model_features(forms, settings), model))
+    feature_rows = settle("features", model_features(forms, settings))
+    scored_forms = settle("scored-forms", strength_model.predict(feature_rows, model_for(feature_rows)))
 
     suspects, police, victims = entity_groups(
         tables, people.suspect_rows(forms),
@@ -86,12 +92,14 @@ def run_v3(tables, settings: Settings, model: StrengthModel, settle) -> RunResul
     return finish(tables, settings, suspects, police, victims, measures, scored_forms, settle)
 
 
-def run_v2(tables, settings: Settings, model: StrengthModel, settle, top_links: int = 3) -> RunResult:
+def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links: int = 3) -> RunResult:
     """Older rules: arrests from their own sheet, addresses, box flags, and the contact graph."""
     all_forms = relational.scan_case_forms_v2(tables)
     arrests = settle("arrests", aggregates.arrest_rows(tables.arrests_sheet))
     form_rows = aggregates.label_from_arrests(people.suspect_forms_v2(all_forms), arrests)
-    scored_forms = settle("scored-forms", strength_model.predict(features.engineer_v2(form_rows), model))
+    feature_rows = settle("features", features.engineer_v2(form_rows))
+    scored_forms = settle("scored-forms", strength_model.predict(feature_rows, model_for(feature_rows)).select(
+        "suspect_id", "cif_number", "interview_date", "arrest", "soc"))
 
     addresses = people.pick_addresses(relational.scan_addresses(tables))
     boxes = all_forms.select("cif_number", "person_id", "pb_number", "interview_date", F.lit("").alias("case_notes"))

@@ -14,6 +14,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Wide projections (a case form has some 60 columns) generate methods beyond 8,000 bytes, which the
+    # JVM only interprets. At this limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -23,6 +26,7 @@ def local_session(cores: int = 8, app: str = "casewright", memory: str = "8g") -
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in RECOMMENDED_CONF.items():

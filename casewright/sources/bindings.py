@@ -29,11 +29,16 @@ def flag_sql(i: int, name: str) -> str:
 
 
 class Bindings:
-    """Input tables over one folder of parquet files."""
+    """Input tables over one folder of parquet files.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    ``land(name, df)`` may write the cleaned box lines down once; queries that read them along many
+    branches ask for that.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, land=lambda name, df: df):
         self.spark = spark
         self.folder = folder
+        self.land = land
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -97,7 +102,8 @@ class Bindings:
     def _boxes(self) -> DataFrame:
         """One row per (form, box line): the line table holds copies of its key."""
         order = ["l_suppkey", "l_partkey", "l_shipdate", "l_quantity", "l_extendedprice"]
-        return keep_first(self.raw("lineitem"), ["l_orderkey", "l_linenumber"], order)
+        lines = self.raw("lineitem").select(*order, "l_orderkey", "l_linenumber", "l_returnflag")
+        return self.land("boxes", keep_first(lines, ["l_orderkey", "l_linenumber"], order))
 
     @cached_property
     def person_box(self) -> DataFrame:
