@@ -29,8 +29,7 @@ def by_position(first: DataFrame, *others: DataFrame) -> DataFrame:
 def conform(df: DataFrame, columns) -> DataFrame:
     """Exactly these columns, as text; missing ones are null."""
     have = set(df.columns)
-    return df.select(
-        *[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in columns])
+    return df.selectExpr(*[f"cast({c if c in have else 'null'} as string) as {c}" for c in columns])
 
 
 def first_table_wins(tables: list[DataFrame], key: str,

@@ -96,7 +96,7 @@ def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links
     """Older rules: arrests from their own sheet, addresses, box flags, and the contact graph."""
     all_forms = relational.scan_case_forms_v2(tables)
     arrests = settle("arrests", aggregates.arrest_rows(tables.arrests_sheet))
-    form_rows = aggregates.label_from_arrests(people.suspect_forms_v2(all_forms), arrests)
+    form_rows = settle("forms", aggregates.label_from_arrests(people.suspect_forms_v2(all_forms), arrests))
     feature_rows = settle("features", features.engineer_v2(form_rows))
     scored_forms = settle("scored-forms", strength_model.predict(feature_rows, model_for(feature_rows)).select(
         "suspect_id", "cif_number", "interview_date", "arrest", "soc"))
