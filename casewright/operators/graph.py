@@ -11,6 +11,7 @@ from casewright.operators.dedup import fill_from_first_row, keep_first
 from casewright.operators.numbering import number_rows
 from casewright.operators.unions import by_name, insert_if_absent
 from casewright.schemas import GRAPH_TABLES
+from casewright.session import settle as write_down
 
 Graph = dict  # table name to DataFrame
 
@@ -144,11 +145,11 @@ def _edges(links: DataFrame, suspects: DataFrame, accounts: DataFrame, types: Da
     return number_rows(rows, ["source_account_id", "target_account_id"], existing=existing)
 
 
-def import_links(links: DataFrame, dimensions: Graph, settle=lambda name, df: df,
+def import_links(links: DataFrame, dimensions: Graph, settle=write_down,
                  canonical_undirected: bool = False) -> Graph:
     """Build all tables from prepared link rows.
 
-    ``settle`` may write a table down once it is numbered, as later tables read it again.
+    ``settle`` writes a table down once it is numbered, as later tables read it again.
     """
     suspects = settle("suspects", _suspects(links))
     cases = settle("cases", _cases(links))
@@ -164,7 +165,7 @@ def import_links(links: DataFrame, dimensions: Graph, settle=lambda name, df: df
     }
 
 
-def new_rows(links: DataFrame, graph: Graph, settle=lambda name, df: df) -> Graph:
+def new_rows(links: DataFrame, graph: Graph, settle=write_down) -> Graph:
     """What prepared rows of new sheets add to each table; all sheets in one go."""
     suspects = settle("new-suspects", _suspects(links, graph["suspects"]))
     cases = settle("new-cases", _cases(links, graph["cases"]))

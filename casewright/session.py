@@ -66,3 +66,8 @@ def cut_lineage(spark: SparkSession, name: str, df):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(name: str, df):
+    """``cut_lineage`` on the table's own session."""
+    return cut_lineage(df.sparkSession, name, df)
