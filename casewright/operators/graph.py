@@ -113,14 +113,18 @@ def _new_accounts(links: DataFrame, suspects: DataFrame, existing: DataFrame) ->
 
 def _edges(links: DataFrame, suspects: DataFrame, accounts: DataFrame, types: DataFrame,
            existing: DataFrame | None = None, canonical_undirected: bool = False) -> DataFrame:
-    """One edge per (source, target), as its first row says.
+    """Edges of the link rows.
 
-    An account's id is the lowest of its name. The suspect is the one whose sheet holds the row.
+    A bulk import holds one edge per (source, target), as its first row says. New sheets are taken
+    sheet by sheet: one edge per (sheet, source, target), then the first of each combo id that the
+    store lacks; so the result does not depend on how sheets are spread over batches. An account's id is
+    the lowest of its name. The suspect is the one whose sheet holds the row.
     """
+    pair = ["source", "target"] if existing is None else ["sheet_id", "source", "target"]
     first = keep_first(
         links.filter(blank_to_null("source").isNotNull() & blank_to_null("target").isNotNull())
         .select("source", "target", "name", "relationship_type", "edge_direction", *ROW_ORDER),
-        ["source", "target"], ROW_ORDER)
+        pair, ROW_ORDER)
     account_ids = accounts.groupBy("account_name").agg(F.min("id").alias("account_id"))
 
     def resolve(df: DataFrame, column: str) -> DataFrame:
@@ -137,12 +141,13 @@ def _edges(links: DataFrame, suspects: DataFrame, accounts: DataFrame, types: Da
         .withColumn("edge_combo_id", edge_combo_id(
             "source_account_id", "target_account_id", "edge_direction", canonical_undirected))
     )
+    if existing is not None or canonical_undirected:
+        rows = keep_first(rows, ["edge_combo_id"], ROW_ORDER)
     rows = rows.select(*GRAPH_TABLES["edges"].names[1:])
-    if canonical_undirected:
-        rows = keep_first(rows, ["edge_combo_id"], ["source_account_id", "target_account_id"])
-    if existing is not None:
-        rows = insert_if_absent(existing, rows, "edge_combo_id")
-    return number_rows(rows, ["source_account_id", "target_account_id"], existing=existing)
+    if existing is None:
+        return number_rows(rows, ["source_account_id", "target_account_id"])
+    return number_rows(insert_if_absent(existing, rows, "edge_combo_id"), ["edge_combo_id"],
+                       existing=existing)
 
 
 def import_links(links: DataFrame, dimensions: Graph, settle=write_down,

@@ -218,11 +218,11 @@ def graph_parts(prefix: str, links: str) -> dict[str, str]:
     }
 
 
-def edge_rows_sql(first_links: str, suspects: str, account_ids: str) -> str:
+def edge_rows_sql(first_links: str, suspects: str, account_ids: str, also: str = "") -> str:
     types = " ".join(f"when '{name}' then {i}" for i, name, _ in fv.EDGE_TYPES)
     combo = ("a.account_id || (case l.edge_direction when 1 then '<->' when 2 then '->' else '<-' end) || b.account_id")
     return (f"select s.id as source_suspect_id, a.account_id as source_account_id, b.account_id as target_account_id, "
-            f"(case l.relationship_type {types} end)::int as edge_type_id, l.edge_direction, {combo} as edge_combo_id "
+            f"(case l.relationship_type {types} end)::int as edge_type_id, l.edge_direction, {combo} as edge_combo_id{', ' + also if also else ''} "
             f"from {first_links} l left join {suspects} s on l.name = s.name "
             f"left join {account_ids} a on a.account_name = l.source left join {account_ids} b on b.account_name = l.target")
 
@@ -238,7 +238,6 @@ def incremental_parts() -> dict[str, str]:
         return f"(select coalesce(max(id), 0) from {table})"
 
     account_text = "account_name"
-    edge_text = TWO_KEYS.format(a="cast(source_account_id as varchar)", b="target_account_id")
     return {
         "local_links": f"select * from links where left(case_id, 3) in (select station_code from station_key where country_name = {COUNTRY})",
         **graph_parts("k_", "local_links"),
@@ -261,9 +260,10 @@ def incremental_parts() -> dict[str, str]:
                       "from i_account_rows where account_name not in (select account_name from k_accounts)",
         "x_account_ids": "select account_name, min(id) as account_id from (select id, account_name from k_accounts "
                          "union all select id, account_name from i_accounts) group by account_name",
-        "i_first_links": first_rows("links", "source, target", "row_no"),
-        "i_edge_rows": edge_rows_sql("i_first_links", "x_suspects", "x_account_ids"),
-        "i_edges": f"select {md5_number(edge_text, 'source_account_id, target_account_id', start('k_edges'))} as id, * from i_edge_rows "
+        "i_first_links": first_rows("links", "sheet_id, source, target", "row_no"),
+        "i_edge_rows": edge_rows_sql("i_first_links", "x_suspects", "x_account_ids", "l.row_no"),
+        "i_edge_first": first_rows("i_edge_rows", "edge_combo_id", "row_no", "* exclude (rn_, row_no)"),
+        "i_edges": f"select {md5_number('edge_combo_id', 'edge_combo_id', start('k_edges'))} as id, * from i_edge_first "
                    "where edge_combo_id not in (select edge_combo_id from k_edges)",
     }
 
@@ -717,7 +717,7 @@ TEXTS = {
     "n10_add_sheets": " union all ".join(
         f"select '{t}' as \"table\", count(distinct {key}) as rows, count(distinct {key}) as ids from {source}" for t, key, source in (
             ("suspects", "name", "links"), ("cases", "case_id", "links"), ("case_suspects", "name", "links"),
-            ("edges", "(source, target)", "links"),
+            ("edges", "(source, target, edge_direction)", "i_first_links"),
             ("accounts", "account_name", "(select source as account_name from links union all select target from links)"))),
     "n11_link_stats": "select * from g_stats",
 }
