@@ -98,9 +98,10 @@ def recipes(docs: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id (largest id of the equal texts), group_size, kept, text_sha256."""
     rows = recipes(docs)
-    # The list itself is compared; the digest only decides where it is compared.
-    groups = rows.groupBy("text_sha256", "recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # The list itself is compared; the digest only decides where it is compared. The groups are written down, so that
+    # the join below is a plain join of two tables, whose hot keys Spark can split.
+    groups = settle("groups", rows.groupBy("text_sha256", "recipe").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     found = rows.join(groups, ["text_sha256", "recipe"])
     return found.select("doc_id", "keep_id", "group_size",
                         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

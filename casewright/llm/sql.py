@@ -52,5 +52,31 @@ with hashed as (select doc_id, {LOWER} as t, sha256({LOWER}) as text_sha256 from
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
     doc_id = max(doc_id) over same as kept, text_sha256
 from hashed window same as (partition by t)
+""",
+    "op10_suffix_dedup": """
+with bytes as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+    select doc_id, unnest(range(0, cast(length(h) / 2 - 49 as bigint))) as p,
+        substring(h, 2 * p + 1, 100) as s
+    from bytes where length(h) >= 100),
+firsts as (select s, min(doc_id) as low from windows group by s having min(doc_id) < max(doc_id)),
+hits as (select w.doc_id, w.p from windows w join firsts f on w.s = f.s and w.doc_id > f.low),
+edges as (
+    select doc_id, p, case when p <= max(p + 50) over (
+        partition by doc_id order by p rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh
+    from hits),
+runs as (select doc_id, p, sum(fresh) over (partition by doc_id order by p) as run from edges),
+spans as (select doc_id, run, min(p) as a, max(p) + 50 as b from runs group by doc_id, run),
+gaps as (
+    select s.doc_id, b as a, coalesce(lead(s.a) over (partition by s.doc_id order by s.a), length(h) / 2) as b
+    from spans s join bytes using (doc_id)
+    union all select doc_id, 0, min(a) from spans group by doc_id),
+left_over as (
+    select doc_id, coalesce(string_agg(substring(h, cast(2 * a + 1 as bigint), cast(2 * (b - a) as bigint)), '' order by a), '') as k
+    from gaps join bytes using (doc_id) group by doc_id),
+sums as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from spans group by doc_id)
+select b.doc_id, cast(length(h) / 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256
+from bytes b left join sums using (doc_id) left join left_over using (doc_id)
 """,
 }
