@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import decontamination, exact_dedup, language_id, mixing, simhash, suffix_dedup
+from casewright.llm import decontamination, exact_dedup, language_id, mixing, simhash, substring_dedup, suffix_dedup
 from casewright.llm.common import documents, table
 
 
@@ -30,6 +30,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.without_repeats(documents(spark, folder), digest=True)
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
 
@@ -45,4 +49,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op4_mixing, op5_exact_dedup, op8_simhash, op10_suffix_dedup, pipeline)}
+    op1_language_id, op2_decontamination, op4_mixing, op5_exact_dedup, op7_substring_dedup, op8_simhash, op10_suffix_dedup, pipeline)}

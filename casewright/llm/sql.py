@@ -78,5 +78,21 @@ sums as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from spans
 select b.doc_id, cast(length(h) / 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
     cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256
 from bytes b left join sums using (doc_id) left join left_over using (doc_id)
+""",
+    "op7_substring_dedup": f"""
+with words as (select doc_id, {WORDS} as w from documents),
+windows as (
+    select doc_id, unnest(range(1, len(w) - 11)) as p, unnest(list_transform(range(1, len(w) - 11),
+        lambda i: array_to_string(w[i:i + 12], ' '))) as s
+    from words where len(w) >= 13),
+firsts as (select s, min(doc_id) as low from windows group by s having min(doc_id) < max(doc_id)),
+removed as (
+    select distinct w.doc_id, unnest(range(w.p, w.p + 13)) as i from windows w join firsts f on w.s = f.s and w.doc_id > f.low),
+each as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from words),
+kept as (
+    select e.doc_id, string_agg(word, ' ' order by e.i) as k, count(*) as n
+    from each e anti join removed r on e.doc_id = r.doc_id and e.i = r.i group by e.doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from words left join kept using (doc_id)
 """,
 }
