@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import decontamination, exact_dedup, language_id, mixing, simhash, substring_dedup, suffix_dedup
+from casewright.llm import decontamination, exact_dedup, language_id, mixing, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from casewright.llm.common import documents, table
 
 
@@ -30,6 +30,14 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
 
+def op6_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(warc.records_of_pages(table(spark, folder, "pages")))
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(
+        e["key"], F.lit(": "), e["value"]))), "\n")
+    return found.select("record_id", "url_key", "outcome", "source", headers.alias("headers"),
+                        F.sha2("body", 256).alias("body_sha256"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.without_repeats(documents(spark, folder), digest=True)
 
@@ -38,6 +46,10 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder)).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(table(spark, folder, "pages"))
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.without_repeats(documents(spark, folder), digest=True)
 
@@ -49,4 +61,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op4_mixing, op5_exact_dedup, op7_substring_dedup, op8_simhash, op10_suffix_dedup, pipeline)}
+    op1_language_id, op2_decontamination, op4_mixing, op5_exact_dedup, op6_warc_revisits, op7_substring_dedup,
+    op8_simhash, op9_url_filter, op10_suffix_dedup, pipeline)}
