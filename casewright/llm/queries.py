@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import decontamination, exact_dedup, language_id, mixing, simhash, substring_dedup, suffix_dedup, url_filter, warc
+from casewright.llm import decontamination, exact_dedup, html_extract, language_id, mixing, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from casewright.llm.common import documents, table
 
 
@@ -22,6 +22,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", "shared", "item_shingles")
 
 
+def op3_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extracted(table(spark, folder, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(documents(spark, folder))
 
@@ -61,5 +66,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op4_mixing, op5_exact_dedup, op6_warc_revisits, op7_substring_dedup,
-    op8_simhash, op9_url_filter, op10_suffix_dedup, pipeline)}
+    op1_language_id, op2_decontamination, op3_html_extract, op4_mixing, op5_exact_dedup,
+    op6_warc_revisits, op7_substring_dedup, op8_simhash, op9_url_filter, op10_suffix_dedup, pipeline)}
