@@ -112,6 +112,7 @@ class Block:
 
     path: str
     text: str
+    parts: list[str]
     skipped: bool
     article: bool
     main: bool
@@ -132,7 +133,8 @@ def blocks(page: str) -> Iterator[Block]:
             text = " ".join(unescape("".join(held)).split())
             if text:
                 skipped = here[2] and not (heading and here[0] == "header" and here[3])
-                yield Block(here[1], text, skipped, here[3], here[4], linked)
+                parts = [p for p in (" ".join(unescape(h).split()) for h in held) if p]
+                yield Block(here[1], text, parts, skipped, here[3], here[4], linked)
             held.clear()
         linked = 0
 
@@ -158,16 +160,17 @@ def blocks(page: str) -> Iterator[Block]:
                 if name == "li" and here[0] == "li":
                     here = stack.pop()
                 label, skipped, main = described(name, detail)
+                path = f"{here[1]}/{label}".removeprefix("/") if name in PARTS else here[1]
                 stack.append(here)
                 inner = name in MAIN or here[3]
                 own_header = name == "header" and here[3]
-                here = (name, f"{here[1]}/{label}", here[2] or skipped or own_header, inner and not skipped or inner and own_header,
+                here = (name, path, here[2] or skipped or own_header, inner and not skipped or inner and own_header,
                         main or here[4])
             elif _has_mark(detail):
                 _, skipped, _ = described(name, detail)
                 if skipped and name not in VOID:
                     stack.append(here)
-                    here = (name, f"{here[1]}/{name}", True, here[3], here[4])
+                    here = (name, here[1], True, here[3], here[4])
         else:
             if name in HEADINGS:
                 heading = False
@@ -275,43 +278,41 @@ def aligned(wrapper: list[Node], page: list[Node]) -> list[Node]:
     return out
 
 
-def inferred(pages: list[str]) -> tuple[list[Node], dict[str, bool]]:
-    """The wrapper of some pages of a host, and for each part of a page whether its text is the template's own: the same
-    in all of at least three pages."""
+def inferred(pages: list[str]) -> tuple[list[Node], set[tuple[str, str]]]:
+    """The wrapper of some pages of a host, and its own texts with the part of the page they stand in: those of slots
+    that are the same in all of at least three pages."""
     wrapper: list[Node] = []
     for n, page in enumerate(pages):
         now = stream(page)
         wrapper = aligned(wrapper, now) if n else now
-    fixed: dict[str, bool] = {}
+    own: set[tuple[str, str]] = set()
 
     def look(nodes: list[Node], seen: int | None = None) -> None:
         for node in nodes:
-            if node.kind == "slot":
-                path = node.key.removeprefix("#TEXT ")
-                times = node.seen if seen is None else seen
-                own = len(node.texts) == 1 and times >= 3 and times == len(pages)
-                fixed[path] = fixed.get(path, True) and own
-            look(node.body, node.seen if node.kind == "repeat" else seen)
+            times = node.seen if seen is None else seen
+            if node.kind == "slot" and len(node.texts) == 1 and times == len(pages) >= 3:
+                own.add((node.key.removeprefix("#TEXT "), *node.texts))
+            look(node.body, times if node.kind == "repeat" else seen)
 
     look(wrapper)
-    return wrapper, fixed
+    return wrapper, own
 
 
-def main_text(page: str | None, fixed: dict[str, bool]) -> str:
+def main_text(page: str | None, own: set[tuple[str, str]] | frozenset = frozenset()) -> str:
     """The article's blocks, joined by line breaks."""
     if not page:
         return ""
     found = [b for b in blocks(page) if not b.skipped]
     inside = [b for b in found if b.article]
     if not inside:
-        inside = [b for b in found if not fixed.get(b.path.removeprefix("/"), False)]
+        inside = [b for b in found if not all((b.path, p) in own for p in b.parts)]
         named = [b for b in inside if b.main]
         inside = named or [b for b in inside if 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in inside)
 
 
 def wrappers(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
-    """(host, pattern, template_parts) for each host: its expression, and the parts whose text is the template's own.
+    """(host, pattern, template_texts) for each host: its expression, and the texts that are the template's own.
 
     The sampled pages are those with the smallest hash of the id; each map task sends at most ``sample`` ids a host.
     """
@@ -322,29 +323,30 @@ def wrappers(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
     taken = pages.join(chosen, F.col("page_id") == F.col("id")).filter(
         F.coalesce(host_of(F.col("url")), F.lit("")) == F.coalesce("host", F.lit(""))).select("host", "n", "html")
 
-    def infer(group: pd.DataFrame) -> pd.DataFrame:
+    def infer(group: pd.DataFrame) -> pd.DataFrame:  # at most ``sample`` ids
         listed = [h for h in group.sort_values("n")["html"].drop_duplicates().tolist() if h][:sample]
-        found, fixed = inferred(listed)
+        found, own = inferred(listed)
         return pd.DataFrame({
             "host": [group["host"].iloc[0]], "pattern": [" ".join(n.pattern() for n in found)],
-            "template_parts": [[p for p, own in fixed.items() if own]]})
+            "template_texts": [[{"part": p, "text": t} for p, t in sorted(own)]]})
 
-    return taken.groupBy("host").applyInPandas(infer, "host string, pattern string, template_parts array<string>")
+    return taken.groupBy("host").applyInPandas(infer, "host string, pattern string, template_texts array<struct<part: string, text: string>>")
 
 
 def extracted(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
     """page_id, url, text for each page."""
-    found = settle("wrappers", wrappers(pages, sample).select("host", "template_parts"))
+    pages = pages.select("page_id", "url", "html")
+    found = settle("wrappers", wrappers(pages, sample).select("host", "template_texts"))
     mine = pages.select("page_id", "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"))
-    known = found.select(F.coalesce("host", F.lit("")).alias("own_host"), "template_parts").dropDuplicates(["own_host"])
+    known = found.select(F.coalesce("host", F.lit("")).alias("own_host"), "template_texts").dropDuplicates(["own_host"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(html, dict.fromkeys(parts or (), True)) for html, parts in zip(
+            texts = [main_text(html, {(p["part"], p["text"]) for p in own or ()}) for html, own in zip(
                 batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    joined = mine.join(known, F.col("host") == F.col("own_host"), "left").select("page_id", "url", "html", "template_parts")
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "template_parts").mapInArrow(
+    joined = mine.join(known, F.col("host") == F.col("own_host"), "left").select("page_id", "url", "html", "template_texts")
+    return joined.select(F.col("page_id").cast("long"), "url", "html", "template_texts").mapInArrow(
         run, "page_id long, url string, text string")

@@ -182,6 +182,7 @@ class Model:
     logp: list[np.ndarray] = field(default_factory=list)
     back: list[np.ndarray] = field(default_factory=list)
     floor: float = float(np.log(1.0 / 0x110000))
+    unseen: np.ndarray | float = 0.0  # log probability of a character that no text of the training part has
     sharpness: float = 1.0
     usual: np.ndarray | None = None
 
@@ -215,7 +216,7 @@ class Model:
                 at, there = self.find(n - 1, keys[n - 1][missed - 1])
                 out[missed[there]] += self.back[n - 2][at[there]]
             elif len(missed):
-                out[missed] += self.floor
+                out[missed] += self.unseen
             open_ = np.concatenate([open_[~able], missed])
         return out
 
@@ -258,7 +259,8 @@ def assemble(rows: pd.DataFrame, languages: list[str], order: int) -> Model:
     empty = np.full(len(languages), np.exp(model.floor))
     for n in range(1, order + 1):
         level = rows[rows["order"] == n]
-        listed = sorted(set(level["gram"]))
+        # Contexts of the next order belong here too: one at the start of a text follows nothing.
+        listed = sorted({*level["gram"], *rows.loc[rows["order"] == n + 1, "context"]})
         place = {g: i for i, g in enumerate(listed)}
         share = np.zeros((len(listed), len(languages)))
         share[level["gram"].map(place).to_numpy(int), level["l"].to_numpy(int)] = level["share"]
@@ -270,7 +272,9 @@ def assemble(rows: pd.DataFrame, languages: list[str], order: int) -> Model:
         for i, gram in enumerate(listed):
             values[i] = share[i] + back.get(gram[:-1], plain) * _lower(lower, back_of, gram[1:], empty) if n > 1 else (
                 share[i] + back[""] * np.exp(model.floor))
-        if n > 1:  # back-off weights belong to the contexts, which are n-grams of the order below
+        if n == 1:
+            model.unseen = (model.floor + np.log(back.get("", plain))).astype(np.float32)
+        else:  # back-off weights belong to the contexts, which are n-grams of the order below
             weights = np.ones((len(previous), len(languages)))
             for i, gram in enumerate(previous):
                 if gram in back:
