@@ -6,7 +6,8 @@ characters seen before an n-gram). The finished model is a sorted array of n-gra
 log probabilities, one per language, so that one search scores all languages. Texts are scored whole, by mean log
 probability a character (the negative cross-entropy), and the lowest cross-entropy wins.
 
-The model has at most ``KEPT`` n-grams a language and order, those with the highest counts; the probability of the
+The model has at most ``KEPT`` n-grams a language and order, those with the highest counts (n-grams of equal count
+stay or go together); the probability of the
 others goes to the lower order, so the distributions stay whole and the model's size does not depend on the corpus.
 
 Defined cases: a null text or one without a letter gives ``und`` with score 0, rejected. Ties go to the first language
@@ -31,7 +32,7 @@ ORDER = 4
 KEPT = 60_000
 MOST_LANGUAGES = 200
 DISCOUNT_FLOOR, DISCOUNT_CEILING = 0.1, 0.95
-#: Rows of the training part that calibrate score and rejection; a bounded sample, the counts cover all rows.
+#: Rows of the training part, about, that calibrate score and rejection; a bounded sample, the counts cover all rows.
 CALIBRATION_ROWS = 4000
 #: A text is rejected when its cross-entropy is so many spreads above what its language shows for texts of its length.
 REJECTED_SPREADS = 12.0
@@ -161,8 +162,12 @@ def probabilities(top: DataFrame, order: int = ORDER, kept: int = KEPT) -> DataF
     discount = seen.withColumn("d", F.least(F.lit(DISCOUNT_CEILING), F.greatest(
         F.lit(DISCOUNT_FLOOR), F.coalesce(F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")), F.lit(0.5)))))
     by_context = every.groupBy("lang", "order", "context").agg(F.sum("n").alias("total"))
-    first = Window.partitionBy("lang", "order").orderBy(F.desc("n"), "gram")
-    best = every.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= kept)
+    # The lowest count of which no more than ``kept`` n-grams have it or a higher one; one row per distinct count.
+    many = every.groupBy("lang", "order", "n").agg(F.count(F.lit(1)).alias("grams"))
+    down = Window.partitionBy("lang", "order").orderBy(F.desc("n"))
+    least = many.withColumn("so_far", F.sum("grams").over(down)).filter(F.col("so_far") <= kept).groupBy(
+        "lang", "order").agg(F.min("n").alias("least"))
+    best = every.join(least, ["lang", "order"]).filter(F.col("n") >= F.col("least")).drop("least")
     shares = (
         best.join(by_context, ["lang", "order", "context"]).join(discount, ["lang", "order"])
         .withColumn("share", (F.col("n") - F.col("d")) / F.col("total"))
@@ -322,7 +327,8 @@ def train(rows: DataFrame, order: int = ORDER, kept: int = KEPT) -> Model:
 
 def _calibrate(model: Model, usable: DataFrame) -> None:
     """Sharpness of the score and usual cross-entropies, from a bounded sample of the training rows."""
-    sample = usable.select("lang", "text").orderBy(F.xxhash64("text"), "lang").limit(CALIBRATION_ROWS)
+    share = min(1.0, CALIBRATION_ROWS / max(usable.count(), 1))
+    sample = usable.select("lang", "text").sample(share, seed=5)
     held = usable.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
