@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,9 +37,15 @@ def word_count(text: Column) -> Column:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of tables that are written down and no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's cleaner delete the shuffle files of tables that are written down and no longer referenced.
+
+    The cleaner acts when the driver's JVM has found them unreachable, which takes a round for Python's proxies and one
+    for what they held.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -32,6 +32,7 @@ BUCKET_BYTES = 16 << 20
 #: Rows sampled to place splitters and to find very frequent anchors.
 SAMPLE_ROWS = 4000
 HITS = -1
+LEVEL = 3
 LOW32 = np.uint64(0xFFFFFFFF)
 
 
@@ -112,7 +113,7 @@ def packed(batch: Batch) -> bytes:
         size = np.dtype(kind).itemsize
         parts.append(wide.view(np.uint8).reshape(-1, size).T.tobytes())  # equal bytes together compress well
     parts.append(batch.data.tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(parts))
 
 
 def unpacked(blobs: list[bytes]) -> Batch:
@@ -170,10 +171,12 @@ class Routes:
 
 
 class Tokens:
-    """How one kind of token is read. ``window`` tokens make a window and ``k`` an anchor."""
+    """How one kind of token is read. ``window`` tokens make a window and ``k`` an anchor, of which range partitioning
+    looks at the first ``lead`` bytes."""
 
     window: int
     k: int
+    lead: int = 16
 
     def read(self, data: np.ndarray, offsets: np.ndarray) -> tuple[
             np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
@@ -348,7 +351,7 @@ def routes(docs: DataFrame, tokens: Tokens, total_bytes: int, n_rows: int) -> Ro
                 part, bounds, gram, byte_range = tokens.read(data[here[0]: here[-1]], here - here[0])
                 anchor = anchored_runs(gram, bounds, tokens.window, tokens.k).anchor
                 at, _ = byte_range(anchor, anchor + 1)
-                lead = [part[i: i + 16].tobytes() for i in at.tolist()]
+                lead = [part[i: i + tokens.lead].tobytes() for i in at.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(gram[anchor].view(np.int64)), pa.array(lead, pa.binary())],
                                                  ["gram", "lead"])
 

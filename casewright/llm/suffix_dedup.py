@@ -1,6 +1,6 @@
 """Repeated byte strings by range-partitioned suffix sorting.
 
-Suffixes are taken at anchors (see ``pieces``), range-partitioned by their leading 16 bytes at splitters sampled from the
+Suffixes are taken at anchors (see ``pieces``), range-partitioned by their leading bytes (the anchor) at splitters sampled from the
 texts, and sorted inside each bucket by multikey quicksort over tokens of eight bytes: suffixes that share a token go
 on to the next one, all others are done. Leading bytes that are equal never lie on both sides of a splitter, and every
 string of 50 bytes is judged at its anchor, so no comparison across buckets is left over.
@@ -25,7 +25,8 @@ from casewright.llm.pieces import Batch, Routes, Tokens, ragged, repeated_spans,
 from casewright.llm.words import mixed
 
 WINDOW_BYTES = 50
-ANCHOR_BYTES = 16
+#: From 9 to 16. Shorter anchors make fewer, longer pieces, and more of them meet by chance.
+ANCHOR_BYTES = 12
 
 
 def leading(data: np.ndarray) -> np.ndarray:
@@ -40,13 +41,15 @@ def leading(data: np.ndarray) -> np.ndarray:
 
 class Bytes(Tokens):
     def __init__(self, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> None:
-        self.window, self.k = window, k
+        self.window = window
+        self.k = self.lead = k
 
     def read(self, data, offsets):
         first = leading(data)
         gram = first * np.uint64(0x9E3779B97F4A7C15)
-        if len(gram) > 8:
-            gram[:-8] ^= mixed(first[8:])
+        rest = self.k - 8
+        if len(gram) > rest:
+            gram[:-rest] ^= mixed(first[rest:])
         return data, offsets, mixed(gram), lambda a, b: (a, b)
 
     def bucket(self, gram, data, at, routes: Routes):
@@ -59,7 +62,7 @@ class Bytes(Tokens):
         out = np.searchsorted(split, lead, side="right")
         tied = np.flatnonzero(low != out)  # the second eight bytes decide
         if len(tied):
-            whole = np.array([data[i: i + 16].tobytes() for i in at[tied].tolist()], "S16")
+            whole = np.array([data[i: i + self.k].tobytes() for i in at[tied].tolist()], "S16")
             out[tied] = np.searchsorted(routes.splitters, whole, side="right")
         return out.astype(np.int64)
 
@@ -99,7 +102,7 @@ def _lowest(ids: np.ndarray, now: np.ndarray) -> np.ndarray:
     return np.repeat(np.minimum.reduceat(ids, heads), np.diff(np.r_[heads, len(ids)]))
 
 
-def judged(batch: Batch, window: int = WINDOW_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def judged(batch: Batch, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, start, end) of the repeats among the pieces of a bucket."""
     first = leading(batch.data)
     starts = np.cumsum(batch.lengths) - batch.lengths
@@ -108,7 +111,7 @@ def judged(batch: Batch, window: int = WINDOW_BYTES) -> tuple[np.ndarray, np.nda
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     zero = np.zeros(len(batch), np.int64)
     # Suffixes at the anchors that share their leading tokens, in more than one document.
-    member, group = multikey_classes(first, anchor, [zero, zero + 8], zero)
+    member, group = multikey_classes(first, anchor, [zero, zero + k - 8], zero)
     if not len(member):
         return zero[:0], zero[:0], zero[:0]
     low, high = _lowest(ids[member], group), -_lowest(-ids[member], group)
