@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Accounts in more cases than this are counted by set size, never listed per suspect.
-HEAVY_CASES = 64
-# Longest list that is written as one text; longer ones are read from the member table.
-LISTED_MATCHES = 1000
+from casewright.session import settle as write_down
+
+# Cases are counted as bits: one 64-bit word per account (or suspect) and block of 64 case numbers.
+WORD_BITS = 64
 
 
 def first_degree_links(edges: DataFrame) -> DataFrame:
@@ -41,13 +41,12 @@ def second_degree_links(edges: DataFrame, as_coded: bool = False) -> DataFrame:
     return counted.groupBy("suspect_id").agg(F.sum("n").cast("long").alias("second_degree_links"))
 
 
-def multi_match(df: DataFrame, match1: str, match2: str, index: str,
-                listed: int = LISTED_MATCHES) -> tuple[DataFrame, DataFrame]:
+def multi_match(df: DataFrame, match1: str, match2: str, index: str) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``match1`` value occurs as ``match2`` under other index values.
 
-    Returns counts and members. Counts hold, per (match, idx1), how many other index values there are
-    and, up to ``listed`` of them, the sorted list; members hold every (match, idx2), so longer
-    lists are there row by row, once per match instead of once per pair.
+    Returns counts and members. Counts hold, per (match, idx1), how many other index values there are;
+    members hold every (match, idx2). The others of a row are its match's members without idx1 - they are
+    listed once per match, never once per row.
     """
     left = df.select(F.col(match1).alias("match"), F.col(index).alias("idx1")).dropna().distinct()
     members = df.select(F.col(match2).alias("match"), F.col(index).alias("idx2")).dropna().distinct()
@@ -55,85 +54,87 @@ def multi_match(df: DataFrame, match1: str, match2: str, index: str,
     own = members.select("match", F.col("idx2").alias("idx1"), F.lit(1).alias("_own"))
     counts = (
         left.join(sizes, "match").join(own, ["match", "idx1"], "left")
-        .withColumn("match_count", F.col("_size") - F.coalesce("_own", F.lit(0)))
+        .select("match", "idx1", (F.col("_size") - F.coalesce("_own", F.lit(0))).alias("match_count"))
         .filter("match_count > 0")
     )
-    lists = members.join(sizes.filter(F.col("_size") <= listed), "match", "left_semi") \
-        .groupBy("match").agg(F.sort_array(F.collect_list("idx2")).alias("_list"))
-    listed_counts = counts.join(lists, "match", "left").select(
-        "match", "idx1", "match_count",
-        F.array_join(F.array_remove("_list", F.col("idx1")), ", ").alias("idx2"))
     matched = members.join(counts.select("match").distinct(), "match", "left_semi")
-    return listed_counts, matched
+    return counts, matched
+
+
+def _words(df: DataFrame, key: str) -> DataFrame:
+    """(key, word, bits) of the distinct case numbers of each key."""
+    bits = F.array(*[F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(WORD_BITS)])
+    return df.groupBy(key, F.floor(F.col("case") / WORD_BITS).alias("word")).agg(
+        F.bit_or(F.element_at(bits, F.pmod("case", F.lit(WORD_BITS)).cast("int") + 1)).alias("bits"))
 
 
-def other_cases(holders: DataFrame, members: DataFrame, own: DataFrame,
-                heavy: int = HEAVY_CASES) -> DataFrame:
+def other_cases(holders: DataFrame, members: DataFrame, own: DataFrame) -> DataFrame:
     """Distinct cases, other than their own, that suspects share an account with.
 
     ``holders`` are (suspect_id, account), ``members`` (account, case), ``own`` (suspect_id, case); all
-    distinct. Accounts in at most ``heavy`` cases are listed, which gives at most ``heavy`` rows per
-    holder row. For larger accounts only the size of the union of a suspect's heavy sets is needed; it is
-    worked out once per distinct combination of heavy accounts, not once per suspect.
+    distinct, cases are numbers. A suspect with one account needs no union: it is the size of the account's
+    set less the own part. For suspects with several accounts the sets are united as bits, 64 case numbers
+    to a row; cases are numbered densely, so a hub costs a row per 64 of its cases.
     """
+    accounts = holders.groupBy("suspect_id").agg(
+        F.count(F.lit(1)).alias("accounts"), F.min("account").alias("account"))
+    single = accounts.filter("accounts = 1").select("suspect_id", "account")
     sizes = members.groupBy("account").agg(F.count(F.lit(1)).alias("n"))
-    held = holders.join(sizes, "account")
-    light = held.filter(F.col("n") <= heavy).select("suspect_id", "account") \
-        .join(members, "account").select("suspect_id", "case").distinct()
-
-    heavy_held = held.filter(F.col("n") > heavy).select("suspect_id", "account")
-    # Suspects with the same heavy accounts get the same group text: the number of accounts, and two
-    # independent 64-bit hashes of the set.
-    grouped = heavy_held.groupBy("suspect_id").agg(F.concat_ws(
-        ":", F.count(F.lit(1)).cast("string"),
-        F.bit_xor(F.xxhash64("account")).cast("string"),
-        F.bit_xor(F.xxhash64("account", F.lit(1))).cast("string"),
-        F.min("account").cast("string"), F.max("account").cast("string")).alias("heavy_group"))
-    one_of_group = grouped.groupBy("heavy_group").agg(F.min("suspect_id").alias("suspect_id"))
-    heavy_cases = (
-        one_of_group.join(heavy_held, "suspect_id").join(members, "account")
-        .select("heavy_group", "case").distinct()
-    )
-    heavy_sizes = heavy_cases.groupBy("heavy_group").agg(F.count(F.lit(1)).alias("heavy_n"))
-
-    # Cases of the suspect that the heavy union already counts: own ones are taken off, listed ones
-    # are not counted twice.
-    marked_own = own.select("suspect_id", "case", F.lit(1).alias("is_own"))
-    cases = light.withColumn("is_light", F.lit(1)).join(marked_own, ["suspect_id", "case"], "full")
-    in_heavy = cases.join(grouped, "suspect_id", "left").join(
-        heavy_cases.withColumn("is_heavy", F.lit(1)), ["heavy_group", "case"], "left")
-    corrections = in_heavy.groupBy("suspect_id").agg(
-        F.sum(F.when(F.col("is_heavy").isNull() & F.col("is_own").isNull() & (F.col("is_light") == 1), 1)
-              .when((F.col("is_heavy") == 1) & (F.col("is_own") == 1), -1).otherwise(0)).alias("correction"))
-    totals = grouped.join(heavy_sizes, "heavy_group").select("suspect_id", "heavy_n")
-    return corrections.join(totals, "suspect_id", "full").select(
-        "suspect_id", (F.coalesce("correction", F.lit(0)) + F.coalesce("heavy_n", F.lit(0)))
-        .cast("long").alias("case_links"))
-
-
-def case_links(graph: dict, degree: str, heavy: int = HEAVY_CASES) -> DataFrame:
+    taken = single.join(own, "suspect_id").join(members, ["account", "case"], "left_semi") \
+        .groupBy("suspect_id").agg(F.count(F.lit(1)).alias("own_n"))
+    one = single.join(sizes, "account").join(taken, "suspect_id", "left").select(
+        "suspect_id", (F.col("n") - F.coalesce("own_n", F.lit(0))).alias("case_links"))
+
+    several = holders.join(accounts.filter("accounts > 1").select("suspect_id"), "suspect_id", "left_semi")
+    union = several.join(_words(members, "account"), "account").groupBy("suspect_id", "word").agg(
+        F.bit_or("bits").alias("bits"))
+    own_words = _words(own, "suspect_id").withColumnRenamed("bits", "own_bits")
+    others = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("own_bits", F.lit(0).cast("long"))))
+    many = union.join(own_words, ["suspect_id", "word"], "left").groupBy("suspect_id").agg(
+        F.sum(F.bit_count(others)).alias("case_links"))
+    return one.union(many).select("suspect_id", F.col("case_links").cast("long").alias("case_links"))
+
+
+def _holdings(graph: dict) -> tuple[DataFrame, DataFrame]:
+    """Distinct (suspect, account, side) and (suspect, case) of the graph: what both degrees are made of."""
+    numbers = graph["cases"].filter("case_number is not null").groupBy("case_number").agg(F.min("id").alias("case"))
+    named = graph["cases"].select(F.col("id").alias("case_id"), "case_number").join(numbers, "case_number")
+    own = graph["case_suspects"].select("suspect_id", "case_id").join(named, "case_id") \
+        .select("suspect_id", "case").dropna().distinct()
+    sides = F.inline(F.array(
+        F.struct(F.lit("source").alias("side"), F.col("source_account_id").alias("account")),
+        F.struct(F.lit("target").alias("side"), F.col("target_account_id").alias("account"))))
+    held = graph["edges"].select(F.col("source_suspect_id").alias("suspect_id"), sides).dropna().distinct()
+    return held, own
+
+
+def case_links(graph: dict, degree: str, settle=None) -> DataFrame:
     """Other cases per suspect.
 
     First degree: cases in which the suspect's accounts are a source too. Second degree: cases in
-    which they are a target.
+    which they are a target. ``settle`` may write down the two tables that the counts read several times.
     """
-    column = {"first": "source_account_id", "second": "target_account_id"}[degree]
-    numbers = graph["cases"].select(F.col("id").alias("case_id"), F.col("case_number").alias("case"))
-    own = graph["case_suspects"].select("suspect_id", "case_id").join(numbers, "case_id") \
-        .select("suspect_id", "case").dropna().distinct()
-    edges = graph["edges"].withColumnRenamed("source_suspect_id", "suspect_id")
-    holders = edges.select("suspect_id", F.col("source_account_id").alias("account")).dropna().distinct()
-    # Edges shrink to distinct (account, suspect) before the case joins them.
-    members = edges.select("suspect_id", F.col(column).alias("account")).dropna().distinct() \
-        .join(own, "suspect_id").select("account", "case").distinct()
-    return other_cases(holders, members, own, heavy).withColumnRenamed(
-        "case_links", f"{degree}_degree_case_links")
+    return _case_links(*_settled(graph, settle), degree)
+
+
+def _settled(graph: dict, settle) -> tuple[DataFrame, DataFrame]:
+    held, own = _holdings(graph)
+    return (settle("holdings", held), settle("own-cases", own)) if settle else (held, own)
+
+
+def _case_links(held: DataFrame, own: DataFrame, degree: str) -> DataFrame:
+    side = {"first": "source", "second": "target"}[degree]
+    holders = held.filter("side = 'source'").select("suspect_id", "account")
+    # Edges are distinct (suspect, account) before the case joins them.
+    members = held.filter(F.col("side") == side).join(own, "suspect_id").select("account", "case").distinct()
+    return other_cases(holders, members, own).withColumnRenamed("case_links", f"{degree}_degree_case_links")
 
 
-def refresh_link_stats(graph: dict, as_coded: bool = False) -> DataFrame:
+def refresh_link_stats(graph: dict, as_coded: bool = False, settle=write_down) -> DataFrame:
     """Suspects with all four counts computed anew; suspects without links have 0."""
+    held, own = _settled(graph, settle)
     stats = [first_degree_links(graph["edges"]), second_degree_links(graph["edges"], as_coded),
-             case_links(graph, "first"), case_links(graph, "second")]
+             _case_links(held, own, "first"), _case_links(held, own, "second")]
     out = graph["suspects"].select("id", "name")
     for table in stats:
         out = out.join(table.withColumnRenamed("suspect_id", "id"), "id", "left")

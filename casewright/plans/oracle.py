@@ -640,7 +640,7 @@ TEXTS = {
     "a5_first_degree": _g_stat("d1", "first_degree_links"),
     "a6_second_degree": _g_stat("d2", "second_degree_links"),
     "a6b_second_degree_coded": _g_stat("d2_coded", "second_degree_links"),
-    "a7_multi_match": "select match, idx1, count(*) as match_count, string_agg(idx2, ', ' order by idx2) as idx2 from account_pairs group by 1, 2",
+    "a7_multi_match": "select match, idx1, count(*) as match_count from account_pairs group by 1, 2",
     "a7b_multi_match_members": "select match, idx2 from account_members where match in (select match from account_pairs)",
     "a8_case_links_first": _g_stat("c1", "first_degree_case_links"),
     "a8b_case_links_second": _g_stat("c2", "second_degree_case_links"),
