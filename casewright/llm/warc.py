@@ -112,34 +112,35 @@ def resolve(records: DataFrame) -> DataFrame:
     """One row per response or revisit record: record_id, url_key, outcome (full, resolved, mismatch, unverified, orphan),
     source (record the body is from), headers (merged), body."""
     found = latest_full(records).distinct()
-    mine = records.alias("r").join(found.alias("f"), F.col("r.record_id") == F.col("f.record_id"), "left").select(
-        "r.*", "f.source").alias("r")
-    stored = records.filter(_is_full(F.col("type"), F.col("status"))).alias("s")
-    both = mine.filter("type in ('response', 'revisit')").join(
-        stored, F.col("r.source") == F.col("s.record_id"), "left")
+    # Bodies move once: those of stored responses to the revisits that they answer. Responses are read as they are.
+    own = records.filter(F.col("type") == "response").select(
+        "record_id", canonical_url(F.col("url")).alias("url_key"), F.lit("full").alias("outcome"),
+        F.lit(None).cast("long").alias("source"), "headers", "body")
+    asked = records.filter(F.col("type") == "revisit").select("record_id", "url", "headers")
+    mine = asked.alias("q").join(found.alias("f"), F.col("q.record_id") == F.col("f.record_id"), "left").select(
+        "q.*", "f.source").alias("r")
+    stored = records.filter(_is_full(F.col("type"), F.col("status"))).select("record_id", "headers", "body").alias("s")
+    both = mine.join(stored, F.col("r.source") == F.col("s.record_id"), "left")
     field = lambda side, name: F.element_at(F.col(f"{side}.headers"), name)
     tags = field("r", "etag").isNotNull() & field("s", "etag").isNotNull()
     dates = field("r", "last-modified").isNotNull() & field("s", "last-modified").isNotNull()
+    agreed = lambda same: F.when(same, F.lit("resolved")).otherwise(F.lit("mismatch"))
     outcome = (
-        F.when(F.col("r.type") == "response", F.lit("full"))
-        .when(F.col("s.record_id").isNull(), F.lit("orphan"))
-        .when(tags, F.when(_weak(field("r", "etag")) == _weak(field("s", "etag")), F.lit("resolved"))
-              .otherwise(F.lit("mismatch")))
-        .when(dates, F.when(field("r", "last-modified") == field("s", "last-modified"), F.lit("resolved"))
-              .otherwise(F.lit("mismatch")))
+        F.when(F.col("s.record_id").isNull(), F.lit("orphan"))
+        .when(tags, agreed(_weak(field("r", "etag")) == _weak(field("s", "etag"))))
+        .when(dates, agreed(field("r", "last-modified") == field("s", "last-modified")))
         .otherwise(F.lit("unverified"))
     )
-    new = F.map_filter(F.coalesce(F.col("r.headers"), F.create_map().cast("map<string,string>")),
-                       lambda k, v: ~k.isin(*NOT_UPDATED))
-    old = F.map_filter(F.coalesce(F.col("s.headers"), F.create_map().cast("map<string,string>")),
-                       lambda k, v: ~F.map_contains_key(new, k))
-    named = both.withColumn("outcome", outcome)
+    empty = F.create_map().cast("map<string,string>")
+    new = F.map_filter(F.coalesce(F.col("r.headers"), empty), lambda k, v: ~k.isin(*NOT_UPDATED))
+    old = F.map_filter(F.coalesce(F.col("s.headers"), empty), lambda k, v: ~F.map_contains_key(new, k))
     resolved = F.col("outcome") == "resolved"
-    return named.select(
+    answered = both.withColumn("outcome", outcome).select(
         F.col("r.record_id").alias("record_id"), canonical_url(F.col("r.url")).alias("url_key"), "outcome",
         F.when(resolved, F.col("s.record_id")).alias("source"),
         F.when(resolved, F.map_concat(old, new)).otherwise(F.col("r.headers")).alias("headers"),
-        F.when(resolved, F.col("s.body")).when(F.col("outcome") == "full", F.col("r.body")).alias("body"))
+        F.when(resolved, F.col("s.body")).alias("body"))
+    return own.union(answered)
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
