@@ -66,18 +66,14 @@ def coerce_types(df: DataFrame, numbers, keep, null_is_true: bool = False) -> Da
     return df.select(*[typed(c) for c in df.columns])
 
 
-def category_levels(df: DataFrame, columns, limit: int = 1000) -> dict[str, list[str]]:
-    """Distinct values per category column, from one pass over the data.
-
-    Columns with more than ``limit`` values in total are refused: use ``encode_categories``,
-    which needs no list of values on the driver.
-    """
+def category_levels(df: DataFrame, columns) -> dict[str, list[str]]:
+    """Distinct values per category column, from one pass over the data, for callers that want a named column
+    per value. The values become column names, so they are on the driver by nature; models do not need them
+    (``encode_categories``, and the model pipeline, index any number of values)."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level"))
                       for c in columns])
-    rows = df.select(F.inline(pairs)).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} category values in {list(columns)}")
     levels = {c: [] for c in columns}
+    rows = df.select(F.inline(pairs)).distinct().collect()
     for row in sorted(rows, key=lambda r: (r["feature"], r["level"] is not None, r["level"] or "")):
         levels[row["feature"]].append(row["level"])
     return levels
@@ -129,11 +125,15 @@ def engineer_v3(forms: DataFrame, keep=(*fv.ROW_IDENTITY_COLUMNS, "arrest"),
 
 def engineer_v2(forms: DataFrame, levels: dict[str, list[str]] | None = None,
                 keep=("suspect_id", "cif_number", "interview_date", "arrest")) -> DataFrame:
-    """Form rows to features, older rules: box flags and one flag per category value."""
+    """Form rows to features, older rules: box flags and categories.
+
+    With ``levels`` there is one flag column per listed category value. Without, categories stay text columns, which the
+    model pipeline indexes and encodes as sparse vectors, whatever their number of values.
+    """
     categories = [c for c in fv.CATEGORY_FEATURES_V2 if c in forms.columns]
-    if levels is None:
-        levels = category_levels(forms, categories)
     df = box_flags(destination_flags(forms, fv.PLACES_V2, unknown=True))
     df = df.drop("planned_destination", "pb_number", "arrest_date")
     df = coerce_types(df, fv.NUMBER_FEATURES_V2, (*keep, *categories))
+    if levels is None:
+        return df.withColumns({c: F.col(c).cast("string") for c in categories})
     return category_flags(df, levels)

@@ -142,15 +142,11 @@ def priority(settings: Settings) -> Column:
 # --- weights from a parameter table ----------------------------------------------------------------
 
 
-def weights_from_table(parameters: DataFrame, limit: int = 1000) -> dict[str, float]:
-    """Key/value rows of the parameter table as a weight dict; blank counts as 0.
-
-    The table is a hand-kept list; one longer than ``limit`` is refused rather than cut.
-    """
-    rows = parameters.select("key", number("value", 0).alias("value")).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("this is no parameter table")
-    return {row["key"]: row["value"] for row in rows if row["key"]}
+def weights_from_table(parameters: DataFrame, keys=(*fv.SOLVABILITY_WEIGHTS, *fv.PRIORITY_WEIGHTS)) -> dict[str, float]:
+    """The known keys of a key/value parameter table as a weight dict; blank counts as 0, an absent key is left out."""
+    found = parameters.agg(*[
+        F.max(F.when(F.col("key") == k, number("value", 0))).alias(f"k{i}") for i, k in enumerate(keys)]).first()
+    return {k: found[f"k{i}"] for i, k in enumerate(keys) if found[f"k{i}"] is not None}
 
 
 # --- case measures ------------------------------------------------------------------------------------

@@ -530,7 +530,8 @@ FEATURES_V2 = f"""
       number_of_traffickers::double as number_of_traffickers, total_blue_flags::double as total_blue_flags,
       known_broker_years::double as known_broker_years, {destination_sql(fv.PLACES_V2, True)},
       {box_hit('recruited_broker_pb')}, {box_hit('how_recruited_broker_online_pb')}, {EDUCATION}, {OCCUPATION}, {MISSING},
-      {', '.join(f"station_id = {i} as station_id_{i}" for i in range(25))}
+      {', '.join(f"station_id = {i} as station_id_{i}" for i in range(25))},
+      {', '.join(f'coalesce({c}, false) as {c}' for c in fv.CASE_FORM_FLAGS)}
     from (select * replace (coalesce(pb_number, 0) as pb_number), {sid('cif_number', 'pb_number')} as suspect_id from scan_all
       qualify row_number() over (partition by {sid('cif_number', 'pb_number')} order by interview_date desc, cif_id, person_id) = 1)"""
 
@@ -548,6 +549,26 @@ def _g_stat(part: str, column: str) -> str:
     return (f"select s.name, coalesce(d.{column}, 0) as {column} from g_suspects s left join {part} d on d.suspect_id = s.id")
 
 
+def _tabs(columns: str) -> str:
+    """All bound tabs, stacked."""
+    tabs = {"suspects": ("suspect_id", "suspects_sheet"), "closed_sus": ("suspect_id", "suspects_closed"),
+            "police": ("suspect_id", "police_sheet"), "closed_pol": ("suspect_id", "police_closed"),
+            "victims": ("victim_id", "victims_sheet"), "closed_vic": ("victim_id", "victims_closed")}
+    return " union all ".join(
+        f"select '{name}' as tab, case_id, {uid} as uid, {columns} from {table}" for name, (uid, table) in tabs.items())
+
+
+PART = ("(case when spot < 200 then 'test' when spot < 300 then 'validation' else 'train' end)")
+SPOT = "cast('0x' || left(md5(suspect_id || ':17'), 8) as bigint) % 1000 as spot"
+
+
+def _scored_keys(parted: bool, decided: bool, condition: str = "true") -> str:
+    part = f", {PART} as part" if parted else ""
+    where = f"where {AGE} > 90 or arrest = 1" if decided else ""
+    return (f"select suspect_id, cif_number{part}, true as in_range from (select *, {SPOT} from sus_forms {where}) "
+            f"where {condition}")
+
+
 TEXTS = {
     "s1_relational_query": "select cif_number, full_name, arrested from case_form f join person_box b on f.id = b.cif_id "
                            "join person p on p.id = b.person_id where arrested = 'Yes'",
@@ -561,22 +582,27 @@ TEXTS = {
                            "join pv_person p on p.id = f.main_pv_id",
     "s5_incident_notes": "select irf_number, case_notes from incident_notes",
     "s6_addresses": "select address1_id, address_1, address2_id, address_2 from addresses",
-    "s7_sheet_reader": "select 'suspects' as tab, case_id, name, case_status, date_closed from suspects_sheet union all "
-                       "select 'victims', case_id, name, case_status, date_closed from victims_sheet",
-    "s8_backup": f"select suspect_id, suspect_name, case_status, {AS_OF} as snapshot_date from police_sheet",
-    "s9_csv_sink": "select 'active' as part, case_id, suspect_id, case_status from police_sheet union all "
-                   "select 'closed', case_id, suspect_id, case_status from police_closed",
-    "s10_publish": 'select case_id as "Case_ID", victim_id as "Victim_ID", name as "Name", case_status as "Case_Status", '
-                   'date_closed as "Date_Closed" from victims_sheet',
+    "s7_sheet_reader": _tabs("case_status, date_closed") + " union all select 'cases', '', '', '', '' from cases_sheet "
+                       "union all select 'arrests', '', '', '', '' from arrests_sheet",
+    "s8_backup": _tabs(f"case_status, {AS_OF} as snapshot_date"),
+    "s9_csv_sink": _tabs("case_status"),
+    "s10_publish": "select tab, case_id as \"Case_ID\", uid as \"Uid\", case_status as \"Case_Status\", date_closed as \"Date_Closed\" from ("
+                   + _tabs("case_status, date_closed") + ")",
+    "s11_training_columns": f"""
+        select feature as "column", sum(v) as total from (
+          unpivot (select columns(* exclude (cif_number, interview_date, suspect_id, person_id, arrest))::double,
+                     coalesce({AGE} > 90 or arrest = 1, false) as decided from ({FEATURES_V3}))
+          on columns(* exclude decided) into name feature value v)
+        group by feature having max(case when decided and v <> 0 then 1 else 0 end) = 1""",
     "s12_graph_store": "select t.id::int as id, t.edge_type, t.edge_type_weight::int as edge_type_weight, n.links from (values "
                        + ", ".join(str(t) for t in fv.EDGE_TYPES) + ") t(id, edge_type, edge_type_weight) left join "
                        "(select relationship_type, count(*) as links from links group by 1) n on n.relationship_type = t.edge_type",
-    "s13_graph_replace": "select name, first_degree_links from g_stats",
+    "s13_graph_replace": "select name, first_degree_links, second_degree_links, first_degree_case_links, second_degree_case_links from g_stats",
     "s14_recent_links": f"""
         select sheet_id, row_no, suspect_case_id, source, target from links where suspect_case_id in (
           select suspect_id from suspects_sheet where try_strptime(date_relationships_updated, '%m/%d/%Y')::date >= {AS_OF} - 1)""",
     "p1_pick_addresses": "select address_1, address2_id, address_2 from addresses",
-    "p2_drop_columns": "select cif_number, interview_date, station_id, number_of_victims, number_of_traffickers, total_blue_flags, "
+    "p2_drop_columns": f"select {', '.join(f'cast({c} as integer) as {c}' for c in fv.CASE_FORM_FLAGS)}, cif_number, interview_date, station_id, number_of_victims, number_of_traffickers, total_blue_flags, "
                        "planned_destination, education, pv_occupation, known_broker_years, recruited_broker_pb, "
                        "how_recruited_broker_online_pb, pb_number from scan_all",
     "p3_case_id": f"select cif_number, {cid('cif_number')} as case_id from case_form",
@@ -649,7 +675,7 @@ TEXTS = {
     "w3_first_row_fill": "select sheet_id, row_no, name from links",
     "t1_sort_by_priority": "select suspect_id, priority from scored order by priority desc, suspect_id",
     "t2_top_rows": "select suspect_id, case_id, priority from scored order by priority desc, suspect_id limit 200",
-    "t3_link_work_list": "select suspect_id || '_relationships' as sheet_id, name, left(suspect_id, length(suspect_id) - 4) as case_id, "
+    "t3_link_work_list": "select suspect_id || '_relationships' as sheet_id, name, replace(regexp_replace(suspect_id, '\\.PB[0-9]+$', ''), '.', '') as case_id, "
                          "suspect_id as suspect_case_id, '' as source from (select * from scored order by priority desc, suspect_id limit 200) "
                          "where relationships = ''",
     "t4_first_by_name": first_rows("person", "phone_contact", "full_name, id", "full_name, phone_contact, id"),
@@ -662,14 +688,16 @@ TEXTS = {
     "u4_insert_if_absent": "select suspect_id, case_id, name from suspects_new where suspect_id not in (select suspect_id from suspects_sheet)",
     "l1_combine": _lifecycle_rows({"active": "combined"}),
     "l2_close_finished": _lifecycle_rows({"active": "active2", "closed": "closed2"}),
-    "l3_propagate_closing": _lifecycle_rows({"active": "active3", "closed": "closed3"}),
+    "l3_propagate_closing": "select * from (" + _lifecycle_rows({"active": "active3", "closed": "closed3"})
+                            + ") where part = 'active' or coalesce(case_id, '') <> ''",
+    "l3b_propagate_closing_v2": _lifecycle_rows({"active": "active3", "closed": "closed3"}),
     "l4_incident_notes": "select s.suspect_id, s.case_id, n.notes as irf_case_notes from suspects_sheet s left join "
                          "(select irf_number, min(case_notes) as notes from incident_notes group by 1) n on n.irf_number = s.case_id",
     "l5_willing_names": "select suspect_id, coalesce(willing_to_testify, '') as victims_willing_to_testify from police_sheet left join willing using (case_id)",
     "l6_located_names": "select victim_id, coalesce(located, '') as suspects_identified_and_located from victims_sheet left join located using (case_id)",
     "l7_copy_priority": f"select v.victim_id, coalesce(t.priority, 0) as priority, coalesce(t.narrative, '') as narrative from victims_sheet v left join "
                         f"({first_rows('scored', 'case_id', 'priority desc, suspect_id')}) t using (case_id)",
-    "l7b_copy_priority_police": "select p.suspect_id, s.priority, s.narrative from police_sheet p join scored s using (suspect_id)",
+    "l7b_copy_priority_police": "select p.suspect_id, s.priority, p.narrative from police_sheet p join scored s using (suspect_id)",
     "l8_case_roll_up": f"""
         select t.case_id, t.case_name, t.priority, t.irf_case_notes, t.narrative,
           case when p.done then '{fv.CASE_STATUS_POLICE}' when s.done then '{fv.CASE_STATUS_LOCATED}'
@@ -701,6 +729,13 @@ TEXTS = {
                       "round(lifted, 6) as eminence_score from lifted order by priority desc, suspect_id limit 200",
     "c13b_all_scores_v2": "select suspect_id, round(solvability, 6) as solvability, " + priority_sql("em") + " as priority from (select *, "
                           "(willing_score * 2 + bio_known * 2 + others_arrested + willing_to_arrest + recency_score * 4) / 14::double as solvability from v2_components)",
+    "m3_split": f"select suspect_id, cif_number, arrest, {PART} as part from (select *, {SPOT} from sus_forms)",
+    "m4_forest": _scored_keys(True, True),
+    "m5_fit_predict": _scored_keys(True, True, "spot between 200 and 299"),
+    "m6_grid_search": _scored_keys(True, True),
+    "m7_train": _scored_keys(False, False),
+    "m8_save_load": _scored_keys(False, False),
+    "m9_score_new_rows": _scored_keys(False, False),
     "m2_training_rows": f"select suspect_id, cif_number, {AGE} as days, arrest from sus_forms where {AGE} > 90 or arrest = 1",
     "n1_suspects": "select id, name from g_suspects",
     "n2_accounts": "select * from g_accounts",

@@ -23,10 +23,9 @@ from casewright.sources.bindings import Bindings
 SETTINGS = Settings(as_of=date(2001, 8, 1), country="ASIA",
                     network=NetworkWeights(enabled=True))
 PLAIN = replace(SETTINGS, network=NetworkWeights(enabled=False))
-# A one-point search grid; the full grids are parameters of the same function.
-COMPACT_GRID = {"bootstrap": (True,), "num_trees": (10,), "max_depth": (5,),
-                "feature_fraction": ("0.5",), "class_weight": ("balanced", None)}
-COMPACT_FOLDS = 2
+# The registered search: the grid's forests of 10 trees, in all published folds. The full grid is the default of the
+# same function.
+SMALL_FORESTS = {**fv.GRID_V3, "num_trees": (10,), "max_depth": (20,), "feature_fraction": ("0.5",)}
 
 QUERIES: dict = {}
 
@@ -116,9 +115,27 @@ def country_graph(b: Bindings) -> tuple[dict, dict]:
     return known, graph.new_rows(links, known, settle)
 
 
-def compact_model(b: Bindings, rows: DataFrame) -> strength_model.StrengthModel:
-    return strength_model.train(rows, SETTINGS.as_of, SETTINGS.cutoff_days, COMPACT_GRID,
-                                COMPACT_FOLDS, parallelism=2)
+def one_forest(b: Bindings, rows: DataFrame) -> strength_model.StrengthModel:
+    """A model without a search, for queries that are not about searching."""
+    return strength_model.train(rows, SETTINGS.as_of, SETTINGS.cutoff_days, grid=None)
+
+
+def _sound(scored: DataFrame, *keys: str) -> DataFrame:
+    """Keys and whether the score is a probability: scores themselves cannot match another library's forest."""
+    return scored.select(*keys, F.col("soc").between(0.0, 1.0).alias("in_range"))
+
+
+# The bound tabs: name, table, layout, uid.
+def bound_tabs(b: Bindings) -> dict[str, tuple[DataFrame, tuple[str, ...], str]]:
+    return {
+        "suspects": (b.suspects_sheet, SUSPECT_SHEET, "suspect_id"), "closed_sus": (b.suspects_closed, SUSPECT_SHEET, "suspect_id"),
+        "police": (b.police_sheet, POLICE_SHEET, "suspect_id"), "closed_pol": (b.police_closed, POLICE_SHEET, "suspect_id"),
+        "victims": (b.victims_sheet, VICTIM_SHEET, "victim_id"), "closed_vic": (b.victims_closed, VICTIM_SHEET, "victim_id"),
+    }
+
+
+def _tab_rows(name: str, df: DataFrame, uid: str) -> DataFrame:
+    return df.select(F.lit(name).alias("tab"), "case_id", F.col(uid).alias("uid"), "case_status", "date_closed")
 
 
 # --- sources and sinks -----------------------------------------------------------------------------
@@ -176,51 +193,56 @@ def s6_addresses(b):
 
 @query
 def s7_sheet_reader(b):
-    root = scratch_path(b.spark, "workbook")
-    sheets.write_tab(b.suspects_sheet, f"{root}/suspects")
-    sheets.write_tab(b.victims_sheet, f"{root}/victims")
-    tabs = sheets.read_tabs(b.spark, root, ["suspects", "victims"], {"victims": VICTIM_SHEET})
-    return unions.by_name(
-        tabs["suspects"].select(F.lit("suspects").alias("tab"), "case_id", "name", "case_status", "date_closed"),
-        tabs["victims"].select(F.lit("victims").alias("tab"), "case_id", "name", "case_status", "date_closed"))
+    root, tabs = scratch_path(b.spark, "workbook"), bound_tabs(b)
+    for name, (df, columns, _) in tabs.items():
+        sheets.write_tab(df.select(*columns), f"{root}/{name}")
+    sheets.write_tab(b.cases_sheet, f"{root}/cases")
+    sheets.write_tab(b.arrests_sheet, f"{root}/arrests")
+    layouts = {name: columns for name, (_, columns, _) in tabs.items()}
+    read = sheets.read_tabs(b.spark, root, [*tabs, "cases", "arrests"], layouts)
+    sizes = [read[name].select(F.lit(name).alias("tab"), F.lit("").alias("case_id"), F.lit("").alias("uid"),
+                               F.lit("").alias("case_status"), F.lit("").alias("date_closed")) for name in ("cases", "arrests")]
+    return unions.by_name(*[_tab_rows(name, read[name], uid) for name, (_, _, uid) in tabs.items()], *sizes)
 
 
 @query
 def s8_backup(b):
-    root = scratch_path(b.spark, "backups")
-    sinks.back_up({"police": b.police_sheet, "victims": b.victims_sheet}, root, SETTINGS.as_of)
+    root, tabs = scratch_path(b.spark, "backups"), bound_tabs(b)
+    sinks.back_up({name: df for name, (df, _, _) in tabs.items()}, root, SETTINGS.as_of)
     sinks.back_up({"police": b.police_sheet}, root, SETTINGS.as_of)
-    return b.spark.read.parquet(f"{root}/police").select(
-        "suspect_id", "suspect_name", "case_status", "snapshot_date")
+    return unions.by_name(*[
+        _tab_rows(name, b.spark.read.parquet(f"{root}/{name}").withColumn("date_closed", F.col("snapshot_date")), uid)
+        for name, (_, _, uid) in tabs.items()]).withColumnRenamed("date_closed", "snapshot_date")
 
 
 @query
 def s9_csv_sink(b):
-    root = scratch_path(b.spark, "csv")
-    police = EntityGroup("police", "suspect_id", POLICE_SHEET, b.police_sheet, b.police_closed,
-                         b.police_sheet, active=b.police_sheet)
-    active, closed = sinks.save_csv([police], root)
-    rows = [
-        b.spark.read.csv(path).toDF(*POLICE_SHEET).select(
-            F.lit(name).alias("part"), *[text.null_to_blank(c).alias(c) for c in ("case_id", "suspect_id", "case_status")])
-        for name, path in (("active", active), ("closed", closed))
-    ]
-    return unions.by_name(*rows)
+    root, tabs = scratch_path(b.spark, "csv"), bound_tabs(b)
+    groups_ = [EntityGroup(name, uid, columns, df, tabs[f"closed_{name[:3]}"][0], df, active=df)
+               for name, (df, columns, uid) in tabs.items() if not name.startswith("closed")]
+    sinks.save_csv(groups_, root)
+    return unions.by_name(*[
+        b.spark.read.csv(f"{root}/{name}").toDF(*columns).select(F.lit(name).alias("tab"), *[
+            text.null_to_blank(c).alias(new) for c, new in (("case_id", "case_id"), (uid, "uid"), ("case_status", "case_status"))])
+        for name, (_, columns, uid) in tabs.items()])
 
 
 @query
 def s10_publish(b):
-    root = scratch_path(b.spark, "published")
+    root, tabs = scratch_path(b.spark, "published"), bound_tabs(b)
     for _ in range(2):  # the second publication replaces the first
-        sinks.publish(b.spark, root, {"victims": (b.victims_sheet, VICTIM_SHEET)})
-    return tables.read(b.spark, f"{root}/victims").select(
-        "Case_ID", "Victim_ID", "Name", "Case_Status", "Date_Closed")
+        sinks.publish(b.spark, root, {name: (df, columns) for name, (df, columns, _) in tabs.items()})
+    return unions.by_name(*[
+        sinks.published(b.spark, root, name).select(
+            F.lit(name).alias("tab"), "Case_ID", F.col("Victim_ID" if uid == "victim_id" else "Suspect_ID").alias("Uid"),
+            "Case_Status", "Date_Closed")
+        for name, (_, _, uid) in tabs.items()])
 
 
 @query
 def s11_training_columns(b):
     rows = feature_rows(b)
-    model = compact_model(b, rows)
+    model = one_forest(b, rows)
     path = scratch_path(b.spark, "model")
     strength_model.save(b.spark, model, path)
     columns = strength_model.load_columns(b.spark, path)
@@ -244,7 +266,8 @@ def s13_graph_replace(b):
     root = scratch_path(b.spark, "graph")
     graph_store.write(b.spark, root, full_graph(b))
     graph_store.refresh_stats(b.spark, root)
-    return graph_store.read(b.spark, root)["suspects"].select("name", "first_degree_links")
+    return graph_store.read(b.spark, root)["suspects"].select(
+        "name", "first_degree_links", "second_degree_links", "first_degree_case_links", "second_degree_case_links")
 
 
 @query
@@ -263,7 +286,8 @@ def p1_pick_addresses(b):
 
 @query
 def p2_drop_columns(b):
-    return people.drop_unused_form_columns(relational.scan_case_forms_v2(b)).drop(*fv.CASE_FORM_FLAGS)
+    rows = people.drop_unused_form_columns(relational.scan_case_forms_v2(b))
+    return rows.withColumns({c: F.col(c).cast("int") for c in fv.CASE_FORM_FLAGS})
 
 
 @query
@@ -360,7 +384,8 @@ def p18_features(b):
 @query
 def p18b_features_v2(b):
     rows = people.suspect_forms_v2(relational.scan_case_forms_v2(b))
-    return features.engineer_v2(rows).drop(*fv.CASE_FORM_FLAGS)
+    categories = [c for c in fv.CATEGORY_FEATURES_V2 if c in rows.columns]
+    return features.engineer_v2(rows, features.category_levels(rows, categories))
 
 
 @query
@@ -664,15 +689,25 @@ def l2_close_finished(b):
     return unions.by_name(*rows)
 
 
-@branching_query
-def l3_propagate_closing(b):
+def _propagated(b: Bindings, keep_blank_cases: bool = False) -> DataFrame:
     rows = []
-    for g in lifecycle.propagate_closing(*closed_groups(b), settle=settle_on(b.spark)):
+    for g in lifecycle.propagate_closing(*closed_groups(b), settle=settle_on(b.spark), keep_blank_cases=keep_blank_cases):
         rows += [_slim(g, g.active).withColumn("part", F.lit("active")),
                  _slim(g, g.closed).withColumn("part", F.lit("closed"))]
     return unions.by_name(*rows)
 
 
+@branching_query
+def l3_propagate_closing(b):
+    return _propagated(b)
+
+
+@branching_query
+def l3b_propagate_closing_v2(b):
+    """The older rules keep closed rows without a case."""
+    return _propagated(b, keep_blank_cases=True)
+
+
 @query
 def l4_incident_notes(b):
     return lifecycle.add_incident_notes(b.suspects_sheet, b.incident_notes, "suspect_id").select(
@@ -700,7 +735,7 @@ def l7_copy_priority(b):
 @branching_query
 def l7b_copy_priority_police(b):
     return lifecycle.copy_priority(_scored(b, PLAIN), b.police_sheet, "suspect_id", "suspect_id",
-                                   how="inner").select("suspect_id", "priority", "narrative")
+                                   how="inner", narrative=False).select("suspect_id", "priority", "narrative")
 
 
 @branching_query
@@ -874,33 +909,32 @@ def _split_rows(b: Bindings) -> tuple[DataFrame, list[str]]:
 def m4_forest(b):
     from pyspark.ml.classification import RandomForestClassifier
     rows, columns = _split_rows(b)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="arrest", numTrees=10, maxDepth=5, seed=3)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="arrest", numTrees=10, maxDepth=20, seed=3)
     model = strength_model.classifier_pipeline(rows, columns, forest).fit(rows.filter("part = 'train'"))
-    return model.transform(rows).select("suspect_id", "cif_number", "prediction")
+    return model.transform(rows).select("suspect_id", "cif_number", "part", F.col("prediction").isin(0.0, 1.0).alias("in_range"))
 
 
 @query
 def m5_fit_predict(b):
     from pyspark.ml.classification import RandomForestClassifier
     rows, columns = _split_rows(b)
-    forest = RandomForestClassifier(featuresCol="features", labelCol="arrest", numTrees=10, maxDepth=5, seed=3)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="arrest", numTrees=10, maxDepth=20, seed=3)
     pipeline = strength_model.classifier_pipeline(rows, columns, forest)
-    return strength_model.fit_predict(pipeline, rows.filter("part = 'train'"),
-                                      rows.filter("part = 'validation'")).select("suspect_id", "cif_number", "soc")
+    return _sound(strength_model.fit_predict(pipeline, rows.filter("part = 'train'"),
+                                             rows.filter("part = 'validation'")), "suspect_id", "cif_number", "part")
 
 
 @query
 def m6_grid_search(b):
     rows, columns = _split_rows(b)
-    best, _ = strength_model.grid_search(rows.filter("part = 'train'"), columns, COMPACT_GRID, COMPACT_FOLDS, 2)
-    scored = strength_model.probability_of_one(best.transform(rows))
-    return scored.select("suspect_id", "cif_number", "part", "soc")
+    best, _ = strength_model.grid_search(rows.filter("part = 'train'"), columns, SMALL_FORESTS, fv.GRID_V3_FOLDS)
+    return _sound(strength_model.probability_of_one(best.transform(rows)), "suspect_id", "cif_number", "part")
 
 
 @query
 def m7_train(b):
     rows = cut_lineage(b.spark, "features", feature_rows(b))
-    return strength_model.predict(rows, compact_model(b, rows)).select("suspect_id", "cif_number", "soc")
+    return _sound(strength_model.predict(rows, one_forest(b, rows)), "suspect_id", "cif_number")
 
 
 @query
@@ -908,19 +942,18 @@ def m8_save_load(b):
     rows = cut_lineage(b.spark, "features", feature_rows(b))
     path = scratch_path(b.spark, "model")
     settings = (SETTINGS.as_of, SETTINGS.cutoff_days)
-    search = {"grid": COMPACT_GRID, "folds": COMPACT_FOLDS, "parallelism": 2}
-    strength_model.train_or_load(b.spark, rows, path, True, *settings, **search)
+    strength_model.train_or_load(b.spark, rows, path, True, *settings, grid=None)
     loaded = strength_model.train_or_load(b.spark, rows, path, False, *settings)
-    return strength_model.predict(rows, loaded).select("suspect_id", "cif_number", "soc")
+    return _sound(strength_model.predict(rows, loaded), "suspect_id", "cif_number")
 
 
 @query
 def m9_score_new_rows(b):
     """Rows lacking some training columns and having others the model never saw."""
     rows = cut_lineage(b.spark, "features", feature_rows(b))
-    model = compact_model(b, rows)
+    model = one_forest(b, rows)
     new = rows.drop("destination_Kampala", "recruited_broker").withColumn("never_seen", F.lit(True))
-    return strength_model.predict(new, model).select("suspect_id", "cif_number", "soc")
+    return _sound(strength_model.predict(new, model), "suspect_id", "cif_number")
 
 
 # --- graph ----------------------------------------------------------------------------------------------------------------
@@ -1010,6 +1043,8 @@ def n11_link_stats(b):
 def _run_rows(result: runs.RunResult) -> DataFrame:
     rows = [_slim(g, df).withColumn("part", F.lit(part)) for g in result.groups
             for part, df in (("active", g.active), ("closed", g.closed))]
+    if result.cases is None:
+        return unions.by_name(*rows)
     cases = result.cases.select(
         F.lit("cases").alias("entity"), F.col("case_id").alias("uid"), "case_id",
         F.col("case_name").alias("name"), "case_status",
@@ -1019,10 +1054,10 @@ def _run_rows(result: runs.RunResult) -> DataFrame:
 
 @branching_query
 def e1_run_v3(b):
-    return _run_rows(runs.run_v3(b, PLAIN, lambda rows: compact_model(b, rows), settle_on(b.spark)))
+    return _run_rows(runs.run_v3(b, PLAIN, lambda rows: one_forest(b, rows), settle_on(b.spark)))
 
 
 @branching_query
 def e2_run_v2(b):
     settings = replace(PLAIN, variant="v2", bio_mode="v2")
-    return _run_rows(runs.run_v2(b, settings, lambda rows: compact_model(b, rows), settle_on(b.spark)))
+    return _run_rows(runs.run_v2(b, settings, lambda rows: one_forest(b, rows), settle_on(b.spark)))

@@ -17,12 +17,12 @@ from casewright.sources import relational, sheets
 
 @dataclass(frozen=True)
 class RunResult:
-    """The three groups after the run, the case roll-up, and the published top suspects."""
+    """The three groups after the run, the case roll-up (newer rules), and the published top suspects."""
 
     suspects: EntityGroup
     police: EntityGroup
     victims: EntityGroup
-    cases: DataFrame
+    cases: DataFrame | None
     top_suspects: DataFrame
     scored_forms: DataFrame
     link_work_list: DataFrame | None = None
@@ -45,8 +45,8 @@ def entity_groups(tables, suspects: DataFrame, victims: DataFrame) -> tuple[Enti
     )
 
 
-def merge_and_close(groups, arrested: DataFrame, notes: DataFrame | None,
-                    settle) -> tuple[EntityGroup, EntityGroup, EntityGroup]:
+def merge_and_close(groups, arrested: DataFrame, notes: DataFrame | None, settle,
+                    keep_blank_cases: bool = False) -> tuple[EntityGroup, EntityGroup, EntityGroup]:
     """Combine sheets with new rows, add incident notes, close what is finished."""
     out = []
     for group in groups:
@@ -56,7 +56,7 @@ def merge_and_close(groups, arrested: DataFrame, notes: DataFrame | None,
                 group.active, notes, group.uid).select(*group.columns))
         out.append(lifecycle.close_finished(
             group, None if group.name == "victims" else arrested, settle))
-    return lifecycle.propagate_closing(*out, settle=settle)
+    return lifecycle.propagate_closing(*out, settle=settle, keep_blank_cases=keep_blank_cases)
 
 
 def model_features(forms: DataFrame, settings: Settings) -> DataFrame:
@@ -107,7 +107,8 @@ def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links
         tables,
         people.suspect_rows(boxes, people.with_address(relational.scan_suspects_v2(tables), addresses)),
         people.victim_rows(people.with_address(relational.scan_victims_v2(tables), addresses)))
-    suspects, police, victims = merge_and_close((suspects, police, victims), arrests, None, settle)
+    suspects, police, victims = merge_and_close(
+        (suspects, police, victims), arrests, None, settle, keep_blank_cases=True)
     suspects, police, victims = [
         replace(g, active=settle(f"{g.name}-open", g.active)) for g in (suspects, police, victims)]
 
@@ -126,30 +127,32 @@ def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links
 
 def finish(tables, settings: Settings, suspects: EntityGroup, police: EntityGroup,
            victims: EntityGroup, measures: DataFrame, scored_forms: DataFrame, settle) -> RunResult:
-    """Names across lists, scores, priorities and the case roll-up."""
+    """Names across lists, scores and priorities; with the newer rules also case names and the case roll-up."""
+    newer = settings.variant == "v3"
+    named_cases = lambda df, uid: people.with_case_names(df, tables.cases_sheet, uid) if newer else df
     willing = aggregates.willing_victims(victims.active, settings.variant)
     named = suspects.active
-    if settings.variant == "v3":
+    if newer:
         named = lifecycle.add_willing_names(named, willing, "suspect_id")
     scored = scoring.score_suspects(named, settings, measures,
                                     scoring.suspect_measures(scored_forms))
-    active = people.with_case_names(scored, tables.cases_sheet, "suspect_id").select(*SUSPECT_SHEET)
+    active = named_cases(scored, "suspect_id").select(*SUSPECT_SHEET)
     suspects = replace(suspects, active=settle("suspects-scored", active))
 
-    how = "left" if settings.variant == "v3" else "inner"
+    how = "left" if newer else "inner"
     police_rows = lifecycle.add_willing_names(police.active, willing, "suspect_id")
-    police_rows = lifecycle.copy_priority(suspects.active, police_rows, "suspect_id", "suspect_id", how, sort=False)
-    police_rows = people.with_case_names(police_rows, tables.cases_sheet, "suspect_id")
+    police_rows = lifecycle.copy_priority(suspects.active, police_rows, "suspect_id", "suspect_id", how, sort=False, narrative=newer)
+    police_rows = named_cases(police_rows, "suspect_id")
     victim_rows = victims.active
-    if settings.variant == "v3":
+    if newer:
         victim_rows = lifecycle.add_located_names(
             victim_rows, aggregates.located_suspects(suspects.active), "victim_id")
-    victim_rows = lifecycle.copy_priority(suspects.active, victim_rows, "case_id", "victim_id", how, sort=False)
-    victim_rows = people.with_case_names(victim_rows, tables.cases_sheet, "victim_id")
+    victim_rows = lifecycle.copy_priority(suspects.active, victim_rows, "case_id", "victim_id", how, sort=False, narrative=newer)
+    victim_rows = named_cases(victim_rows, "victim_id")
     police = replace(police, active=settle("police-done", police_rows.select(*POLICE_SHEET)))
     victims = replace(victims, active=settle("victims-done", victim_rows.select(*VICTIM_SHEET)))
     return RunResult(
         suspects, police, victims,
-        cases=lifecycle.roll_up_cases(suspects.active, police.active),
+        cases=lifecycle.roll_up_cases(suspects.active, police.active) if newer else None,
         top_suspects=ranking.top_rows(suspects.active, "suspect_id", settings.published_rows),
         scored_forms=scored_forms)

@@ -116,9 +116,8 @@ def test_own_arrest_can_be_left_out(spark):
 
 
 def test_weights_from_table(spark):
-    table = spark.createDataFrame([("a", "2"), ("b", ""), (None, "3")], "key string, value string")
-    assert scoring.weights_from_table(table) == {"a": 2.0, "b": 0.0}
-    with pytest.raises(ValueError):
-        scoring.weights_from_table(table, limit=2)
+    table = spark.createDataFrame([("a", "2"), ("b", ""), (None, "3")] + [(f"note {i}", "5") for i in range(2000)],
+                                  "key string, value string")
+    assert scoring.weights_from_table(table, ("a", "b", "c")) == {"a": 2.0, "b": 0.0}
     with pytest.raises(ValueError):
         replace(S, solvability_weights={"a": 1.0})
