@@ -7,12 +7,11 @@ log probabilities, one per language, so that one search scores all languages. Te
 probability a character (the negative cross-entropy), and the lowest cross-entropy wins.
 
 The model has at most ``KEPT`` n-grams a language and order, those with the highest counts (n-grams of equal count
-stay or go together); the probability of the
-others goes to the lower order, so the distributions stay whole and the model's size does not depend on the corpus.
+stay or go together); the probability of the others goes to the lower order, so the distributions stay whole and the model's size does not depend on the corpus.
 
 Defined cases: a null text or one without a letter gives ``und`` with score 0, rejected. Ties go to the first language
-by code point. Without any training row the model has no language and everything is ``und``. Rows that repeat are
-scored each. Other columns are not read.
+by code point. Without any training row the model has no language: everything is ``und``, and only texts without a
+letter are rejected. Rows that repeat are scored each. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +33,8 @@ MOST_LANGUAGES = 200
 DISCOUNT_FLOOR, DISCOUNT_CEILING = 0.1, 0.95
 #: Rows of the training part, about, that calibrate score and rejection; a bounded sample, the counts cover all rows.
 CALIBRATION_ROWS = 4000
-#: A text is rejected when its cross-entropy is so many spreads above what its language shows for texts of its length.
+#: A text is rejected when its cross-entropy is so many spreads above what its language shows for texts of its length, and
+#: above the entropy of the language's single characters: then its order of characters says nothing of the language.
 REJECTED_SPREADS = 12.0
 UNKNOWN = "und"
 BITS = np.uint64(21)
@@ -243,13 +243,15 @@ class Model:
     def judge(self, entropies: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language number or -1, score, rejected) of each row."""
         if not self.languages or not len(length):
-            return np.full(len(length), -1), np.zeros(len(length)), np.ones(len(length), bool)
+            return np.full(len(length), -1), np.zeros(len(length)), length == 0
         best = entropies.argmin(axis=1)
         lowest = entropies[np.arange(len(best)), best]
         odds = np.exp(-self.sharpness * np.sqrt(np.maximum(length, 1))[:, None] * (entropies - lowest[:, None]))
         score = 1 / odds.sum(axis=1)
         mean, spread, single = self.usual[best].T if self.usual is not None else (0, np.inf, 0)
         limit = mean + REJECTED_SPREADS * np.sqrt(spread ** 2 + single ** 2 / np.maximum(length, 1))
+        plain = -(np.exp(self.logp[0]) * self.logp[0]).sum(axis=0)
+        limit = np.maximum(limit, plain[best])
         none = length == 0
         return np.where(none, -1, best), np.where(none, 0.0, score), none | (lowest > limit)
 
