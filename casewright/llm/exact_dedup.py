@@ -76,10 +76,9 @@ def recipes(docs: DataFrame) -> DataFrame:
     raw = settle("recipes", docs.select(F.col("doc_id").cast("long"), "text")
                  .mapInArrow(by_rows(_recipes, _ARROW), _SPARK).dropDuplicates(["doc_id", "text_sha256"]))
     listed = raw.select("doc_id", "text_sha256", F.explode("chunks").alias("c")).select("doc_id", "text_sha256", "c.*")
-    several = (
-        listed.groupBy("name").agg(F.min("check").alias("low"), F.max("check").alias("high"))
-        .filter("low <> high").select("name")
-    )
+    # Written down: it is (all but) empty, and so the joins with it need no shuffle by name, of which some are very hot.
+    several = settle("names-in-doubt", listed.groupBy("name").agg(
+        F.min("check").alias("low"), F.max("check").alias("high")).filter("low <> high").select("name"))
     # Ranks exist only for the names in doubt; all others have rank 0.
     ranks = (
         listed.join(several, "name", "left_semi").select("name", "check").distinct()

@@ -40,26 +40,23 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = exact_dedup.exact_duplicates(docs)
     kept = found.filter("kept").select("doc_id", F.col("text_sha256").alias("text_hash"))
     same = F.sha2(ascii_lower(F.coalesce(docs["text"], F.lit(""))), 256)
-    staying = _where(docs, kept, "left_semi", same)
-    return _first_rows(staying)
+    return _first_rows(_where(docs, kept, "left_semi", same), docs)
 
 
-def _first_rows(docs: DataFrame) -> DataFrame:
-    """One row of each id: after exact duplicates, rows that repeat an id and text differ at most in other columns.
+def _first_rows(staying: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row of each id and text of ``staying``: rows that repeat both differ at most in other columns.
 
-    Only ids that do repeat are looked at; the rest of the table does not move.
+    ``docs`` has the same rows before any join; which ids repeat is read there, and only those rows move.
     """
-    key = [F.col("doc_id"), F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256).alias("__sha")]
-    several = docs.select(*key).groupBy("doc_id", "__sha").count().filter("count > 1").drop("count")
+    sha = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256)
+    several = settle("repeated-rows", docs.select(F.col("doc_id").alias("__id"), sha.alias("__sha")).groupBy(
+        "__id", "__sha").count().filter("count > 1").drop("count"))
     if several.isEmpty():
-        return docs
-    columns = docs.columns
-    marked = docs.withColumn("__sha", key[1])
-    repeated = marked.join(several, marked["doc_id"].eqNullSafe(several["doc_id"]) & (
-        marked["__sha"] == several["__sha"]), "left_semi").dropDuplicates(["doc_id", "__sha"]).select(*columns)
-    single = marked.join(several, marked["doc_id"].eqNullSafe(several["doc_id"]) & (
-        marked["__sha"] == several["__sha"]), "left_anti").select(*columns)
-    return single.union(repeated)
+        return staying
+    same = staying["doc_id"].eqNullSafe(several["__id"]) & (sha == several["__sha"])
+    single = staying.join(several, same, "left_anti")
+    repeated = staying.join(several, same, "left_semi").withColumn("__sha", sha).dropDuplicates(["doc_id", "__sha"])
+    return single.union(repeated.drop("__sha"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
