@@ -143,7 +143,8 @@ def _edges(links: DataFrame, suspects: DataFrame, accounts: DataFrame, types: Da
     )
     if existing is not None or canonical_undirected:
         rows = keep_first(rows, ["edge_combo_id"], ROW_ORDER)
-    rows = rows.select(*GRAPH_TABLES["edges"].names[1:])
+    # Numbering reads the rows twice, so they are worked out once.
+    rows = write_down("edge-rows", rows.select(*GRAPH_TABLES["edges"].names[1:]))
     if existing is None:
         return number_rows(rows, ["source_account_id", "target_account_id"])
     return number_rows(insert_if_absent(existing, rows, "edge_combo_id"), ["edge_combo_id"],

@@ -1043,6 +1043,16 @@ def n11_link_stats(b):
 def _run_rows(result: runs.RunResult) -> DataFrame:
     rows = [_slim(g, df).withColumn("part", F.lit(part)) for g in result.groups
             for part, df in (("active", g.active), ("closed", g.closed))]
+    # Priorities, the published view, and what the graph holds belong to the result.
+    more = lambda df, entity, uid, name, value: df.select(
+        F.lit(entity).alias("entity"), F.col(uid).cast("string").alias("uid"), F.lit(None).cast("string").alias("case_id"),
+        F.col(name).alias("name"), F.lit(None).cast("string").alias("case_status"),
+        F.col(value).cast("string").alias("date_closed"), F.lit("active").alias("part"))
+    rows.append(more(result.suspects.active, "priority", "suspect_id", "name", "priority"))
+    rows.append(more(result.top_suspects, "top", "suspect_id", "name", "priority"))
+    if result.graph is not None:
+        rows.append(more(result.graph["suspects"], "links", "id", "name", "first_degree_case_links"))
+        rows.append(more(result.link_work_list, "link_sheet", "suspect_case_id", "name", "case_id"))
     if result.cases is None:
         return unions.by_name(*rows)
     cases = result.cases.select(

@@ -70,9 +70,13 @@ def model_features(forms: DataFrame, settings: Settings) -> DataFrame:
 ModelSource = Callable[[DataFrame], strength_model.StrengthModel]
 
 
-def run_v3(tables, settings: Settings, model_for: ModelSource, settle) -> RunResult:
+def run_v3(tables, settings: Settings, model_for: ModelSource, settle,
+           suspects_with_links: DataFrame | None = None) -> RunResult:
     """Newer rules. ``settle(name, df)`` writes a table to shared storage and returns it read back;
-    it is used where several results branch off one state."""
+    it is used where several results branch off one state. The network stage needs link counts of suspects
+    (``link_stats.suspects_with_links``) and is refused without them."""
+    if settings.network.enabled and suspects_with_links is None:
+        raise ValueError("the network stage needs link counts of suspects")
     scanned = relational.scan_case_forms(tables, settings.country, contacts=True)
     forms = settle("forms", people.with_narrative(people.suspect_forms(scanned)))
 
@@ -89,11 +93,15 @@ def run_v3(tables, settings: Settings, model_for: ModelSource, settle) -> RunRes
         replace(g, active=settle(f"{g.name}-open", g.active)) for g in (suspects, police, victims)]
 
     measures = scoring.case_measures(settings, victims.active, police.active, scored_forms)
-    return finish(tables, settings, suspects, police, victims, measures, scored_forms, settle)
+    return finish(tables, settings, suspects, police, victims, measures, scored_forms, settle, suspects_with_links)
 
 
-def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links: int = 3) -> RunResult:
-    """Older rules: arrests from their own sheet, addresses, box flags, and the contact graph."""
+def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links: int = 3,
+           known: dict | None = None) -> RunResult:
+    """Older rules: arrests from their own sheet, addresses, box flags, and the contact graph.
+
+    ``known`` is the stored graph that updated link sheets are added to; without one the graph starts empty.
+    """
     all_forms = relational.scan_case_forms_v2(tables)
     arrests = settle("arrests", aggregates.arrest_rows(tables.arrests_sheet))
     form_rows = settle("forms", aggregates.label_from_arrests(people.suspect_forms_v2(all_forms), arrests))
@@ -112,21 +120,23 @@ def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links
     suspects, police, victims = [
         replace(g, active=settle(f"{g.name}-open", g.active)) for g in (suspects, police, victims)]
 
+    # The graph takes the updated sheets in before scoring: with the network stage on, its counts lift eminence.
+    links = sheets.recently_updated_links(suspects.active, tables.link_rows, settings.as_of)
+    graph = known or graph_ops.empty_graph(tables.spark)
+    graph = graph_ops.extend(graph, graph_ops.new_rows(settle("links", links), graph, settle))
+    graph["suspects"] = settle("link-counts", link_stats.refresh_link_stats(graph, settle=settle))
+
     dates = all_forms.select("cif_number", "interview_date")
     measures = scoring.case_measures(settings, victims.active, police.active, dates, arrests)
-    result = finish(tables, settings, suspects, police, victims, measures, scored_forms, settle)
-
-    links = sheets.recently_updated_links(result.suspects.active, tables.link_rows, settings.as_of)
-    spark = tables.spark
-    graph = graph_ops.empty_graph(spark)
-    graph = graph_ops.extend(graph, graph_ops.new_rows(settle("links", links), graph, settle))
-    graph["suspects"] = link_stats.refresh_link_stats(graph)
+    result = finish(tables, settings, suspects, police, victims, measures, scored_forms, settle,
+                    link_stats.suspects_with_links(graph, graph["suspects"]))
     return replace(result, graph=graph, link_work_list=ranking.link_sheet_work_list(
         result.suspects.active, top_links))
 
 
 def finish(tables, settings: Settings, suspects: EntityGroup, police: EntityGroup,
-           victims: EntityGroup, measures: DataFrame, scored_forms: DataFrame, settle) -> RunResult:
+           victims: EntityGroup, measures: DataFrame, scored_forms: DataFrame, settle,
+           suspects_with_links: DataFrame | None = None) -> RunResult:
     """Names across lists, scores and priorities; with the newer rules also case names and the case roll-up."""
     newer = settings.variant == "v3"
     named_cases = lambda df, uid: people.with_case_names(df, tables.cases_sheet, uid) if newer else df
@@ -135,7 +145,7 @@ def finish(tables, settings: Settings, suspects: EntityGroup, police: EntityGrou
     if newer:
         named = lifecycle.add_willing_names(named, willing, "suspect_id")
     scored = scoring.score_suspects(named, settings, measures,
-                                    scoring.suspect_measures(scored_forms))
+                                    scoring.suspect_measures(scored_forms), suspects_with_links)
     active = named_cases(scored, "suspect_id").select(*SUSPECT_SHEET)
     suspects = replace(suspects, active=settle("suspects-scored", active))
 
