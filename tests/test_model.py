@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
 from casewright.operators import features, strength_model
 from casewright.session import scratch_path
+from casewright.sources import sinks, tables
 
 AS_OF = dt.date(2001, 8, 1)
 GRID = {"bootstrap": (True,), "num_trees": (5,), "max_depth": (4,), "feature_fraction": ("0.6",),
@@ -75,3 +77,34 @@ def test_grids():
 def test_empty_features_are_dropped(planted):
     kept = features.drop_empty_features(planted, ("suspect_id",))
     assert "never" not in kept.columns and "flag_a" in kept.columns
+
+
+def test_any_number_of_categories_reaches_the_model(spark):
+    rows = spark.range(5000).selectExpr("concat('job ', id) as pv_occupation", "id % 7 as n", "id % 2 = 0 as flag", "cast(id % 2 as int) as arrest")
+    columns = strength_model.feature_columns(rows)
+    assert set(columns) == {"pv_occupation", "n", "flag"}
+    fitted = Pipeline(stages=strength_model.transformer_stages(rows, columns)).fit(rows)
+    vector = fitted.transform(rows).select("features").first().features
+    assert len(vector) >= 5002
+    unseen = rows.limit(1).withColumn("pv_occupation", F.lit("never seen"))
+    assert len(fitted.transform(unseen).select("features").first().features) == len(vector)
+
+
+def test_one_writer_per_version(spark, monkeypatch):
+    path = scratch_path(spark, "table")
+    tables.replace(spark, path, spark.range(2))
+    monkeypatch.setattr(tables, "latest_version", lambda *_: None)  # another run took the same number
+    with pytest.raises(FileExistsError):
+        tables.replace(spark, path, spark.range(3))
+    monkeypatch.undo()
+    assert tables.read(spark, path).count() == 2
+
+
+def test_tabs_are_published_together(spark):
+    root = scratch_path(spark, "published")
+    good = spark.createDataFrame([("K1", "a")], "case_id string, name string")
+    sinks.publish(spark, root, {"one": (good, ("case_id",)), "two": (good, ("name",))})
+    broken = good.withColumn("name", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.publish(spark, root, {"one": (good.limit(0), ("case_id",)), "two": (broken, ("name",))})
+    assert sinks.published(spark, root, "one").count() == 1 and sinks.published(spark, root, "two").count() == 1
