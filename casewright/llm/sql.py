@@ -3,7 +3,48 @@
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+TRACKING = "('fbclid', 'gclid', 'ref', 'utm_campaign', 'utm_content', 'utm_medium', 'utm_source', 'utm_term')"
+
 ORACLE_SQL = {
+    "op6_warc_revisits": rf"""
+with bare as (
+    select *, regexp_replace(regexp_replace(coalesce(url, ''), '#.*$', '', 's'), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as b,
+        (page_id * 7919 % 100003) * 60 as s, substring(md5(coalesce(html, '')), 1, 16) as tag
+    from pages),
+keyed as (
+    select *, strftime(timestamp '2020-09-13 12:26:40' + to_seconds(s), '%Y-%m-%d %H:%M:%S') as lm,
+        strlen(html) as len, list_sort(list_filter(string_split(regexp_extract(b, '^[^?]*\?(.*)$', 1, 's'), '&'),
+            lambda p: p <> '' and split_part(p, '=', 1) not in {TRACKING})) as q
+    from bare),
+named as (
+    select *, regexp_replace(translate(regexp_extract(b, '^[^/?]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '^www\.|:(80|443)$', '', 'g') || regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '')
+        || case when len(q) > 0 then '?' || array_to_string(q, '&') else '' end as k
+    from keyed),
+latest as (
+    select r.page_id, max(row(f.s, f.page_id)) as f from named r join named f on f.k = r.k and f.s < r.s + 86400 group by 1),
+asked as (
+    select r.*, f.page_id as sp, f.tag as stag, f.lm as slm, f.len as slen, f.html as sh,
+        case when r.page_id % 11 = 0 or r.page_id % 5 = 0 then null when r.page_id % 7 = 0 then 'other' else 'W/' || r.tag end
+            as rtag,
+        case when r.page_id % 11 = 0 then null else r.lm end as rlm
+    from named r left join latest l on l.page_id = r.page_id left join named f on f.page_id = l.f[2]),
+judged as (
+    select *, case when sp is null then 'orphan' when rtag is not null then if(replace(rtag, 'W/', '') = stag, 'resolved', 'mismatch')
+        when rlm is not null then if(rlm = slm, 'resolved', 'mismatch') else 'unverified' end as outcome from asked)
+select page_id * 2 as record_id, k as url_key, 'full' as outcome, cast(null as bigint) as source,
+    'cache-control: max-age=60' || coalesce(chr(10) || 'content-length: ' || len, '') || chr(10) || 'content-type: text/html'
+        || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: ' || lm as headers, sha256(html) as body_sha256
+from named
+union all
+select page_id * 2 + 1, k, outcome, case when outcome = 'resolved' then sp * 2 end,
+    case when outcome = 'resolved' then 'cache-control: max-age=600' || coalesce(chr(10) || 'content-length: ' || slen, '')
+        || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || stag || chr(10) || 'last-modified: ' || coalesce(rlm, slm)
+    else 'cache-control: max-age=600' || chr(10) || 'content-length: 0' || coalesce(chr(10) || 'etag: ' || rtag, '')
+        || coalesce(chr(10) || 'last-modified: ' || rlm, '') end,
+    case when outcome = 'resolved' then sha256(sh) end
+from judged
+""",
     "op2_decontamination": f"""
 with words as (
     select doc_id as id, {WORDS.replace("coalesce(text, '')", LOWER)} as w, false as item from documents

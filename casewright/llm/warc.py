@@ -149,8 +149,11 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
     Validators depend on the page: every seventh revisit has another tag, every fifth only a date, every eleventh none.
     """
     n = F.col("page_id")
-    at = F.timestamp_seconds(F.lit(1_600_000_000) + F.pmod(n * 7919, F.lit(100_003)) * 60)
-    day = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    seconds = F.pmod(n * 7919, F.lit(100_003)) * 60
+    at = F.timestamp_seconds(F.lit(1_600_000_000) + seconds)
+    # The same text in every session time zone.
+    day = F.date_format(F.timestamp_add("SECOND", seconds, F.lit("2020-09-13 12:26:40").cast("timestamp_ntz")),
+                        "yyyy-MM-dd HH:mm:ss")
     tag = F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16)
     texts = lambda *pairs: F.map_filter(F.create_map(*[x for k, v in pairs for x in (F.lit(k), v)]),
                                         lambda k, v: v.isNotNull())
