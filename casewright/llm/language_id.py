@@ -38,7 +38,7 @@ CALIBRATION_ROWS = 4000
 REJECTED_SPREADS = 12.0
 UNKNOWN = "und"
 BITS = np.uint64(21)
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _LETTERS: np.ndarray | None = None
 

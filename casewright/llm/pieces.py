@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from casewright.llm.common import text_bytes
 from casewright.llm.words import mixed
 
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 12 << 20
 STRETCH_BYTES = 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Rows sampled to place splitters and to find very frequent anchors.
 SAMPLE_ROWS = 4000
 HITS = -1

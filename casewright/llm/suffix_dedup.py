@@ -152,7 +152,7 @@ def judged(batch: Batch, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> t
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _parts(windows: np.ndarray, group: np.ndarray, size: int = 1 << 20) -> Iterator[slice]:
+def _parts(windows: np.ndarray, group: np.ndarray, size: int = 1 << 18) -> Iterator[slice]:
     """Runs of whole groups with about ``size`` windows."""
     if not len(group):
         return
