@@ -1,10 +1,14 @@
 """Main text of web pages by wrappers that are inferred for each host.
 
-Pages of one host come from a few templates. For a bounded sample of a host's pages the token streams (tags and texts)
-are aligned one after the other to a union-free regular expression: equal tokens stay, tandem repeats become repeated
-groups, what only some pages have becomes optional, and differing texts become slots. The slots, with the part of the
-page that they stand in, say which parts carry text and which only repeat the template. Every page of the host is
-then read whole with that wrapper.
+Pages of one host come from a few templates. Pages with the same parts outside the article are one layout. For a bounded
+sample of each layout's pages the token streams (tags and texts) are aligned one after the other to a union-free regular
+expression: equal tokens stay, tandem repeats become repeated groups, what only some pages have becomes optional, and
+differing texts become slots. Every page is then matched whole against the expression of its layout, which gives the slot
+of each of its texts, and all pages confirm what a slot carries: a text is the template's own where ``SAME`` of the pages
+that fill the slot (or, over all layouts of the host, that have the part of the page) show it. Pages that tell the same
+article count once. Elements and names of parts are what is believed beforehand: a text within an article or main part
+needs more pages (``ARTICLE_PAGES``) to be the template's own than one elsewhere (``OTHER_PAGES``), and varying texts of
+parts such as navigation stay out, since no expression tells a varying link from a varying sentence.
 
 Defined cases: a null or empty html has an empty text. Unclosed and wrongly nested elements close with the part around
 them; an unclosed comment or script runs to the end. Hosts with one page have a wrapper without slots, and structure
@@ -13,22 +17,29 @@ alone decides. Rows that repeat are extracted each. An empty table gives an empt
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
 from html import unescape
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.llm.common import settle
 from casewright.llm.url_filter import host_of
 
-#: Pages of a host that its wrapper is inferred from; the wrapper is applied to all of its pages.
+#: Pages of a layout that propose its expression; all of its pages confirm it.
 WRAPPER_PAGES = 8
+#: Different pages that must show a text before it can be the template's own, within an article and elsewhere, and their
+#: share among the pages that fill the slot.
+ARTICLE_PAGES, OTHER_PAGES, SAME = 8, 3, 0.9
+#: Cells of the alignment matrix, in bits, that are held at once.
+HELD_BITS = 1 << 26
 #: Tokens of a page that take part in the alignment; longer ones add text, not structure. Extraction reads all.
 ALIGNED_TOKENS = 3000
 
@@ -117,6 +128,7 @@ class Block:
     article: bool
     main: bool
     linked: int
+    numbers: list[int]  # places of the parts among the texts of the page
 
 
 def blocks(page: str) -> Iterator[Block]:
@@ -124,17 +136,18 @@ def blocks(page: str) -> Iterator[Block]:
     stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, path, skipped, inside article or main, inside main-like
     here = ("", "", False, False, False)
     held: list[str] = []
-    linked = 0
+    linked = number = 0
     heading = link = False
 
     def flush() -> Iterator[Block]:
-        nonlocal linked
+        nonlocal linked, number
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
                 skipped = here[2] and not (heading and here[0] == "header" and here[3])
                 parts = [p for p in (" ".join(unescape(h).split()) for h in held) if p]
-                yield Block(here[1], text, parts, skipped, here[3], here[4], linked)
+                yield Block(here[1], text, parts, skipped, here[3], here[4], linked, [*range(number, number + len(parts))])
+                number += len(parts)
             held.clear()
         linked = 0
 
@@ -199,6 +212,7 @@ class Node:
     kind: str
     body: list[Node] = field(default_factory=list)
     texts: set[str] = field(default_factory=set)
+    numbers: list[int] = field(default_factory=list)  # places of the texts among those of the page
     seen: int = 1
     optional: bool = False
 
@@ -212,13 +226,15 @@ def stream(page: str, limit: int = ALIGNED_TOKENS) -> list[Node]:
     """The token stream of a page, tandem repeats folded."""
     out: list[Node] = []
     path: list[str] = []
+    number = 0
     for kind, name, detail in tokens(page):
         if len(out) >= limit:
             break
         if kind == "text":
             text = " ".join(unescape(detail).split())
             if text:
-                out.append(Node("#TEXT " + "/".join(path), "slot", texts={text}))
+                out.append(Node("#TEXT " + "/".join(path), "slot", texts={text}, numbers=[number]))
+                number += 1
         elif name in PARTS:
             label = described(name, detail)[0] if kind == "open" else name
             if kind == "open":
@@ -238,6 +254,10 @@ def folded(nodes: list[Node], longest: int = 8) -> list[Node]:
         out: list[Node] = []
         at = 0
         while at < len(nodes):
+            if at + width >= len(nodes) or nodes[at + width].key != nodes[at].key:
+                out.append(nodes[at])
+                at += 1
+                continue
             times = 1
             first = nodes[at: at + width]
             keys = [n.key for n in first]
@@ -257,24 +277,115 @@ def folded(nodes: list[Node], longest: int = 8) -> list[Node]:
 
 def _joined(a: Node, b: Node) -> Node:
     a.texts |= b.texts
+    a.numbers += b.numbers
     for x, y in zip(a.body, b.body, strict=False):
         _joined(x, y)
     return a
 
 
+def repeats(nodes: list[Node]) -> dict[str, list[str]]:
+    """The keys of the repeated groups, with the keys of their elements; inner groups before outer ones."""
+    out: dict[str, list[str]] = {}
+    for node in nodes:
+        if node.kind == "repeat":
+            out |= repeats(node.body)
+            out[node.key] = [n.key for n in node.body]
+    return out
+
+
+def gathered(nodes: list[Node], known: dict[str, list[str]]) -> list[Node]:
+    """Groups that stand once here and are known to repeat elsewhere become repeated groups too."""
+    for key, keys in known.items():
+        out: list[Node] = []
+        at = 0
+        while at < len(nodes):
+            width = len(keys)
+            if nodes[at].key == keys[0] and [n.key for n in nodes[at: at + width]] == keys:
+                out.append(Node(key, "repeat", nodes[at: at + width]))
+                at += width
+            else:
+                out.append(nodes[at])
+                at += 1
+        nodes = out
+    return nodes
+
+
+def _lengths(a: list[str], places: dict[str, int], width: int) -> Iterator[int]:
+    """Rows of the matrix of longest common subsequences as bits: a zero where the length grows by one."""
+    every = (1 << width) - 1
+    row = every
+    for key in a:
+        here = row & places.get(key, 0)
+        row = ((row + here) | (row - here)) & every
+        yield row
+
+
+def _places(b: list[str]) -> dict[str, int]:
+    at: dict[str, list[int]] = {}
+    for j, key in enumerate(b):
+        at.setdefault(key, []).append(j)
+    out = {}
+    for key, listed in at.items():
+        bits = bytearray(len(b) // 8 + 1)
+        for j in listed:
+            bits[j >> 3] |= 1 << (j & 7)
+        out[key] = int.from_bytes(bits, "little")
+    return out
+
+
+def _growth(a: list[str], b: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each prefix of ``b``."""
+    row = (1 << len(b)) - 1
+    for row in _lengths(a, _places(b), len(b)):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.r_[0, np.cumsum(bits == 0)]
+
+
+def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence of whole streams; halved while the matrix exceeds ``HELD_BITS``."""
+    first, end_a, end_b = 0, len(a), len(b)
+    while first < min(end_a, end_b) and a[first] == b[first]:
+        first += 1
+    while min(end_a, end_b) > first and a[end_a - 1] == b[end_b - 1]:
+        end_a, end_b = end_a - 1, end_b - 1
+    out = [(i, i) for i in range(first)]
+    x, y = a[first:end_a], b[first:end_b]
+    if len(x) * len(y) > HELD_BITS and len(x) > 1:
+        half = len(x) // 2
+        cut = int((_growth(x[:half], y) + _growth(x[half:][::-1], y[::-1])[::-1]).argmax())
+        inner = common(x[:half], y[:cut]) + [(i + half, j + cut) for i, j in common(x[half:], y[cut:])]
+    else:
+        rows = list(_lengths(x, _places(y), len(y)))
+        inner = []
+        i, j = len(x), len(y)
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                continue
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                inner.append((i, j))
+        inner.reverse()
+    out += [(i + first, j + first) for i, j in inner]
+    return out + [(end_a + i, end_b + i) for i in range(len(a) - end_a)]
+
+
 def aligned(wrapper: list[Node], page: list[Node]) -> list[Node]:
     """The wrapper widened to match one more page: what one of them lacks becomes optional."""
     out: list[Node] = []
-    match = SequenceMatcher(None, [n.key for n in wrapper], [n.key for n in page], autojunk=False)
-    for what, a1, a2, b1, b2 in match.get_opcodes():
-        if what == "equal":
-            for a, b in zip(wrapper[a1:a2], page[b1:b2], strict=True):
-                _joined(a, b).seen += 1
-                out.append(a)
-            continue
-        for node in (*wrapper[a1:a2], *page[b1:b2]):
+    page = gathered(page, repeats(wrapper))
+    wrapper = gathered(wrapper, repeats(page))
+    i = j = 0
+    for a, b in [*common([n.key for n in wrapper], [n.key for n in page]), (len(wrapper), len(page))]:
+        for node in (*wrapper[i:a], *page[j:b]):
             node.optional = True
             out.append(node)
+        if a < len(wrapper):
+            _joined(wrapper[a], page[b]).seen += 1
+            out.append(wrapper[a])
+        i, j = a + 1, b + 1
     return out
 
 
@@ -298,55 +409,210 @@ def inferred(pages: list[str]) -> tuple[list[Node], set[tuple[str, str]]]:
     return wrapper, own
 
 
-def main_text(page: str | None, own: set[tuple[str, str]] | frozenset = frozenset()) -> str:
-    """The article's blocks, joined by line breaks."""
+def written(nodes: list[Node]) -> str:
+    """The expression as a text that ``Wrapper`` reads."""
+    plain = lambda listed: [plain(n.body) if n.kind == "repeat" else n.key for n in listed]
+    return json.dumps(plain(nodes), ensure_ascii=False, separators=(",", ":"))
+
+
+class Wrapper:
+    """An expression that pages are matched against; pages of equal structure are aligned once."""
+
+    def __init__(self, expression: str | None) -> None:
+        self.slots = 0
+        self.nodes = [self._read(item) for item in json.loads(expression or "[]")]
+        self.keys = [n.key for n, _ in self.nodes]
+        self.known = repeats([n for n, _ in self.nodes])
+        self.matched: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+
+    def _read(self, item: str | list) -> tuple[Node, list]:
+        """A node with the numbers of its slots: a number, or a list for a group."""
+        if isinstance(item, list):
+            body = [self._read(i) for i in item]
+            key = "(" + " ".join(n.key for n, _ in body) + ")+"
+            return Node(key, "repeat", [n for n, _ in body]), [numbers for _, numbers in body]
+        if not item.startswith("#TEXT"):
+            return Node(item, "tag"), []
+        self.slots += 1
+        return Node(item, "slot"), [self.slots - 1]
+
+    def match(self, page: str) -> dict[int, int]:
+        """The slot of each text of the page, by its place among the texts; texts beside the expression have none."""
+        nodes = gathered(stream(page), self.known)
+        keys = tuple(n.key for n in nodes)
+        if keys not in self.matched:
+            if len(self.matched) >= 200:
+                self.matched.clear()
+            self.matched[keys] = common(self.keys, list(keys))
+        out: dict[int, int] = {}
+
+        def fill(node: Node, slots: list) -> None:
+            if node.kind == "repeat":
+                for inner, numbers in zip(node.body, slots, strict=True):
+                    fill(inner, numbers)
+            elif node.kind == "slot":
+                out.update(dict.fromkeys(node.numbers, slots[0]))
+
+        for i, j in self.matched[keys]:
+            fill(nodes[j], self.nodes[i][1])
+        return out
+
+
+def layout(page: str | None) -> int:
+    """A number that pages with the same parts outside articles share; figures in names do not count."""
+    paths, path, below = set(), [], 0  # tag and label of open parts; how many of them from the outermost article on
+    for kind, name, detail in tokens(page or ""):
+        if name not in PARTS or kind == "text":
+            continue
+        if kind == "open":
+            below += bool(below or name in MAIN)
+            path.append((name, re.sub(r"\d+", "0", described(name, detail)[0]) if not below else name))
+            if below <= 1:
+                paths.add("/".join(label for _, label in path))
+        elif any(tag == name for tag, _ in path):
+            while path:
+                below = max(below - 1, 0)
+                if path.pop()[0] == name:
+                    break
+    return _number(*sorted(paths))
+
+
+def _number(*of: object) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(map(str, of)).encode("utf-8", "replace")) >> 1
+
+
+def placed(page: str, wrapper: Wrapper, shape: int) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(number of the text, its text as a number, slot in the layout, part in the host, within an article) of the texts
+    that are not left out beforehand."""
+    slots = wrapper.match(page)
+    for block in blocks(page):
+        if block.skipped:
+            continue
+        for number, text in zip(block.numbers, block.parts, strict=True):
+            slot = slots.get(number, -1)
+            yield (number, _number(text), _number(shape, slot, block.path, block.article),
+                   _number(block.path, block.article), block.article)
+
+
+def main_text(page: str | None, own: set[int] | frozenset = frozenset()) -> str:
+    """The article's blocks, joined by line breaks; ``own`` has the places of the texts that are the template's."""
     if not page:
         return ""
     found = [b for b in blocks(page) if not b.skipped]
     inside = [b for b in found if b.article]
-    if not inside:
-        inside = [b for b in found if not all((b.path, p) in own for p in b.parts)]
-        named = [b for b in inside if b.main]
-        inside = named or [b for b in inside if 2 * b.linked <= len(b.text)]
+    if inside:
+        return "\n".join(b.text for b in inside if not own.issuperset(b.numbers))
+    inside = [b for b in found if not own.issuperset(b.numbers)]
+    named = [b for b in inside if b.main]
+    inside = named or [b for b in inside if 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in inside)
 
 
+def shaped(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, host, layout of each page."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = pa.array([layout(html) for html in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, shapes], ["page_id", "url", "html", "host", "layout"])
+
+    return pages.select(F.col("page_id").cast("long"), "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias(
+        "host")).mapInArrow(run, "page_id long, url string, html string, host string, layout long")
+
+
 def wrappers(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
-    """(host, pattern, template_texts) for each host: its expression, and the texts that are the template's own.
+    """(host, layout, pattern, expression) for each layout of the pages of ``shaped``.
 
-    The sampled pages are those with the smallest hash of the id; each map task sends at most ``sample`` ids a host.
+    The sampled pages are those with the smallest hash of the id; each map task sends at most ``sample`` ids a layout.
     """
-    keyed = pages.select("page_id", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url").alias("h"))
-    first = Window.partitionBy("host").orderBy("h", "page_id")
+    keyed = pages.select("page_id", "host", "layout", F.xxhash64("page_id", "url").alias("h"))
+    first = Window.partitionBy("host", "layout").orderBy("h", "page_id")
     chosen = settle("wrapper-pages", keyed.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample).select(
-        F.col("page_id").alias("id"), "host", "n"))
-    taken = pages.join(chosen, F.col("page_id") == F.col("id")).filter(
-        F.coalesce(host_of(F.col("url")), F.lit("")) == F.coalesce("host", F.lit(""))).select("host", "n", "html")
+        F.col("page_id").alias("id"), F.col("host").alias("of"), F.col("layout").alias("shape"), "n"))
+    taken = pages.join(chosen, (F.col("page_id") == F.col("id")) & (F.col("host") == F.col("of")) & (
+        F.col("layout") == F.col("shape"))).select("host", "layout", "n", "html")
 
     def infer(group: pd.DataFrame) -> pd.DataFrame:  # at most ``sample`` ids
         listed = [h for h in group.sort_values("n")["html"].drop_duplicates().tolist() if h][:sample]
-        found, own = inferred(listed)
+        found, _ = inferred(listed)
         return pd.DataFrame({
-            "host": [group["host"].iloc[0]], "pattern": [" ".join(n.pattern() for n in found)],
-            "template_texts": [[{"part": p, "text": t} for p, t in sorted(own)]]})
+            "host": [group["host"].iloc[0]], "layout": [group["layout"].iloc[0]],
+            "pattern": [" ".join(n.pattern() for n in found)], "expression": [written(found)]})
+
+    return taken.groupBy("host", "layout").applyInPandas(
+        infer, "host string, layout long, pattern string, expression string")
+
+
+def confirmed(matched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The template's own texts by slot, as (own_host, own_layout, by_slot) and, over all layouts, (own_host, by_part),
+    from all pages with the expression of their layout."""
 
-    return taken.groupBy("host").applyInPandas(infer, "host string, pattern string, template_texts array<struct<part: string, text: string>>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Wrapper] = {}
+        for batch in batches:
+            out: dict[str, list] = {"host": [], "layout": [], "place": [], "text": [], "article": [], "inside": []}
+            for html, host, shape, expression in zip(*(batch.column(n).to_pylist() for n in (
+                    "html", "host", "layout", "expression")), strict=True):
+                if not html:
+                    continue
+                found = list(placed(html, _wrapper(held, expression), shape))
+                told = _number(*sorted({text for _, text, _, _, inside in found if inside} or {f[1] for f in found}))
+                rows = {(level, place, text, inside) for _, mine, slot, part, inside in found
+                        for level, place in ((shape, slot), (None, part)) for text in (mine, None)}
+                for level, place, text, inside in rows:
+                    for name, value in zip(out, (host, level, place, text, told, inside), strict=True):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out["host"], pa.string()), *(
+                pa.array(out[n], pa.int64()) for n in ("layout", "place", "text", "article")),
+                pa.array(out["inside"], pa.bool_())], list(out))
+
+    seen = matched.select("html", "host", "layout", "expression").mapInArrow(
+        run, "host string, layout long, place long, text long, article long, inside boolean").distinct()
+    keys = ["host", "layout", "place", "inside"]
+    counted = settle("template-texts", seen.groupBy(*keys, "text").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") >= OTHER_PAGES))
+    filled = counted.filter(F.col("text").isNull()).select(
+        *(F.col(k).alias(f"f_{k}") for k in keys), F.col("n").alias("pages"))
+    same = [F.col(k).eqNullSafe(F.col(f"f_{k}")) for k in keys]
+    own = counted.filter(F.col("text").isNotNull()).join(filled, same).filter(
+        (F.col("n") >= F.when(F.col("inside"), ARTICLE_PAGES).otherwise(OTHER_PAGES)) & (F.col("n") >= SAME * F.col("pages")))
+    own = settle("own-texts", own.groupBy("host", "layout").agg(F.collect_list(F.struct("place", "text")).alias("own")))
+    by_slot = own.filter(F.col("layout").isNotNull()).select(
+        F.col("host").alias("own_host"), F.col("layout").alias("own_layout"), F.col("own").alias("by_slot"))
+    return by_slot, own.filter(F.col("layout").isNull()).select(
+        F.col("host").alias("part_host"), F.col("own").alias("by_part"))
+
+
+def _wrapper(held: dict[str, Wrapper], expression: str | None) -> Wrapper:
+    if expression not in held:
+        if len(held) >= 100:
+            held.clear()
+        held[expression] = Wrapper(expression)
+    return held[expression]
 
 
 def extracted(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
     """page_id, url, text for each page."""
-    pages = pages.select("page_id", "url", "html")
-    found = settle("wrappers", wrappers(pages, sample).select("host", "template_texts"))
-    mine = pages.select("page_id", "url", "html", F.coalesce(host_of(F.col("url")), F.lit("")).alias("host"))
-    known = found.select(F.coalesce("host", F.lit("")).alias("own_host"), "template_texts").dropDuplicates(["own_host"])
+    mine = settle("shaped-pages", shaped(pages))
+    found = settle("wrappers", wrappers(mine, sample)).select(
+        F.col("host").alias("w_host"), F.col("layout").alias("w_layout"), "expression")
+    matched = mine.join(found, (F.col("host") == F.col("w_host")) & (F.col("layout") == F.col("w_layout")), "left")
+    by_slot, by_part = confirmed(matched)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Wrapper] = {}
         for batch in batches:
-            texts = [main_text(html, {(p["part"], p["text"]) for p in own or ()}) for html, own in zip(
-                batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = []
+            for html, shape, expression, *lists in zip(*(batch.column(n).to_pylist() for n in (
+                    "html", "layout", "expression", "by_slot", "by_part")), strict=True):
+                known = {(o["place"], o["text"]) for listed in lists for o in listed or ()}
+                own = {number for number, text, slot, part, _ in placed(html, _wrapper(held, expression), shape)
+                       if (slot, text) in known or (part, text) in known} if known and html else frozenset()
+                texts.append(main_text(html, own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    joined = mine.join(known, F.col("host") == F.col("own_host"), "left").select("page_id", "url", "html", "template_texts")
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "template_texts").mapInArrow(
+    joined = matched.join(by_slot, (F.col("host") == F.col("own_host")) & (F.col("layout") == F.col("own_layout")), "left").join(
+        by_part, F.col("host") == F.col("part_host"), "left")
+    return joined.select("page_id", "url", "html", "layout", "expression", "by_slot", "by_part").mapInArrow(
         run, "page_id long, url string, text string")

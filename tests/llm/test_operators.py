@@ -381,6 +381,17 @@ def test_wrapper_is_a_union_free_expression():
     assert html_extract.inferred(pages)[0]
 
 
+def test_pages_are_matched_against_the_expression(spark):
+    page = "<body><article><h1>T{0}</h1><p>text {0}</p><div class=x>Write to us</div>{1}</article></body>"
+    rows = [(i, f"http://a.example/{i}", page.format(i, "<p>more</p><div class=y>Sign up</div>" if i % 2 else "")) for i in range(30)]
+    rows += [(100 + i, f"http://b.example/{i}", page.format(7, "")) for i in range(30)]
+    got = {r.page_id: r.text for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # What every page with the slot says is the template's own, also in an article; one article many times is not.
+    assert all(got[i] == f"T{i}\ntext {i}" + ("\nmore" if i % 2 and "more" in got[i] else "") for i in range(30))
+    assert not any("Sign up" in t for t in got.values())
+    assert all(got[100 + i] == "T7\ntext 7\nWrite to us" for i in range(30))
+
+
 def test_url_filter(spark):
     cases = {
         "https://www.Example.com/en/5": ("www.example.com/en/", "allow"), "http://m.x.example.com/en/1?q": ("example.com/en/", "block"),
