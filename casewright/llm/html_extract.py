@@ -21,6 +21,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -40,8 +41,6 @@ WRAPPER_PAGES = 8
 ARTICLE_PAGES, OTHER_PAGES, SAME = 8, 3, 0.9
 #: Cells of the alignment matrix, in bits, that are held at once.
 HELD_BITS = 1 << 26
-#: Tokens of a page that take part in the alignment; longer ones add text, not structure. Extraction reads all.
-ALIGNED_TOKENS = 3000
 
 # Elements and names of parts that are not the article.
 SKIPPED = frozenset("nav header footer aside form script style noscript template button select textarea svg iframe menu "
@@ -95,6 +94,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = close.start() if close else end
 
 
+@lru_cache(10_000)
 def described(name: str, detail: str) -> tuple[str, bool, bool]:
     """(label, skipped, named like the main part) of a part of the page."""
     if not detail.strip():
@@ -222,25 +222,23 @@ class Node:
         return f"({out})?" if self.optional else out
 
 
-def stream(page: str, limit: int = ALIGNED_TOKENS) -> list[Node]:
-    """The token stream of a page, tandem repeats folded."""
+def stream(page: str) -> list[Node]:
+    """The whole token stream of a page, tandem repeats folded."""
     out: list[Node] = []
-    path: list[str] = []
+    path: list[tuple[str, str]] = []  # tag and path of the open parts
     number = 0
     for kind, name, detail in tokens(page):
-        if len(out) >= limit:
-            break
         if kind == "text":
             text = " ".join(unescape(detail).split())
             if text:
-                out.append(Node("#TEXT " + "/".join(path), "slot", texts={text}, numbers=[number]))
+                out.append(Node("#TEXT " + (path[-1][1] if path else ""), "slot", texts={text}, numbers=[number]))
                 number += 1
         elif name in PARTS:
             label = described(name, detail)[0] if kind == "open" else name
             if kind == "open":
-                path.append(label)
-            elif any(p.split(".")[0].split("#")[0] == name for p in path):
-                while path and path.pop().split(".")[0].split("#")[0] != name:
+                path.append((name, f"{path[-1][1]}/{label}" if path else label))
+            elif any(tag == name for tag, _ in path):
+                while path.pop()[0] != name:
                     pass
             out.append(Node(("/" if kind == "close" else "") + label, "tag"))
         else:
@@ -252,9 +250,9 @@ def folded(nodes: list[Node], longest: int = 8) -> list[Node]:
     """Adjacent equal groups of up to ``longest`` elements become one repeated group, shortest groups first."""
     for width in range(1, longest + 1):
         out: list[Node] = []
-        at = 0
-        while at < len(nodes):
-            if at + width >= len(nodes) or nodes[at + width].key != nodes[at].key:
+        at, size, keyed = 0, len(nodes), [n.key for n in nodes]
+        while at < size:
+            if at + width >= size or keyed[at + width] != keyed[at]:
                 out.append(nodes[at])
                 at += 1
                 continue

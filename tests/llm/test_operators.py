@@ -392,6 +392,41 @@ def test_pages_are_matched_against_the_expression(spark):
     assert all(got[100 + i] == "T7\ntext 7\nWrite to us" for i in range(30))
 
 
+def test_whole_pages_and_all_layouts_confirm_template_texts(spark):
+    rng = random.Random(4)
+    long = "".join(f"<{rng.choice(('b', 'i', 'u', 'em'))}>word{n}</b> " for n in range(4000))
+    one, other = "<body><div>{1}text {0}</div><div class=z>Closing words</div>", "<body><table><tr><td>text {0}</table><div>Other closing</div>"
+    # The long page is sampled, the second layout is a tenth of the host.
+    rows = [(i, f"http://a.example/{i}", one.format(i, long if i < 4 else "")) for i in range(4)]
+    rows += [(i, f"http://a.example/{i}", (other if i % 10 == 0 else one).format(i, "")) for i in range(10, 110)]
+    got = {r.page_id: r.text for r in html_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(t.endswith(f"text {i}") for i, t in got.items()) and len(got) == 104
+
+
+def test_alignment_in_halves_is_as_long(monkeypatch):
+    rng = random.Random(6)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = [0, *(0 for _ in b)] if not b else [0, *_next(row, x, b)]
+        return row[-1]
+
+    def _next(row, x, b):
+        last = 0
+        for j, y in enumerate(b):
+            last = row[j] + 1 if x == y else max(last, row[j + 1])
+            yield last
+
+    for held in (1 << 26, 8):
+        monkeypatch.setattr(html_extract, "HELD_BITS", held)
+        for _ in range(150):
+            a, b = ([rng.choice("abcd") for _ in range(rng.randrange(14))] for _ in range(2))
+            found = html_extract.common(a, b)
+            assert all(a[i] == b[j] for i, j in found) and len(found) == longest(a, b)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:]))  # noqa: B905
+
+
 def test_url_filter(spark):
     cases = {
         "https://www.Example.com/en/5": ("www.example.com/en/", "allow"), "http://m.x.example.com/en/1?q": ("example.com/en/", "block"),
