@@ -6,8 +6,8 @@ characters seen before an n-gram). The finished model is a sorted array of n-gra
 log probabilities, one per language, so that one search scores all languages. Texts are scored whole, by mean log
 probability a character (the negative cross-entropy), and the lowest cross-entropy wins.
 
-The model has at most ``KEPT`` n-grams a language and order, those with the highest counts (n-grams of equal count
-stay or go together); the probability of the others goes to the lower order, so the distributions stay whole and the model's size does not depend on the corpus.
+The model has every n-gram of the training part, however many there are, so it grows with the distinct n-grams of the
+corpus.
 
 Defined cases: a null text or one without a letter gives ``und`` with score 0, rejected. Ties go to the first language
 by code point. Without any training row the model has no language: everything is ``und``, and only texts without a
@@ -22,13 +22,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewright.llm.common import settle, text_bytes
 
 ORDER = 4
-KEPT = 60_000
 MOST_LANGUAGES = 200
 DISCOUNT_FLOOR, DISCOUNT_CEILING = 0.1, 0.95
 #: Rows of the training part, about, that calibrate score and rejection; a bounded sample, the counts cover all rows.
@@ -139,8 +138,8 @@ def stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def probabilities(top: DataFrame, order: int = ORDER, kept: int = KEPT) -> DataFrame:
-    """(order, lang, gram, n, share, back) of the kept n-grams of every order.
+def probabilities(top: DataFrame, order: int = ORDER) -> DataFrame:
+    """(order, lang, gram, n, share, back) of the n-grams of every order.
 
     ``n`` counts occurrences at the highest order and distinct preceding characters below it. ``share`` is the
     discounted relative frequency (n - d) / n(context); ``back``, on the rows of a context, is what is left for the
@@ -162,14 +161,8 @@ def probabilities(top: DataFrame, order: int = ORDER, kept: int = KEPT) -> DataF
     discount = seen.withColumn("d", F.least(F.lit(DISCOUNT_CEILING), F.greatest(
         F.lit(DISCOUNT_FLOOR), F.coalesce(F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")), F.lit(0.5)))))
     by_context = every.groupBy("lang", "order", "context").agg(F.sum("n").alias("total"))
-    # The lowest count of which no more than ``kept`` n-grams have it or a higher one; one row per distinct count.
-    many = every.groupBy("lang", "order", "n").agg(F.count(F.lit(1)).alias("grams"))
-    down = Window.partitionBy("lang", "order").orderBy(F.desc("n"))
-    least = many.withColumn("so_far", F.sum("grams").over(down)).filter(F.col("so_far") <= kept).groupBy(
-        "lang", "order").agg(F.min("n").alias("least"))
-    best = every.join(least, ["lang", "order"]).filter(F.col("n") >= F.col("least")).drop("least")
     shares = (
-        best.join(by_context, ["lang", "order", "context"]).join(discount, ["lang", "order"])
+        every.join(by_context, ["lang", "order", "context"]).join(discount, ["lang", "order"])
         .withColumn("share", (F.col("n") - F.col("d")) / F.col("total"))
     )
     left = shares.groupBy("lang", "order", "context").agg((1 - F.sum("share")).alias("back"))
@@ -257,7 +250,7 @@ class Model:
 
 
 def assemble(rows: pd.DataFrame, languages: list[str], order: int) -> Model:
-    """The sorted arrays from the kept n-grams of all languages. An n-gram kept for one language has a column for
+    """The sorted arrays from the n-grams of all languages. An n-gram of one language has a column for
     every language, filled by interpolation."""
     model = Model(languages, order)
     number = {lang: i for i, lang in enumerate(languages)}
@@ -300,7 +293,7 @@ def assemble(rows: pd.DataFrame, languages: list[str], order: int) -> Model:
 
 
 def _lower(known: dict, back: dict, gram: str, empty: np.ndarray) -> np.ndarray:
-    """Interpolated probability of a shorter n-gram, backing off where it was not kept."""
+    """Interpolated probability of a shorter n-gram, backing off where it is not known."""
     weight = np.ones(len(empty))
     while gram:
         if gram in known:
@@ -310,15 +303,14 @@ def _lower(known: dict, back: dict, gram: str, empty: np.ndarray) -> np.ndarray:
     return weight * empty
 
 
-def train(rows: DataFrame, order: int = ORDER, kept: int = KEPT) -> Model:
+def train(rows: DataFrame, order: int = ORDER) -> Model:
     """A model from (text, lang) rows; rows without a language or text are left out. At most ``MOST_LANGUAGES``
     languages can be learnt; more raise an error."""
     usable = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    table = settle("shares", probabilities(settle("counts", counts(usable, order)), order, kept))
+    table = settle("shares", probabilities(settle("counts", counts(usable, order)), order))
     names = [r["lang"] for r in table.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(names) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    # At most kept x order rows a language.
     model = assemble(pd.concat([
         table.filter(F.col("lang") == name).toPandas() for name in names]) if names else pd.DataFrame(
             columns=table.columns), names, order)

@@ -351,6 +351,17 @@ def test_kneser_ney_sums_to_one(spark):
         assert sum(chance[c] for c in chars) + chance["z"] * (0x110000 - len(chars)) == pytest.approx(1.0, abs=1e-4)
 
 
+def test_every_ngram_is_kept(spark):
+    # 70,000 different letters of one language: more single n-grams than the cap of 60,000 there was.
+    wide = [chr(c) for c in range(0x3400, 0x20000 + 42_000) if chr(c).isalpha() and chr(c).lower() == chr(c)][:70_000]
+    texts = [(i, "".join(wide[i * 500: i * 500 + 500]), "aa") for i in range(140)]
+    known = language_id.train(table(spark, texts), order=2)
+    keys = np.array([language_id.gram_key(t) for t in wide], np.uint64)
+    assert len(wide) == 70_000 and known.find(1, keys)[1].all()
+    pairs = np.array([language_id.gram_key(r[1][k: k + 2]) for r in texts for k in range(499)], np.uint64)
+    assert known.find(2, pairs)[1].all()
+
+
 # -- pages -----------------------------------------------------------------------------------------------------------
 
 PAGE = """<html><head><title>x</title></head><body class="page content"><header><h1>Site</h1></header>
