@@ -30,8 +30,8 @@ from casewright.llm.common import settle, text_bytes
 ORDER = 4
 MOST_LANGUAGES = 200
 DISCOUNT_FLOOR, DISCOUNT_CEILING = 0.1, 0.95
-#: Rows of the training part, about, that calibrate score and rejection; a bounded sample, the counts cover all rows.
-CALIBRATION_ROWS = 4000
+#: Rows that a language needs for a usual cross-entropy of its own; with fewer, that of all languages together holds.
+CALIBRATION_ROWS = 8
 #: A text is rejected when its cross-entropy is so many spreads above what its language shows for texts of its length, and
 #: above the entropy of the language's single characters: then its order of characters says nothing of the language.
 REJECTED_SPREADS = 12.0
@@ -320,40 +320,44 @@ def train(rows: DataFrame, order: int = ORDER) -> Model:
 
 
 def _calibrate(model: Model, usable: DataFrame) -> None:
-    """Sharpness of the score and usual cross-entropies, from a bounded sample of the training rows."""
-    share = min(1.0, CALIBRATION_ROWS / max(usable.count(), 1))
-    sample = usable.select("lang", "text").sample(share, seed=5)
+    """Sharpness of the score and usual cross-entropies, from sums over all training rows."""
+    grid = 2.0 ** np.arange(-4, 5)
+    number = {lang: i for i, lang in enumerate(model.languages)}
     held = usable.sparkSession.sparkContext.broadcast(model)
+    names = ["rows", "w", "wx", "wxx", *(f"loss{k}" for k in range(len(grid)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(number), len(names)))
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             entropies, length = held.value.cross_entropies(data, offsets)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(length), pa.array(entropies.tolist(), pa.list_(pa.float64()))],
-                ["lang", "length", "entropies"])
-
-    found = sample.mapInArrow(run, "lang string, length long, entropies array<double>").toPandas()
-    found = found[found["length"] > 0]
-    truth = found["lang"].map({lang: i for i, lang in enumerate(model.languages)}).to_numpy(int)
-    entropies, length = np.array(found["entropies"].tolist()), found["length"].to_numpy()
+            truth = np.array([number[lang] for lang in batch.column(0).to_pylist()], int)
+            entropies, length, truth = entropies[length > 0], length[length > 0], truth[length > 0]
+            if not len(truth):
+                continue
+            own = entropies[np.arange(len(truth)), truth]
+            gaps = np.sqrt(length)[:, None] * (entropies - entropies.min(axis=1, keepdims=True))
+            values = [np.ones(len(own)), length, length * own, length * own ** 2]
+            for sharpness in grid:
+                p = np.exp(-sharpness * gaps)
+                values.append(-np.log(np.maximum(p[np.arange(len(p)), truth] / p.sum(axis=1), 1e-12)))
+            np.add.at(sums, truth, np.stack(values, axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(list(number.values()), pa.int64()), *map(pa.array, sums.T)], ["l", *names])
+
+    found = usable.select("lang", "text").mapInArrow(run, "l long, " + ", ".join(f"{n} double" for n in names)).groupBy(
+        "l").agg(*(F.sum(n).alias(n) for n in names)).toPandas()
+    sums = np.zeros((len(number), len(names)))
+    sums[found["l"].to_numpy(int)] = found[names].to_numpy()
+    pooled = sums.sum(axis=0)
     model.usual = np.tile([0.0, np.inf, 0.0], (len(model.languages), 1))
-    if not len(found):
+    if not pooled[0]:
         return
-    gaps = np.sqrt(length)[:, None] * (entropies - entropies.min(axis=1, keepdims=True))
-    losses = []
-    for sharpness in (grid := 2.0 ** np.arange(-4, 5)):
-        p = np.exp(-sharpness * gaps)
-        losses.append(-np.log(np.maximum(p[np.arange(len(p)), truth] / p.sum(axis=1), 1e-12)).mean())
-    model.sharpness = float(grid[int(np.argmin(losses))])
-    own = entropies[np.arange(len(truth)), truth]
-    for lang in range(len(model.languages)):
-        mine = truth == lang
-        if mine.sum() >= 8:
-            mean = np.average(own[mine], weights=length[mine])
-            spread = np.sqrt(np.average((own[mine] - mean) ** 2, weights=length[mine]))
-            single = np.sqrt(np.mean((own[mine] - mean) ** 2 * length[mine]))
-            model.usual[lang] = mean, spread, single
+    model.sharpness = float(grid[int(np.argmin(pooled[4:]))])
+    for lang, mine in enumerate(sums):
+        rows, w, wx, wxx = (mine if mine[0] >= CALIBRATION_ROWS else pooled)[:4]
+        if rows >= CALIBRATION_ROWS:
+            around = max(wxx - wx * wx / w, 0.0)  # sum of weighted squares around the mean
+            model.usual[lang] = wx / w, np.sqrt(around / w), np.sqrt(around / rows)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -362,6 +362,17 @@ def test_every_ngram_is_kept(spark):
     assert known.find(2, pairs)[1].all()
 
 
+def test_rejection_holds_for_rare_languages(spark):
+    rng = random.Random(8)
+    make = lambda listed, n: " ".join("".join(rng.choice(listed) for _ in range(3)) for _ in range(n))
+    rows = [(i, make("ba be bi bo bu da de di".split(), 30), "aa") for i in range(60)]
+    rows += [(100 + i, make("xor zeq wyk plu gna".split(), 30), "bb") for i in range(4)]
+    model = language_id.train(table(spark, rows))
+    assert np.isfinite(model.usual).all() and model.usual[0][1] > 0
+    junk = language_id.predict(table(spark, [(1, "xqz ЖЖЖ ЩЩЩ ЮЮЮ zqx " * 40)]), model).first()
+    assert junk.rejected
+
+
 # -- pages -----------------------------------------------------------------------------------------------------------
 
 PAGE = """<html><head><title>x</title></head><body class="page content"><header><h1>Site</h1></header>
