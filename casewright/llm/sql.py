@@ -137,3 +137,120 @@ select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(c
 from words left join kept using (doc_id)
 """,
 }
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(cast({value} as varchar)) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _climb(start: str, first: str, levels: int = 6) -> str:
+    """CTEs that take nodes (tree, i, d) up to one node per tree, runs of 16 on each level; ``start`` names the leaves."""
+    out, last = [], start
+    for level in range(levels):
+        out.append(f"""
+{first}r{level} as (
+    select tree, i // 16 as i, list(d order by i) as run, count(*) over (partition by tree) as runs, any_value(n) as n
+    from (select *, count(*) over (partition by tree) as n from {last}) group by tree, i // 16),
+{first}n{level} as (select tree, i, if(n = 1, run[1], sha256(array_to_string(run, ''))) as d from {first}r{level})""")
+        last = f"{first}n{level}"
+    return ",".join(out)
+
+
+def _ways(frm: str, own: str, first: str, levels: int = 6) -> str:
+    """CTEs that extend ``frm`` (doc_id, tree, i, proof, folded) level by level; ``own`` is that CTE's name."""
+    out, last = [], frm
+    for level in range(levels):
+        at = "cast(w.i % 16 as bigint)"
+        out.append(f"""
+{own}{level} as (
+    select w.doc_id, w.tree, w.i // 16 as i,
+        if(r.n = 1, proof, proof || array_to_string(r.run[:{at}], '') || array_to_string(r.run[{at} + 2:], '')) as proof,
+        if(r.n = 1, folded, sha256(array_to_string(r.run[:{at}], '') || folded || array_to_string(r.run[{at} + 2:], ''))) as folded
+    from {last} w join {first}r{level} r on r.tree is not distinct from w.tree and r.i = w.i // 16)""")
+        last = f"{own}{level}"
+    return ",".join(out)
+
+
+#: CRC-32 of the decimal doc_id, bit by bit over its digits: DuckDB has no function for it.
+_CRC = """list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ord(c)::ubigint)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::ubigint, 1, 2, 3, 4, 5, 6, 7]),
+        lambda x, k: if(x % 2 = 1, xor(x // 2, 3988292384::ubigint), x // 2)))"""
+
+ORACLE_SQL["op12_merkle_manifest"] = f"""
+with leaves as (
+    select doc_id, source, {_leaf("text")} as leaf, {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as low,
+        xor({_CRC}, 4294967295::ubigint) % 5 = 0 as tampered
+    from documents),
+placed as (
+    select doc_id, source as tree, leaf as d, if(coalesce(tampered, false), low, leaf) as claimed,
+        row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i
+    from leaves),
+{_climb("placed", "s")},
+subroots as (
+    select 1 as tree, tree as source, d, row_number() over (order by encode(tree) nulls first) - 1 as i from sn5),
+{_climb("subroots", "t")},
+w as (select doc_id, tree, i, '' as proof, claimed as folded from placed),
+{_ways("w", "a", "s")},
+v as (select doc_id, s.tree, s.i, proof, folded from a5 join subroots s on s.source is not distinct from a5.tree),
+{_ways("v", "b", "t")}
+select p.doc_id, p.d as leaf, s.d as subroot, r.d as root, sha256(proof) as proof_sha256, folded as folded_root, folded = r.d as verified
+from placed p join b5 on b5.doc_id is not distinct from p.doc_id join subroots s on s.source is not distinct from p.tree cross join tn5 r
+"""
+
+MARKS = ("<|turn|>", "<|says|>", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|endoftext|>")
+
+
+def _escaped_length(text: str) -> str:
+    """Length of an escaped text: one more for each backslash, two more for each control string."""
+    marks = " + ".join(f"2 * (length({text}) - length(replace({text}, '{m}', ''))) // {len(m)}" for m in MARKS)
+    return rf"length({text}) + (length({text}) - length(replace({text}, '\', ''))) + {marks}"
+
+
+ORACLE_SQL["op11_chat_format"] = rf"""
+with told as (
+    select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+by_conversation as (
+    select conv_id, count(*) as n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, md5(text)) as turns,
+        coalesce(string_agg(text, '' order by turn nulls first, role, md5(text)) filter (role = 'assistant'), '') as trained,
+        sum({len("<|turn|><|says|></s>")} + {_escaped_length("role")} + {_escaped_length("text")}) as formatted_chars
+    from told group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(trained) as bigint) as loss_chars, sha256(trained) as loss_sha256,
+    cast(formatted_chars as bigint) as formatted_chars
+from by_conversation
+"""
+
+ORACLE_SQL["op13_collocations"] = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+    select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as g
+    from words, (values (1), (2), (3)) as t(k) where len(w) >= k),
+f as (select lang, any_value(k) as k, g, count(*) as c from grams group by lang, g),
+totals as (select lang, cast(sum(c) as bigint) as n from f where k = 1 group by lang),
+often as materialized (select * from f where c >= 10),
+candidates as materialized (select lang, k, g, c as a, string_split(g, ' ') as w from often where k > 1),
+parts as materialized (
+    select lang, g, a, k, j, array_to_string(w[:j], ' ') as head, array_to_string(w[j + 1:], ' ') as rest
+    from candidates, (values (1), (2)) as t(j) where j < k),
+cuts as (
+    select x.lang, x.g, x.a, j, l.c as l, r.c as r,
+        cast((1000000::hugeint * x.a * x.a) // (l.c::hugeint * r.c) as bigint) as score
+    from parts x join often l on l.lang = x.lang and l.g = x.head join often r on r.lang = x.lang and r.g = x.rest),
+scored as (select lang, g, any_value(a) as a, min(row(score, j, l, r)) as best from cuts group by lang, g),
+longer as (
+    select lang, s, max(a) as a from (
+        select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as s from candidates where k = 3)
+    group by lang, s),
+kept as (
+    select s.lang, s.g as phrase, s.a, best[3] as l, best[4] as r, best[1] as score
+    from scored s left join longer o on o.lang = s.lang and o.s = s.g where o.a is null or 100 * o.a < 50 * s.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
