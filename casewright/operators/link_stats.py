@@ -61,38 +61,57 @@ def multi_match(df: DataFrame, match1: str, match2: str, index: str) -> tuple[Da
     return counts, matched
 
 
-def _words(df: DataFrame, key: str) -> DataFrame:
+def _words(df: DataFrame, *key: str) -> DataFrame:
     """(key, word, bits) of the distinct case numbers of each key."""
     bits = F.array(*[F.lit(1 << b if b < 63 else -(1 << 63)) for b in range(WORD_BITS)])
-    return df.groupBy(key, F.floor(F.col("case") / WORD_BITS).alias("word")).agg(
+    return df.groupBy(*key, F.floor(F.col("case") / WORD_BITS).alias("word")).agg(
         F.bit_or(F.element_at(bits, F.pmod("case", F.lit(WORD_BITS)).cast("int") + 1)).alias("bits"))
 
 
-def other_cases(holders: DataFrame, members: DataFrame, own: DataFrame) -> DataFrame:
+def largest_and_others(holders: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(suspect_id, big, n): each suspect's account with the most cases; and (suspect_id, big, small) for its other accounts.
+
+    Accounts without cases add nothing and are left out.
+    """
+    sizes = members.groupBy("account").agg(F.count(F.lit(1)).alias("n"))
+    sized = holders.join(sizes, "account")
+    largest = sized.groupBy("suspect_id").agg(F.max(F.struct("n", "account")).alias("top")).select(
+        "suspect_id", F.col("top.account").alias("big"), F.col("top.n").alias("n"))
+    others = sized.select("suspect_id", F.col("account").alias("small")).join(
+        largest.select("suspect_id", "big"), "suspect_id").filter("small <> big")
+    return largest, others.select("suspect_id", "big", "small")
+
+
+def differences(others: DataFrame, members: DataFrame) -> DataFrame:
+    """(big, small, case): the cases of ``small`` that ``big`` lacks, once for each pair of accounts that any suspect holds."""
+    pairs = others.select("big", "small").distinct()
+    return pairs.join(members.withColumnRenamed("account", "small"), "small").join(
+        members.withColumnRenamed("account", "big"), ["big", "case"], "left_anti").select("big", "small", "case")
+
+
+def other_cases(holders: DataFrame, members: DataFrame, own: DataFrame, settle=None) -> DataFrame:
     """Distinct cases, other than their own, that suspects share an account with.
 
     ``holders`` are (suspect_id, account), ``members`` (account, case), ``own`` (suspect_id, case); all
-    distinct, cases are numbers. A suspect with one account needs no union: it is the size of the account's
-    set less the own part. For suspects with several accounts the sets are united as bits, 64 case numbers
-    to a row; cases are numbered densely, so a hub costs a row per 64 of its cases.
+    distinct, cases are numbers. A suspect's largest account counts by its size. What a smaller one adds is worked out once
+    for the pair of accounts, so the suspects of two hubs cost one difference and not one each. Only where a suspect holds
+    three accounts or more may differences overlap; these are united as bits, 64 case numbers to a row.
     """
-    accounts = holders.groupBy("suspect_id").agg(
-        F.count(F.lit(1)).alias("accounts"), F.min("account").alias("account"))
-    single = accounts.filter("accounts = 1").select("suspect_id", "account")
-    sizes = members.groupBy("account").agg(F.count(F.lit(1)).alias("n"))
-    taken = single.join(own, "suspect_id").join(members, ["account", "case"], "left_semi") \
+    largest, others = largest_and_others(holders, members)
+    others = settle("other-accounts", others) if settle else others
+    extra = differences(others, members)
+    extra = settle("account-differences", extra) if settle else extra
+    per_pair = extra.groupBy("big", "small").agg(F.count(F.lit(1)).alias("more"))
+    held = others.groupBy("suspect_id").agg(F.count(F.lit(1)).alias("accounts"), F.min("big").alias("big"), F.min("small").alias("small"))
+    two = held.filter("accounts = 1").join(per_pair, ["big", "small"]).select("suspect_id", "more")
+    several = others.join(held.filter("accounts > 1").select("suspect_id"), "suspect_id", "left_semi")
+    many = several.join(_words(extra, "big", "small"), ["big", "small"]).groupBy("suspect_id", "word").agg(
+        F.bit_or("bits").alias("bits")).groupBy("suspect_id").agg(F.sum(F.bit_count("bits")).alias("more"))
+    taken = holders.join(own, "suspect_id").join(members, ["account", "case"], "left_semi").select("suspect_id", "case").distinct() \
         .groupBy("suspect_id").agg(F.count(F.lit(1)).alias("own_n"))
-    one = single.join(sizes, "account").join(taken, "suspect_id", "left").select(
-        "suspect_id", (F.col("n") - F.coalesce("own_n", F.lit(0))).alias("case_links"))
-
-    several = holders.join(accounts.filter("accounts > 1").select("suspect_id"), "suspect_id", "left_semi")
-    union = several.join(_words(members, "account"), "account").groupBy("suspect_id", "word").agg(
-        F.bit_or("bits").alias("bits"))
-    own_words = _words(own, "suspect_id").withColumnRenamed("bits", "own_bits")
-    others = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("own_bits", F.lit(0).cast("long"))))
-    many = union.join(own_words, ["suspect_id", "word"], "left").groupBy("suspect_id").agg(
-        F.sum(F.bit_count(others)).alias("case_links"))
-    return one.union(many).select("suspect_id", F.col("case_links").cast("long").alias("case_links"))
+    counted = largest.join(two.union(many), "suspect_id", "left").join(taken, "suspect_id", "left")
+    return counted.select("suspect_id", (
+        F.col("n") + F.coalesce("more", F.lit(0)) - F.coalesce("own_n", F.lit(0))).cast("long").alias("case_links"))
 
 
 def _holdings(graph: dict) -> tuple[DataFrame, DataFrame]:
@@ -112,9 +131,9 @@ def case_links(graph: dict, degree: str, settle=None) -> DataFrame:
     """Other cases per suspect.
 
     First degree: cases in which the suspect's accounts are a source too. Second degree: cases in
-    which they are a target. ``settle`` may write down the two tables that the counts read several times.
+    which they are a target. ``settle`` may write down the tables that the counts read several times.
     """
-    return _case_links(*_settled(graph, settle), degree)
+    return _case_links(*_settled(graph, settle), degree, settle)
 
 
 def _settled(graph: dict, settle) -> tuple[DataFrame, DataFrame]:
@@ -122,26 +141,75 @@ def _settled(graph: dict, settle) -> tuple[DataFrame, DataFrame]:
     return (settle("holdings", held), settle("own-cases", own)) if settle else (held, own)
 
 
-def _case_links(held: DataFrame, own: DataFrame, degree: str) -> DataFrame:
+def _case_links(held: DataFrame, own: DataFrame, degree: str, settle=None, only: DataFrame | None = None) -> DataFrame:
     side = {"first": "source", "second": "target"}[degree]
     holders = held.filter("side = 'source'").select("suspect_id", "account")
+    if only is not None:
+        holders = holders.join(only, "suspect_id", "left_semi")
     # Edges are distinct (suspect, account) before the case joins them.
     members = held.filter(F.col("side") == side).join(own, "suspect_id").select("account", "case").distinct()
-    return other_cases(holders, members, own).withColumnRenamed("case_links", f"{degree}_degree_case_links")
+    return other_cases(holders, members, own, settle).withColumnRenamed("case_links", f"{degree}_degree_case_links")
+
+
+COUNTS = ("first_degree_links", "second_degree_links", "first_degree_case_links", "second_degree_case_links")
 
 
 def refresh_link_stats(graph: dict, as_coded: bool = False, settle=write_down) -> DataFrame:
     """Suspects with all four counts computed anew; suspects without links have 0."""
+    return _counted(graph["suspects"], graph, as_coded, settle)
+
+
+def _counted(suspects: DataFrame, graph: dict, as_coded: bool, settle, only: DataFrame | None = None) -> DataFrame:
+    """``suspects`` with their counts in ``graph``; ``only`` (suspect_id) says whose are wanted, if not everybody's."""
     held, own = _settled(graph, settle)
     stats = [first_degree_links(graph["edges"]), second_degree_links(graph["edges"], as_coded),
-             _case_links(held, own, "first"), _case_links(held, own, "second")]
-    out = graph["suspects"].select("id", "name")
+             _case_links(held, own, "first", settle, only), _case_links(held, own, "second", settle, only)]
+    out = suspects.select("id", "name")
     for table in stats:
         out = out.join(table.withColumnRenamed("suspect_id", "id"), "id", "left")
-    return out.select("id", "name", *[
-        F.coalesce(c, F.lit(0)).cast("long").alias(c)
-        for c in ("first_degree_links", "second_degree_links", "first_degree_case_links",
-                  "second_degree_case_links")])
+    return out.select("id", "name", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS])
+
+
+def touched_suspects(graph: dict, added: dict) -> DataFrame:
+    """(suspect_id) of everybody whose counts the rows ``added`` may change; ``graph`` holds them already.
+
+    These are the suspects of new edges and cases, those who hold an account that a new edge names or that a suspect with a
+    new case holds (its set of cases grows), and those with an edge to a target of a new edge (it may have a second source now).
+    """
+    edges, new = graph["edges"], added["edges"]
+    changed = added["case_suspects"].select("suspect_id").union(new.select(F.col("source_suspect_id").alias("suspect_id"))) \
+        .dropna().distinct()
+    ends = F.explode(F.array("source_account_id", "target_account_id")).alias("account")
+    of_changed = edges.join(changed.withColumnRenamed("suspect_id", "source_suspect_id"), "source_suspect_id", "left_semi")
+    accounts = of_changed.select(ends).union(new.select(ends)).dropna().distinct()
+    by = lambda end: edges.join(accounts.withColumnRenamed("account", end), end, "left_semi")
+    found = by("source_account_id").unionByName(by("target_account_id")).select(F.col("source_suspect_id").alias("suspect_id"))
+    return found.union(changed).dropna().distinct()
+
+
+def refresh_touched(graph: dict, added: dict, as_coded: bool = False, settle=write_down) -> DataFrame:
+    """Suspects with the counts they have in ``graph``, which holds the rows ``added`` since its counts were taken.
+
+    Only touched suspects are counted again. What their counts are made of is read from the edges by semi-joins: their own
+    edges, and all edges that name their accounts or reach their targets. Other suspects keep their counts.
+    """
+    edges, suspects = graph["edges"], graph["suspects"]
+    touched = settle("touched-suspects", touched_suspects(graph, added))
+    own_edges = settle("touched-edges", edges.join(
+        touched.withColumnRenamed("suspect_id", "source_suspect_id"), "source_suspect_id", "left_semi"))
+    accounts, targets = [settle(f"touched-{c}", own_edges.select(c).dropna().distinct())
+                         for c in ("source_account_id", "target_account_id")]
+    mine = accounts.withColumnRenamed("source_account_id", "target_account_id").union(targets).distinct()
+    near = settle("near-edges", edges.join(accounts, "source_account_id", "left_semi").unionByName(
+        edges.join(mine, "target_account_id", "left_semi")).distinct())
+    people = near.select(F.col("source_suspect_id").alias("suspect_id")).union(touched).dropna().distinct()
+    of_people = settle("near-cases", graph["case_suspects"].join(people, "suspect_id", "left_semi"))
+    # Numbers of cases are shared by rows of one case number: the least id stands for all, so these are read as well.
+    numbers = graph["cases"].join(of_people.select(F.col("case_id").alias("id")), "id", "left_semi").select("case_number").distinct()
+    near_graph = {"edges": near, "case_suspects": of_people, "cases": graph["cases"].join(numbers, "case_number", "left_semi")}
+    again = _counted(suspects.join(touched.withColumnRenamed("suspect_id", "id"), "id", "left_semi"), near_graph, as_coded, settle, touched)
+    kept = suspects.join(touched.withColumnRenamed("suspect_id", "id"), "id", "left_anti")
+    return kept.select("id", "name", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS]).union(again)
 
 
 def suspects_with_links(graph: dict, stats: DataFrame) -> DataFrame:

@@ -749,11 +749,13 @@ TEXTS = {
                        "union all select 'case_suspects', id, suspect_case_id from i_case_suspects",
     "n8_new_accounts": "select id, account_name, account_label, account_type_id, suspect_id from i_accounts",
     "n9_new_edges": "select * from i_edges",
-    "n10_add_sheets": " union all ".join(
-        f"select '{t}' as \"table\", count(distinct {key}) as rows, count(distinct {key}) as ids from {source}" for t, key, source in (
-            ("suspects", "name", "links"), ("cases", "case_id", "links"), ("case_suspects", "name", "links"),
-            ("edges", "(source, target, edge_direction)", "i_first_links"),
-            ("accounts", "account_name", "(select source as account_name from links union all select target from links)"))),
+    "n10_add_sheets": f"""
+        select distinct 'suspects' as part, name as value, '' as detail from links
+        union all select distinct 'cases', case_id, '' from links
+        union all select distinct 'accounts', account_name, cast(case when contains(lower(account_name), 'facebook') then 1 else 2 end as varchar)
+          from (select source as account_name from links union all select target from links)
+        union all select 'case_suspects', name, case_id || ' ' || suspect_case_id from ({first_rows('links', 'name', 'row_no, sheet_id')})
+        union all select distinct 'edges', source, target || ' ' || edge_direction from i_first_links""",
     "n11_link_stats": "select * from g_stats",
 }
 

@@ -1026,10 +1026,17 @@ def n10_add_sheets(b):
     for _ in range(2):
         graph_store.add_sheets(b.spark, root, b.link_rows)
     g = graph_store.read(b.spark, root)
-    sizes = [g[t].agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"))
-             .select(F.lit(t).alias("table"), "rows", "ids")
-             for t in ("suspects", "accounts", "edges", "cases", "case_suspects")]
-    return unions.by_name(*sizes)
+    row = lambda part, value, detail: [F.lit(part).alias("part"), F.col(value).alias("value"), detail.cast("string").alias("detail")]
+    names = g["accounts"].select("id", "account_name")
+    end = lambda name: names.select(F.col("id").alias(f"{name}_account_id"), F.col("account_name").alias(name))
+    edges = g["edges"].join(end("source"), "source_account_id").join(end("target"), "target_account_id")
+    cases = g["case_suspects"].join(g["cases"].select(F.col("id").alias("case_id"), "case_number"), "case_id").join(
+        g["suspects"].select(F.col("id").alias("suspect_id"), "name"), "suspect_id")
+    return unions.by_position(
+        g["suspects"].select(*row("suspects", "name", F.lit(""))), g["cases"].select(*row("cases", "case_number", F.lit(""))),
+        g["accounts"].select(*row("accounts", "account_name", F.col("account_type_id"))),
+        cases.select(*row("case_suspects", "name", F.concat_ws(" ", "case_number", "suspect_case_id"))),
+        edges.select(*row("edges", "source", F.concat_ws(" ", "target", "edge_direction"))))
 
 
 @query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from casewright.operators import graph, link_stats, numbering
 from casewright.plans import registry
 from casewright.session import scratch_path
-from casewright.sources import graph_store, tables
+from casewright.sources import generations, graph_store, tables
 from casewright.sources.bindings import Bindings
 from casewright.streaming.link_intake import LINK_SCHEMA, take_in_new_sheets
 
@@ -168,3 +168,92 @@ def test_replace_keeps_the_old_version_until_done(spark):
     assert tables.latest_version(spark, path) == 2
     with pytest.raises(FileNotFoundError):
         tables.read(spark, path + "-none")
+
+
+def random_sheets(rng, sheet_ids, accounts=12):
+    out = []
+    for sheet in sheet_ids:
+        links = [(rng.choice(["SMS", "Facebook Like", "Facebook Friend"]), f"a{rng.randrange(accounts)}", f"a{rng.randrange(accounts)}")
+                 for _ in range(rng.randrange(1, 6))]
+        out += sheet_rows(sheet, f"N{rng.randrange(14)}", f"K{rng.randrange(6)}", links)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_counts_kept_up_by_increments_equal_a_full_count(spark, seed):
+    rng = random.Random(seed)
+    root = scratch_path(spark, "graph")
+    graph_store.create(spark, root)
+    for day in range(3):
+        rows = random_sheets(rng, range(day * 5, day * 5 + 5))
+        stored = graph_store.add_sheets(spark, root, spark.createDataFrame(rows, LINK_SCHEMA))
+        kept = sorted(map(tuple, stored["suspects"].select("id", "name", *link_stats.COUNTS).collect()))
+        assert kept == sorted(map(tuple, link_stats.refresh_link_stats(stored).collect()))
+    assert any(row[-1] for row in kept) and any(row[-2] for row in kept)
+
+
+def test_untouched_suspects_are_not_counted_again(spark):
+    """Two days that share no account: the second day's touched suspects are its own."""
+    root = scratch_path(spark, "graph")
+    graph_store.create(spark, root)
+    graph_store.add_sheets(spark, root, spark.createDataFrame(sheet_rows(1, "A", "K1", [("SMS", "a", "b")]), LINK_SCHEMA))
+    before = graph_store.read(spark, root)
+    links = graph.prepare_links(spark.createDataFrame(sheet_rows(2, "B", "K2", [("SMS", "c", "d")]), LINK_SCHEMA))
+    added = graph.new_rows(links, before)
+    grown = graph.extend(before, added)
+    names = {r.id: r.name for r in grown["suspects"].collect()}
+    assert [names[r.suspect_id] for r in link_stats.touched_suspects(grown, added).collect()] == ["B"]
+
+
+def test_rows_united_are_bounded_by_the_smaller_accounts(spark):
+    """2,000 suspects of two hubs cost one difference, not one each."""
+    held = [(s, a) for s in range(2000) for a in (1, 2)] + [(0, 3)]
+    cases = [(1, k) for k in range(3000)] + [(2, k) for k in range(2000, 4000)] + [(3, 3999), (3, 5000)]
+    holders, members = spark.createDataFrame(held, "suspect_id long, account long"), spark.createDataFrame(cases, "account long, case long")
+    _, others = link_stats.largest_and_others(holders, members)
+    extra = link_stats.differences(others, members)
+    assert extra.count() == 1000 + 2 <= 2000 + 2
+    got = {r.suspect_id: r.case_links for r in link_stats.other_cases(
+        holders, members, spark.createDataFrame([(5, 2500), (6, 9999)], "suspect_id long, case long")).collect()}
+    assert got == {s: 4001 if s == 0 else 3999 if s == 5 else 4000 for s in range(2000)}
+
+
+def test_a_commit_that_fails_half_way_changes_nothing(spark, monkeypatch):
+    root = scratch_path(spark, "graph")
+    graph_store.create(spark, root)
+    first = spark.createDataFrame(sheet_rows(1, "A", "K1", [("SMS", "a", "b")]), LINK_SCHEMA)
+    second = spark.createDataFrame(sheet_rows(2, "B", "K2", [("SMS", "a", "c")]), LINK_SCHEMA)
+    graph_store.add_sheets(spark, root, first)
+    before, written = table_keys(graph_store.read(spark, root)), []
+    whole = generations._written
+
+    def fails_at_the_third(root, name, df):
+        written.append(name)
+        if len(written) == 3:
+            raise OSError("disk lost")
+        return whole(root, name, df)
+
+    monkeypatch.setattr(generations, "_written", fails_at_the_third)
+    with pytest.raises(OSError, match="disk lost"):
+        graph_store.add_sheets(spark, root, second)
+    assert len(written) == 3 and table_keys(graph_store.read(spark, root)) == before
+    monkeypatch.undo()
+    old = generations.latest(spark, root)
+    graph_store.add_sheets(spark, root, second)
+    assert table_keys(graph_store.read(spark, root))["suspects"] == ["A", "B"]
+    # A writer that started from the older state loses, and changes nothing.
+    with pytest.raises(FileExistsError):
+        generations.commit(spark, root, old, replaced={"suspects": spark.range(1)})
+    assert table_keys(graph_store.read(spark, root))["suspects"] == ["A", "B"]
+    generations.clean(spark, root, keep=1)
+    assert generations.generations(spark, root) == [3] and table_keys(graph_store.read(spark, root))["edges"]
+
+
+def test_many_appends_are_joined_to_one_folder(spark, monkeypatch):
+    root = scratch_path(spark, "table")
+    monkeypatch.setattr(generations, "MOST_FOLDERS", 3)
+    manifest = None
+    for i in range(7):
+        manifest = generations.commit(spark, root, manifest, appended={"t": spark.range(i, i + 1)})
+        assert len(manifest.tables["t"]) < 3
+    assert sorted(r.id for r in generations.read(spark, root, manifest, "t", "id long").collect()) == list(range(7))
