@@ -37,7 +37,7 @@ FIRST_ROWS = 2000
 ABSORBED = 50
 SCALE = 1_000_000
 #: Suffixes that one group may hold.
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 1_000_000
 #: A prefix with more than this part of a group's suffixes is split.
 LARGE_PART = 4
 SLICE_BYTES = 4 << 20
@@ -119,20 +119,31 @@ def _cut(data: np.ndarray, at: int) -> int:
 
 
 def _combined(words: tuple[np.ndarray, ...]) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
-    """The distinct suffixes in order of hash, and how often each occurs. Slices have less than 2 ** 21 different words."""
-    known, ids = np.unique(np.concatenate(words), return_inverse=True)
-    n = len(words[0])
-    if len(known) < 1 << 21:
-        bits = np.uint64(21)
-        ids = ids.astype(np.uint64)
-        packed = ids[:n] << bits << bits | ids[n: 2 * n] << bits | ids[2 * n:]
-        keys, counts = np.unique(packed, return_counts=True)
-        mask = np.uint64((1 << 21) - 1)
-        return (known[keys >> bits >> bits], known[keys >> bits & mask], known[keys & mask]), counts
-    order = np.lexsort((ids[2 * n:], ids[n: 2 * n], ids[:n]))
-    a, b, c = (ids[k * n: (k + 1) * n][order] for k in range(3))
+    """The distinct suffixes in order of hash, and how often each occurs. The second and third words of the suffixes of
+    a slice are first words of others, but for the last ones."""
+    known = np.unique(np.r_[NONE, words[0], words[1][-1:], words[2][-2:]])
+    keys, counts = _sorted_suffixes(*(np.searchsorted(known, w).astype(np.uint32) for w in words))
+    return tuple(known[k] for k in keys), counts
+
+
+def _sorted_suffixes(a: np.ndarray, b: np.ndarray, c: np.ndarray, times: np.ndarray | None = None):
+    """Distinct (a, b, c) in order, with the sum of their ``times`` (1 each)."""
+    if not len(a) or max(int(a.max()), int(b.max()), int(c.max())) < 1 << 21:
+        bits, mask = np.uint64(21), np.uint64((1 << 21) - 1)
+        packed = (a.astype(np.uint64) << bits | b) << bits | c
+        if times is None:
+            packed, sums = np.unique(packed, return_counts=True)
+        else:
+            order = np.argsort(packed)
+            packed, times = packed[order], times[order]
+            new = np.flatnonzero(np.r_[True, packed[1:] != packed[:-1]])
+            packed, sums = packed[new], np.add.reduceat(times, new)
+        return ((packed >> bits >> bits).astype(np.uint32), (packed >> bits & mask).astype(np.uint32), (packed & mask).astype(np.uint32)), sums
+    order = np.lexsort((c, b, a))
+    a, b, c = a[order], b[order], c[order]
     new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])])
-    return (known[a[new]], known[b[new]], known[c[new]]), np.diff(np.r_[new, n])
+    sums = np.diff(np.r_[new, len(a)]) if times is None else np.add.reduceat(times[order], new)
+    return (a[new], b[new], c[new]), sums
 
 
 # -- words and frequent pairs ------------------------------------------------------------------------------------------
@@ -256,13 +267,25 @@ def _pack(words: tuple[np.ndarray, ...], counts: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(body)
 
 
-def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(words as three rows, counts)."""
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(dictionary, places in it as three rows, counts)."""
     body = zstandard.ZstdDecompressor().decompress(packed)
     n_known, n, wide = np.frombuffer(body, np.uint32, 3).tolist()
-    known = np.frombuffer(body, np.uint64, n_known, 12)
     ids = np.frombuffer(body, np.uint16 if wide == 2 else np.uint32, 3 * n, 12 + 8 * n_known)
-    return known[ids].reshape(3, n), np.frombuffer(body, np.uint32, n, len(body) - 4 * n)
+    return np.frombuffer(body, np.uint64, n_known, 12), ids.reshape(3, n), np.frombuffer(body, np.uint32, n, len(body) - 4 * n)
+
+
+def _one_dictionary(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(dictionary, places as three rows, counts) of several packed values together."""
+    found = [_unpack(p) for p in packed]
+    known = np.unique(np.concatenate([f[0] for f in found]))
+    n = sum(len(f[2]) for f in found)
+    ids, counts, at = np.empty((3, n), np.uint32), np.empty(n, np.int64), 0
+    for own, places, times in found:
+        ids[:, at: at + len(times)] = np.searchsorted(known, own).astype(np.uint32)[places]
+        counts[at: at + len(times)] = times
+        at += len(times)
+    return known, ids, counts
 
 
 _PACKED = pa.schema([("group", pa.int32()), ("split", pa.bool_()), ("packed", pa.binary())])
@@ -300,29 +323,22 @@ def _subtree(least: int) -> Callable:
     def run(block: pa.Table) -> pa.Table:
         tables = []
         for split in (False, True):
-            found = [_unpack(p) for p, s in zip(block["packed"].to_pylist(), block["split"].to_pylist(), strict=True) if s == split]
-            if not found:
+            packed = [p for p, s in zip(block["packed"].to_pylist(), block["split"].to_pylist(), strict=True) if s == split]
+            if not packed:
                 continue
-            words, counts = np.concatenate([f[0] for f in found], axis=1), np.concatenate([f[1] for f in found]).astype(np.int64)
-            del found
-            known, ids = np.unique(words, return_inverse=True)
-            ids = ids.reshape(3, -1)
-            pairs = ids[0].astype(np.uint64) << np.uint64(32) | ids[1].astype(np.uint64)
-            order = np.lexsort((ids[2], pairs))
-            pairs, thirds, counts = pairs[order], ids[2][order], counts[order]
-            at_pair = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
-            at_leaf = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]) | (thirds[1:] != thirds[:-1])])
-            leaf, node = np.add.reduceat(counts, at_leaf), np.add.reduceat(counts, at_pair)
-            third = known[thirds[at_leaf]]
-            deep = (third != NONE) & (leaf >= least)
+            known, ids, counts = _one_dictionary(packed)
+            del packed
+            (first, second, third), leaf = _sorted_suffixes(*ids, counts)
+            del ids, counts
+            at = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+            node = np.add.reduceat(leaf, at)
+            deep = (third != 0 if known[0] == NONE else np.full(len(third), True)) & (leaf >= least)
             wide = np.full(len(node), True) if split else node >= least
-            firsts = lambda at: known[(pairs[at] >> np.uint64(32)).astype(np.int64)]
-            seconds = lambda at: known[(pairs[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-            a, b = at_leaf[deep], at_pair[wide]
+            b = at[wide]
             tables.append(pa.table([
-                pa.chunked_array([_signed(np.r_[firsts(a), firsts(b)])]), pa.chunked_array([_signed(np.r_[seconds(a), seconds(b)])]),
-                pa.array(np.r_[third[deep], np.zeros(len(b), np.uint64)].view(np.int64)), pa.array(np.r_[leaf[deep], node[wide]]),
-                pa.array(np.r_[np.zeros(len(a), bool), np.full(len(b), split)])], schema=_NODES_ARROW))
+                _signed(np.r_[known[first[deep]], known[first[b]]]), _signed(np.r_[known[second[deep]], known[second[b]]]),
+                _signed(np.r_[known[third[deep]], np.zeros(len(b), np.uint64)]), pa.array(np.r_[leaf[deep], node[wide]]),
+                pa.array(np.r_[np.zeros(int(deep.sum()), bool), np.full(len(b), split)])], schema=_NODES_ARROW))
         return pa.concat_tables(tables)
 
     return run
