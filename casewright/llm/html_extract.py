@@ -6,9 +6,12 @@ expression: equal tokens stay, tandem repeats become repeated groups, what only
 differing texts become slots. Every page is then matched whole against the expression of its layout, which gives the slot
 of each of its texts, and all pages confirm what a slot carries: a text is the template's own where ``SAME`` of the pages
 that fill the slot (or, over all layouts of the host, that have the part of the page) show it. Pages that tell the same
-article count once. Elements and names of parts are what is believed beforehand: a text within an article or main part
-needs more pages (``ARTICLE_PAGES``) to be the template's own than one elsewhere (``OTHER_PAGES``), and varying texts of
-parts such as navigation stay out, since no expression tells a varying link from a varying sentence.
+article count once. Elements and names of parts are what is believed beforehand: varying texts of parts such as navigation
+stay out, since no expression tells a varying link from a varying sentence. Within an article or main part a text that pages
+repeat may be the article's (a heading such as "Method", a refrain): it goes only with more pages (``ARTICLE_PAGES``) and where it
+is no heading and stands before or after everything that varies in the article, or is mostly links; and names of parts count
+there only as whole class names of parts, not of paragraphs. Parts named like a main part are the text of a page without an article
+where they hold most of it.
 
 Defined cases: a null or empty html has an empty text. Unclosed and wrongly nested elements close with the part around
 them; an unclosed comment or script runs to the end. Hosts with one page have a wrapper without slots, and structure
@@ -95,11 +98,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 @lru_cache(10_000)
-def described(name: str, detail: str) -> tuple[str, bool, bool]:
-    """(label, skipped, named like the main part) of a part of the page."""
+def described(name: str, detail: str) -> tuple[str, bool, bool, bool]:
+    """(label, skipped, named like the main part, skipped also within an article) of a part of the page."""
     if not detail.strip():
-        return name, name in SKIPPED, name in MAIN
+        return name, name in SKIPPED, name in MAIN, name in SKIPPED
     words: set[str] = set()
+    whole: set[str] = set()
     skipped, label = name in SKIPPED, name
     for key, value in _ATTRIBUTE.findall(detail):
         key, value = key.lower(), unescape(value.strip("\"'"))
@@ -112,9 +116,11 @@ def described(name: str, detail: str) -> tuple[str, bool, bool]:
             words |= {"main"} & set(value.lower().split())
         elif key in ("class", "id"):
             words |= set(_WORD.findall(_CAMEL.sub(" ", value).lower()))
+            whole |= set(value.lower().split())
             label += f".{value}" if key == "class" else f"#{value}"
-    return label, skipped or (bool(NAMES & words) and name not in MAIN and name not in ("html", "body")), (
-        name in MAIN or bool(words & MAIN_NAMES) and name in PARTS)
+    named = bool(NAMES & words) and name not in MAIN and name not in ("html", "body")
+    return (label, skipped or named, name in MAIN or bool(words & MAIN_NAMES) and name in PARTS,
+            skipped or (named and name in PARTS and bool(NAMES & whole)))
 
 
 @dataclass
@@ -127,6 +133,7 @@ class Block:
     skipped: bool
     article: bool
     main: bool
+    heading: bool
     linked: int
     numbers: list[int]  # places of the parts among the texts of the page
 
@@ -137,24 +144,25 @@ def blocks(page: str) -> Iterator[Block]:
     here = ("", "", False, False, False)
     held: list[str] = []
     linked = number = 0
-    heading = link = False
+    heading = link = titled = False
 
     def flush() -> Iterator[Block]:
-        nonlocal linked, number
+        nonlocal linked, number, titled
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
                 skipped = here[2] and not (heading and here[0] == "header" and here[3])
                 parts = [p for p in (" ".join(unescape(h).split()) for h in held) if p]
-                yield Block(here[1], text, parts, skipped, here[3], here[4], linked, [*range(number, number + len(parts))])
+                yield Block(here[1], text, parts, skipped, here[3], here[4], titled, linked, [*range(number, number + len(parts))])
                 number += len(parts)
             held.clear()
-        linked = 0
+        linked, titled = 0, False
 
     for kind, name, detail in tokens(page):
         if kind == "text":
             if name not in RAW:
                 held.append(detail)
+                titled |= heading
                 if link:
                     linked += len(detail)
             continue
@@ -172,7 +180,8 @@ def blocks(page: str) -> Iterator[Block]:
                     continue
                 if name == "li" and here[0] == "li":
                     here = stack.pop()
-                label, skipped, main = described(name, detail)
+                label, skipped, main, strict = described(name, detail)
+                skipped = strict if here[3] else skipped
                 path = f"{here[1]}/{label}".removeprefix("/") if name in PARTS else here[1]
                 stack.append(here)
                 inner = name in MAIN or here[3]
@@ -180,8 +189,8 @@ def blocks(page: str) -> Iterator[Block]:
                 here = (name, path, here[2] or skipped or own_header, inner and not skipped or inner and own_header,
                         main or here[4])
             elif _has_mark(detail):
-                _, skipped, _ = described(name, detail)
-                if skipped and name not in VOID:
+                _, skipped, _, strict = described(name, detail)
+                if (strict if here[3] else skipped) and name not in VOID:
                     stack.append(here)
                     here = (name, here[1], True, here[3], here[4])
         else:
@@ -499,10 +508,14 @@ def main_text(page: str | None, own: set[int] | frozenset = frozenset()) -> str:
     found = [b for b in blocks(page) if not b.skipped]
     inside = [b for b in found if b.article]
     if inside:
-        return "\n".join(b.text for b in inside if not own.issuperset(b.numbers))
+        varies = [n for n, b in enumerate(inside) if not own.issuperset(b.numbers)]
+        first, last = (varies[0], varies[-1]) if varies else (len(inside), -1)
+        stays = lambda n, b: b.heading or first < n < last and 2 * b.linked <= len(b.text)
+        return "\n".join(b.text for n, b in enumerate(inside) if not own.issuperset(b.numbers) or stays(n, b))
     inside = [b for b in found if not own.issuperset(b.numbers)]
+    told = lambda listed: sum(len(b.text) - b.linked for b in listed)
     named = [b for b in inside if b.main]
-    inside = named or [b for b in inside if 2 * b.linked <= len(b.text)]
+    inside = named if named and 2 * told(named) >= told(inside) else [b for b in inside if 2 * b.linked <= len(b.text)]
     return "\n".join(b.text for b in inside)
 
 
@@ -526,9 +539,10 @@ def wrappers(pages: DataFrame, sample: int = WRAPPER_PAGES) -> DataFrame:
     keyed = pages.select("page_id", "host", "layout", F.xxhash64("page_id", "url").alias("h"))
     first = Window.partitionBy("host", "layout").orderBy("h", "page_id")
     chosen = settle("wrapper-pages", keyed.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample).select(
-        F.col("page_id").alias("id"), F.col("host").alias("of"), F.col("layout").alias("shape"), "n"))
+        F.col("page_id").alias("id"), F.col("host").alias("of"), F.col("layout").alias("shape"), "n").groupBy(
+        "id", "of", "shape").agg(F.min("n").alias("n")))
     taken = pages.join(chosen, (F.col("page_id") == F.col("id")) & (F.col("host") == F.col("of")) & (
-        F.col("layout") == F.col("shape"))).select("host", "layout", "n", "html")
+        F.col("layout") == F.col("shape"))).select("host", "layout", "n", "html").dropDuplicates(["host", "layout", "n"])
 
     def infer(group: pd.DataFrame) -> pd.DataFrame:  # at most ``sample`` ids
         listed = [h for h in group.sort_values("n")["html"].drop_duplicates().tolist() if h][:sample]

@@ -7,7 +7,7 @@ smoothed labelled purity (share of blocked among labelled urls, towards a prior)
 default they are the verdicts of the rules themselves.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, fits no rule and is allowed unless its
-(empty) template is rejected. Rows that repeat are judged each, and count each in the statistics. Without labels
+(empty) template is rejected. Paths of any depth are cut into all their segments. Rows that repeat are judged each, and count each in the statistics. Without labels
 everything outside the rules is allowed. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -22,8 +22,6 @@ from casewright.llm.common import ascii_lower, settle
 
 ALLOW, BLOCK = "allow", "block"
 WILD = "*"
-#: Segments from this depth on are one wildcard tail.
-DEPTH = 8
 #: A branching point with more distinct segments than this, used fewer than so many times each, is variable.
 MOST_BRANCHES = 12
 URLS_A_BRANCH = 20
@@ -95,16 +93,26 @@ def shape_of(path: Column) -> Column:
 def templates(urls: DataFrame) -> DataFrame:
     """(host, shape, template, n, labelled, blocked) for each distinct shape, from (host, path, blocked) rows, where
     ``blocked`` is null without a label."""
+    segments = F.split("shape", "/")
     now = settle("shapes", urls.groupBy("host", shape_of(F.col("path")).alias("shape")).agg(
         F.count(F.lit(1)).alias("n"), F.count("blocked").alias("labelled"),
         F.sum(F.col("blocked").cast("long")).alias("blocked"))
         .withColumn("blocked", F.coalesce("blocked", F.lit(0)))
-        .withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit("")))
-    deepest = now.agg(F.max(F.size("segments"))).first()[0] or 0
-    for depth in range(2, min(deepest, DEPTH) + 1):
-        own = F.when(F.size("segments") >= depth, F.element_at("segments", depth)) if depth < DEPTH else F.when(
-            F.size("segments") >= depth, F.lit("**"))
-        here = now.withColumn("segment", own)
+        .withColumn("rest", F.slice(segments, 2, F.size(segments))).withColumn("template", F.lit("")))
+    done = now.filter("size(rest) = 0")
+    now = now.filter("size(rest) > 0")
+    with_next = lambda t, step: F.concat(t, F.lit("/"), step)
+    while not now.isEmpty():
+        # What all shapes of a node share is taken at once (it is what the first and the last in order share), so a
+        # round ends at the next place where they differ, however deep, and a shape that is alone in its node ends.
+        nodes = now.groupBy("host", "template").agg(F.min("rest").alias("low"), F.max("rest").alias("high"))
+        differs = F.array_position(F.zip_with("low", "high", lambda x, y: x.eqNullSafe(y)), False)
+        nodes = nodes.select("host", "template", F.when(differs > 0, differs - 1).otherwise(
+            F.least(F.size("low"), F.size("high"))).cast("int").alias("shared"))
+        along = F.when(F.col("shared") > 0, with_next(F.col("template"), F.array_join(F.slice(
+            "rest", 1, F.greatest("shared", F.lit(1))), "/"))).otherwise(F.col("template"))
+        here = now.join(nodes, ["host", "template"]).withColumn("template", along).withColumn(
+            "rest", F.slice("rest", F.col("shared") + 1, F.size("rest"))).drop("shared").withColumn("segment", F.get("rest", F.lit(0)))
         branches = here.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
         variable = (
             branches.groupBy("host", "template").agg(F.count(F.lit(1)).alias("branches"), F.sum("n").alias("uses"))
@@ -112,10 +120,11 @@ def templates(urls: DataFrame) -> DataFrame:
             .select("host", "template", F.lit(True).alias("variable"))
         )
         step = F.when(F.col("variable"), F.lit(WILD)).otherwise(F.col("segment"))
-        now = settle("shapes", here.join(variable, ["host", "template"], "left").withColumn("template", F.when(
-            F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), step)))
-            .drop("segment", "variable"))
-    return now.drop("segments")
+        later = settle("shapes", here.join(variable, ["host", "template"], "left").withColumn("template", F.when(
+            F.col("segment").isNull(), F.col("template")).otherwise(with_next(F.col("template"), step)))
+            .withColumn("rest", F.slice("rest", 2, F.greatest(F.size("rest"), F.lit(1)))).select(*now.columns))
+        done, now = done.union(later.filter("size(rest) = 0")), later.filter("size(rest) > 0")
+    return done.drop("rest")
 
 
 def rejected_templates(shapes: DataFrame) -> DataFrame:

@@ -8,7 +8,10 @@ Defined cases: a record without url has the empty canonical url, like all others
 time the one with the largest record id is the later one; one at the very time of the revisit is not earlier. A null
 date is earlier than all others. A revisit without an earlier full response is an ``orphan``; with differing validators
 a ``mismatch``, without common validators ``unverified``: these keep their own headers and have no body. Rows that
-repeat are resolved each. An empty table gives an empty result. Other columns are not read.
+repeat are resolved each, to one row each. Of full responses that share a record id the one with the latest date, then the largest
+digest of the body, speaks for the id; revisits that share one are told apart by url and date. A record without id
+is resolved like others, but no record can refer to a response without one: its revisits are orphans. An empty table gives an
+empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.llm.common import ascii_lower, settle
@@ -45,7 +48,7 @@ def _is_full(kind: Column, status: Column) -> Column:
 
 
 def latest_full(records: DataFrame) -> DataFrame:
-    """(record_id, source): for each revisit the latest earlier full response of its canonical url, or null.
+    """(record_id, key, at, source): for each revisit the latest earlier full response of its canonical url, or null.
 
     Records are range-partitioned by (url, date, id), so that a url with very many captures spreads over tasks, and
     each task carries the last full response forward. What has to cross the borders is one row per partition.
@@ -54,13 +57,13 @@ def latest_full(records: DataFrame) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = _is_full(F.col("type"), F.col("status"))
     light = records.select(
-        canonical_url(F.col("url")).alias("key"), F.unix_micros("date").alias("at"), "record_id",
+        canonical_url(F.col("url")).alias("key"), _at(F.col("date")).alias("at"), "record_id",
         full.alias("full"), F.coalesce(F.col("type") == "revisit", F.lit(False)).alias("revisit")
-    ).filter("full or revisit").withColumn("at", F.coalesce("at", F.lit(-(1 << 62))))
+    ).filter("full or revisit")
     # At equal times revisits come first: a full response of the same moment is not earlier.
     order = ["key", "at", "full", "record_id"]
     ranged = settle("captures", light.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-                    .mapInPandas(_carry, "record_id long, revisit boolean, source long, key string, open boolean, tail boolean, "
+                    .mapInPandas(_carry, "record_id long, at long, revisit boolean, source long, key string, open boolean, tail boolean, "
                                          "first_key string, piece int"))
     tails = sorted(ranged.filter("tail").select("piece", "first_key", "key", "source", "open").collect(),
                    key=lambda r: r["piece"])  # one row per partition
@@ -74,7 +77,7 @@ def latest_full(records: DataFrame) -> DataFrame:
         last = (tail["key"], source)
     borders = spark.createDataFrame([(p, s) for p, s in carried.items()], "piece int, border long")
     return ranged.filter("revisit and not tail").join(F.broadcast(borders), "piece", "left").select(
-        "record_id", F.when(F.col("open") & (F.col("key") == F.col("first_key")), F.col("border"))
+        "record_id", "key", "at", F.when(F.col("open") & (F.col("key") == F.col("first_key")), F.col("border"))
         .otherwise(F.col("source")).alias("source"))
 
 
@@ -96,11 +99,11 @@ def _carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             filled = filled.mask(goes_on, source)
         key = batch["key"].iloc[-1]
         source = None if pd.isna(filled.iloc[-1]) else int(filled.iloc[-1])
-        yield pd.DataFrame({"record_id": batch["record_id"], "revisit": batch["revisit"], "source": filled,
+        yield pd.DataFrame({"record_id": batch["record_id"], "at": batch["at"], "revisit": batch["revisit"], "source": filled,
                             "key": batch["key"], "open": filled.isna(), "tail": False, "first_key": first_key,
                             "piece": piece})
     if first_key is not None:
-        yield pd.DataFrame({"record_id": [0], "revisit": [False], "source": pd.array([source], "Int64"), "key": [key],
+        yield pd.DataFrame({"record_id": [0], "at": [0], "revisit": [False], "source": pd.array([source], "Int64"), "key": [key],
                             "open": [source is None], "tail": [True], "first_key": [first_key], "piece": [piece]})
 
 
@@ -108,6 +111,22 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, r"\A[Ww]/", "")
 
 
+def _at(date: Column) -> Column:
+    return F.coalesce(F.unix_micros(date), F.lit(-(1 << 62)))
+
+
+def _one_each(full: DataFrame) -> DataFrame:
+    """One full response for each record id. Only ids that repeat are looked at again, so other bodies do not move for it."""
+    several = settle("repeated-records", full.groupBy("record_id").count().filter("count > 1").select("record_id"))
+    if not several.isEmpty():
+        order = Window.partitionBy("record_id").orderBy(F.desc(_at(F.col("date"))), F.desc(F.sha2("body", 256)), F.desc(F.md5(F.array_join(
+            F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))), "\n"))))
+        chosen = full.join(several, "record_id", "left_semi").withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n")
+        full = full.join(several, "record_id", "left_anti").select("record_id", "headers", "body").union(
+            chosen.select("record_id", "headers", "body"))
+    return full.select("record_id", "headers", "body")
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """One row per response or revisit record: record_id, url_key, outcome (full, resolved, mismatch, unverified, orphan),
     source (record the body is from), headers (merged), body."""
@@ -116,10 +135,11 @@ def resolve(records: DataFrame) -> DataFrame:
     own = records.filter(F.col("type") == "response").select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), F.lit("full").alias("outcome"),
         F.lit(None).cast("long").alias("source"), "headers", "body")
-    asked = records.filter(F.col("type") == "revisit").select("record_id", "url", "headers")
-    mine = asked.alias("q").join(found.alias("f"), F.col("q.record_id") == F.col("f.record_id"), "left").select(
-        "q.*", "f.source").alias("r")
-    stored = records.filter(_is_full(F.col("type"), F.col("status"))).select("record_id", "headers", "body").alias("s")
+    asked = records.filter(F.col("type") == "revisit").select(
+        "record_id", "url", "headers", canonical_url(F.col("url")).alias("key"), _at(F.col("date")).alias("at"))
+    same = F.col("q.record_id").eqNullSafe(F.col("f.record_id")) & (F.col("q.key") == F.col("f.key")) & (F.col("q.at") == F.col("f.at"))
+    mine = asked.alias("q").join(found.alias("f"), same, "left").select("q.record_id", "q.url", "q.headers", "f.source").alias("r")
+    stored = _one_each(records.filter(_is_full(F.col("type"), F.col("status")))).alias("s")
     both = mine.join(stored, F.col("r.source") == F.col("s.record_id"), "left")
     field = lambda side, name: F.element_at(F.col(f"{side}.headers"), name)
     tags = field("r", "etag").isNotNull() & field("s", "etag").isNotNull()
