@@ -23,7 +23,9 @@ class Settings:
     """Everything a run needs to know besides its tables.
 
     ``variant`` picks the generation of the rules ("v3" or "v2"). The other switches default to
-    the documented behaviour; the ``legacy_*`` ones reproduce known slips of the older rules.
+    the documented behaviour; ``legacy_*`` and ``as_coded`` reproduce known slips of the older rules, ``null_is_true`` lets
+    missing texts set flags, ``keep_unmatched`` keeps people without a form, ``canonical_undirected`` makes a two-way link the
+    same from both ends, and ``fill_missing`` writes narratives for missing notes too.
     """
 
     as_of: date
@@ -42,6 +44,12 @@ class Settings:
     solvability_denominator: float | None = None
     solvability_cap: float | None = None
     published_rows: int = fv.PUBLISHED_ROWS
+    legacy_case_key: bool = False
+    null_is_true: bool = False
+    keep_unmatched: bool = False
+    canonical_undirected: bool = False
+    as_coded: bool = False
+    fill_missing: bool = False
     cutoff_days: int = fv.TRAINING_CUTOFF_DAYS
     network: NetworkWeights = field(default_factory=NetworkWeights)
 

@@ -116,24 +116,25 @@ def drop_empty_features(df: DataFrame, keep) -> DataFrame:
 
 
 def engineer_v3(forms: DataFrame, keep=(*fv.ROW_IDENTITY_COLUMNS, "arrest"),
-                places=fv.PLACES_V3) -> DataFrame:
+                places=fv.PLACES_V3, null_is_true: bool = False) -> DataFrame:
     """Form rows to features, newer rules. Empty columns stay: only the model drops them."""
-    df = belief_flags(fill_defaults(destination_flags(forms, places)))
+    df = belief_flags(fill_defaults(destination_flags(forms, places, null_is_true=null_is_true)), null_is_true)
     df = df.drop(*fv.FEATURE_DROP_V3)
-    return coerce_types(df, fv.NUMBER_FEATURES_V3, keep)
+    return coerce_types(df, fv.NUMBER_FEATURES_V3, keep, null_is_true)
 
 
 def engineer_v2(forms: DataFrame, levels: dict[str, list[str]] | None = None,
-                keep=("suspect_id", "cif_number", "interview_date", "arrest")) -> DataFrame:
+                keep=("suspect_id", "cif_number", "interview_date", "arrest"), null_is_true: bool = False,
+                as_coded: bool = False) -> DataFrame:
     """Form rows to features, older rules: box flags and categories.
 
     With ``levels`` there is one flag column per listed category value. Without, categories stay text columns, which the
     model pipeline indexes and encodes as sparse vectors, whatever their number of values.
     """
     categories = [c for c in fv.CATEGORY_FEATURES_V2 if c in forms.columns]
-    df = box_flags(destination_flags(forms, fv.PLACES_V2, unknown=True))
+    df = box_flags(destination_flags(forms, fv.PLACES_V2, unknown=True, null_is_true=null_is_true), as_coded)
     df = df.drop("planned_destination", "pb_number", "arrest_date")
-    df = coerce_types(df, fv.NUMBER_FEATURES_V2, (*keep, *categories))
+    df = coerce_types(df, fv.NUMBER_FEATURES_V2, (*keep, *categories), null_is_true)
     if levels is None:
         return df.withColumns({c: F.col(c).cast("string") for c in categories})
     return category_flags(df, levels)

@@ -171,7 +171,7 @@ def import_links(links: DataFrame, dimensions: Graph, settle=write_down,
     }
 
 
-def new_rows(links: DataFrame, graph: Graph, settle=write_down) -> Graph:
+def new_rows(links: DataFrame, graph: Graph, settle=write_down, canonical_undirected: bool = False) -> Graph:
     """What prepared rows of new sheets add to each table; all sheets in one go."""
     suspects = settle("new-suspects", _suspects(links, graph["suspects"]))
     cases = settle("new-cases", _cases(links, graph["cases"]))
@@ -184,7 +184,7 @@ def new_rows(links: DataFrame, graph: Graph, settle=write_down) -> Graph:
         "accounts": accounts,
         "edges": settle("new-edges", _edges(
             links, all_suspects, by_name(graph["accounts"], accounts), graph["edge_types"],
-            existing=graph["edges"])),
+            existing=graph["edges"], canonical_undirected=canonical_undirected)),
         "case_suspects": settle("new-case-suspects", _case_suspects(
             links, all_suspects, all_cases, graph["case_suspects"])),
     }

@@ -144,11 +144,24 @@ def priority(settings: Settings) -> Column:
 
 def weights_from_table(parameters: DataFrame, keys=(*fv.SOLVABILITY_WEIGHTS, *fv.PRIORITY_WEIGHTS)) -> dict[str, float]:
     """The known keys of a key/value parameter table as a weight dict; blank counts as 0, an absent key is left out."""
+    named = F.translate("key", " ", "_")
     found = parameters.agg(*[
-        F.max(F.when(F.col("key") == k, number("value", 0))).alias(f"k{i}") for i, k in enumerate(keys)]).first()
+        F.max(F.when(named == k, number("value", 0))).alias(f"k{i}") for i, k in enumerate(keys)]).first()
     return {k: found[f"k{i}"] for i, k in enumerate(keys) if found[f"k{i}"] is not None}
 
 
+def multipliers_from_table(table: DataFrame, most: int = 1000) -> dict[int, float]:
+    """The multiplier for each number of willing victims; unreadable rows are left out, of equal numbers the largest counts.
+
+    A typed table of a few rows; one with more than ``most`` numbers is refused.
+    """
+    rows = table.select(number("victims_willing").cast("int").alias("n"), number("multiplier").alias("m")).dropna().groupBy("n").agg(
+        F.max("m").alias("m")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} multipliers")
+    return {r["n"]: r["m"] for r in rows}
+
+
 # --- case measures ------------------------------------------------------------------------------------
 
 

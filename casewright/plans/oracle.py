@@ -489,6 +489,28 @@ PARTS = {
 }
 
 
+def run_parts() -> dict[str, str]:
+    """The scoring parts over the lists of a run, after closing, instead of over the sheets; scores from a digest of the keys."""
+    out = {
+        "r_suspects": "select uid as suspect_id, a.case_id, a.name, a.case_status, a.date_closed, s.eminence "
+                      "from suspects_active3 a left join suspects_sheet s on s.suspect_id = a.uid",
+        "r_police": "select uid as suspect_id, case_id, name, case_status, date_closed from police_active3",
+        "r_victims": "select uid as victim_id, case_id, name, case_status, date_closed from victims_active3",
+        "r_soc": "select suspect_id, interview_date, cif_number, "
+                 "cast('0x' || left(md5(suspect_id || ':' || cif_number), 7) as bigint) % 997 / 997::double as soc from sus_forms",
+    }
+    names = {"suspects_sheet": "r_suspects", "police_sheet": "r_police", "victims_sheet": "r_victims", "soc_scores": "r_soc"}
+    taken = ("willing", "police_by_case", "soc_by_suspect", "components", "solved", "lifted")
+    names |= {n: f"r_{n}" for n in taken if n != "lifted"}  # a column is called so too
+    for name in taken:
+        out[f"r_{name}"] = re.sub(r"'(?:[^']|'')*'|\b[a-z_]+\b", lambda m: names.get(m[0], m[0]), PARTS[name])
+    out["r_scored"] = f"select *, {priority_sql('lifted')} as priority from r_lifted"
+    return out
+
+
+PARTS.update(run_parts())
+
+
 _WORD = re.compile(r"\b[a-z][a-z0-9_]*\b")
 _LITERAL = re.compile(r"'(?:[^']|'')*'")
 
@@ -756,6 +778,26 @@ TEXTS = {
           from (select source as account_name from links union all select target from links)
         union all select 'case_suspects', name, case_id || ' ' || suspect_case_id from ({first_rows('links', 'name', 'row_no, sheet_id')})
         union all select distinct 'edges', source, target || ' ' || edge_direction from i_first_links""",
+    "e1_run_v3": f"""
+        select 'suspects' as tab, suspect_id as uid, case_id, coalesce(name, '') as name, coalesce(case_status, '') as case_status,
+          coalesce(date_closed, '') as date_closed, priority from r_scored
+        union all select 'police', p.suspect_id, p.case_id, coalesce(p.name, ''), coalesce(p.case_status, ''), coalesce(p.date_closed, ''),
+          coalesce(s.priority, 0) from r_police p left join r_scored s using (suspect_id)
+        union all select 'victims', v.victim_id, v.case_id, coalesce(v.name, ''), coalesce(v.case_status, ''), coalesce(v.date_closed, ''),
+          coalesce(t.priority, 0) from r_victims v left join ({first_rows('r_scored', 'case_id', 'priority desc, suspect_id')}) t using (case_id)
+        union all select 'top_suspects', suspect_id, case_id, coalesce(name, ''), coalesce(case_status, ''), coalesce(date_closed, ''), priority
+          from (select * from r_scored order by priority desc, suspect_id limit 200)
+        {' '.join(f"union all select '{tab}', uid, case_id, coalesce(name, ''), coalesce(case_status, ''), coalesce(date_closed, ''), null "
+                  f"from {g}_closed3 where coalesce(case_id, '') <> ''" for g, tab in (
+                      ("suspects", "closed_sus"), ("police", "closed_pol"), ("victims", "closed_vic")))}
+        union all select 'cases', t.case_id, t.case_id, '',
+          case when p.done then '{fv.CASE_STATUS_POLICE}' when s.done then '{fv.CASE_STATUS_LOCATED}'
+            when w.willing_count >= 2 then '{fv.CASE_STATUS_TWO_WILLING}' when w.willing_count = 1 then '{fv.CASE_STATUS_ONE_WILLING}' else '' end,
+          case when p.done then '{fv.NEXT_ACTION_ARREST}' when s.done then '{fv.NEXT_ACTION_POLICE}'
+            when w.willing_count >= 1 then '{fv.NEXT_ACTION_LOCATE}' else '{fv.NEXT_ACTION_CONTACT}' end, t.priority
+        from ({first_rows('r_scored', 'case_id', 'priority desc, suspect_id')}) t left join r_willing w using (case_id)
+        left join (select distinct case_id, true as done from r_police where contains(case_status, 'Complete')) p using (case_id)
+        left join (select distinct case_id, true as done from r_suspects where contains(case_status, 'Complete')) s using (case_id)""",
     "n11_link_stats": "select * from g_stats",
 }
 

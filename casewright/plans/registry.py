@@ -14,7 +14,7 @@ from casewright.functions.narrative import narrative
 from casewright.operators import (aggregates, dedup, features, graph, joins, lifecycle, link_stats,
                                   people, ranking, scoring, strength_model, unions)
 from casewright.operators.lifecycle import EntityGroup
-from casewright.plans import runs
+from casewright.plans import daily, runs
 from casewright.schemas import LINK_SHEET, POLICE_SHEET, SUSPECT_SHEET, VICTIM_SHEET
 from casewright.session import cut_lineage, scratch_path
 from casewright.sources import graph_store, relational, sheets, sinks, tables
@@ -31,7 +31,7 @@ QUERIES: dict = {}
 
 
 def settle_on(spark: SparkSession):
-    return lambda name, df: cut_lineage(spark, name, df)
+    return lambda name, df: cut_lineage(spark, name, df() if callable(df) else df)
 
 
 def query(fn):
@@ -1047,34 +1047,60 @@ def n11_link_stats(b):
 # --- full runs -----------------------------------------------------------------------------------------------------------------
 
 
-def _run_rows(result: runs.RunResult) -> DataFrame:
-    rows = [_slim(g, df).withColumn("part", F.lit(part)) for g in result.groups
-            for part, df in (("active", g.active), ("closed", g.closed))]
-    # Priorities, the published view, and what the graph holds belong to the result.
-    more = lambda df, entity, uid, name, value: df.select(
-        F.lit(entity).alias("entity"), F.col(uid).cast("string").alias("uid"), F.lit(None).cast("string").alias("case_id"),
-        F.col(name).alias("name"), F.lit(None).cast("string").alias("case_status"),
-        F.col(value).cast("string").alias("date_closed"), F.lit("active").alias("part"))
-    rows.append(more(result.suspects.active, "priority", "suspect_id", "name", "priority"))
-    rows.append(more(result.top_suspects, "top", "suspect_id", "name", "priority"))
-    if result.graph is not None:
-        rows.append(more(result.graph["suspects"], "links", "id", "name", "first_degree_case_links"))
-        rows.append(more(result.link_work_list, "link_sheet", "suspect_case_id", "name", "case_id"))
-    if result.cases is None:
-        return unions.by_name(*rows)
-    cases = result.cases.select(
-        F.lit("cases").alias("entity"), F.col("case_id").alias("uid"), "case_id",
-        F.col("case_name").alias("name"), "case_status",
-        F.col("next_action_priority").alias("date_closed"), F.lit("active").alias("part"))
-    return unions.by_name(*rows, cases)
+def _workbook(b: Bindings, *more: tuple[str, DataFrame]) -> daily.Places:
+    """Fresh folders for a run, with the bound sheets as its workbook."""
+    root = scratch_path(b.spark, "run")
+    tabs = [(name, df.select(*columns)) for name, (df, columns, _) in bound_tabs(b).items()]
+    for name, df in (*tabs, ("cases", b.cases_sheet), *more):
+        sheets.write_tab(df, f"{root}/workbook/{name}")
+    return daily.Places(*[f"{root}/{p}" for p in ("workbook", "backups", "csv", "published", "journal", "graph")])
+
+
+def _stand_in_scores(rows: DataFrame) -> DataFrame:
+    """Scores from a digest of the row's keys, in place of a model: what follows from scores can be checked then."""
+    digest = F.left(F.md5(F.concat_ws(":", "suspect_id", "cif_number")), F.lit(7))
+    return rows.withColumn("soc", F.conv(digest, 16, 10).cast("long") % 997 / F.lit(997.0))
+
+
+def _published_rows(b: Bindings, places: daily.Places, tabs: tuple[str, ...]) -> DataFrame:
+    """All rows of the published tabs: entity, part, uid, case_id, name, case_status, date_closed, priority."""
+    rows = []
+    for tab in tabs:
+        df = sinks.published(b.spark, places.published, tab)
+        have = lambda *names: next((F.col(f"`{n}`") for n in names if n in df.columns), F.lit(None))  # noqa: B023, E731
+        cell = lambda *names: F.coalesce(have(*names).cast("string"), F.lit(""))
+        priority = have("Priority") if not tab.startswith("closed") else F.lit(None)
+        rows.append(df.select(
+            F.lit(tab).alias("tab"), cell("Victim_ID", "Suspect_ID", "Case_ID").alias("uid"), cell("Case_ID").alias("case_id"),
+            cell("Suspect_Name", "Name").alias("name"), cell("Case_Status").alias("case_status"),
+            cell("Next_Action_Priority", "Date_Closed").alias("date_closed"), priority.cast("double").alias("priority")))
+    return unions.by_name(*rows)
+
+
+LISTS = ("suspects", "closed_sus", "police", "closed_pol", "victims", "closed_vic", "top_suspects")
 
 
 @branching_query
 def e1_run_v3(b):
-    return _run_rows(runs.run_v3(b, PLAIN, lambda rows: one_forest(b, rows), settle_on(b.spark)))
+    """A day by the newer rules, with link counts from the stored graph, from its workbook to its published tabs."""
+    places = _workbook(b)
+    graph_store.write(b.spark, places.graph, full_graph(b))
+    graph_store.refresh_stats(b.spark, places.graph)
+    daily.run_day(b, SETTINGS, _stand_in_scores, places, tabs=tuple(t for t in daily.SHEETS if t != "arrests"))
+    return _published_rows(b, places, (*LISTS, "cases"))
 
 
 @branching_query
 def e2_run_v2(b):
+    """A day by the older rules with weights from a parameter tab; updated link sheets go to the stored graph."""
+    weights = b.spark.createDataFrame([("Victim Willing to Testify", "2"), ("Recency of Case", "3.5"), ("Eminence", "2")], "key string, value string")
+    multipliers = b.spark.createDataFrame([(str(n), str(n / 10)) for n in range(1, 11)], "victims_willing string, multiplier string")
+    places = _workbook(b, ("arrests", b.arrests_sheet), ("parameters", weights), ("multipliers", multipliers))
+    graph_store.create(b.spark, places.graph)
     settings = replace(PLAIN, variant="v2", bio_mode="v2")
-    return _run_rows(runs.run_v2(b, settings, lambda rows: one_forest(b, rows), settle_on(b.spark)))
+    daily.run_day(b, settings, lambda rows: one_forest(b, rows), places, tabs=(*daily.SHEETS, "parameters", "multipliers"))
+    stored = graph_store.read(b.spark, places.graph)["suspects"]
+    counts = stored.select(
+        F.lit("links").alias("tab"), F.col("name").alias("uid"), F.lit("").alias("case_id"), "name", F.lit("").alias("case_status"),
+        F.lit("").alias("date_closed"), F.col("first_degree_case_links").cast("double").alias("priority"))
+    return unions.by_name(_published_rows(b, places, (*LISTS, "link_work_list")), counts)

@@ -63,25 +63,30 @@ def model_features(forms: DataFrame, settings: Settings) -> DataFrame:
     """Form rows to model features with their label; the form id stays for ordering."""
     contacts = [c for c in relational.CONTACT_COLUMNS if c in forms.columns]
     labelled = forms.drop(*contacts).withColumn("arrest", people.arrest_label())
-    return features.engineer_v3(labelled, places=settings.places)
+    return features.engineer_v3(labelled, places=settings.places, null_is_true=settings.null_is_true)
 
 
-# Feature rows in, model out: fits one, or loads a saved one.
-ModelSource = Callable[[DataFrame], strength_model.StrengthModel]
+# Feature rows in; out comes a model (fitted, or a saved one), or the rows with their scores as ``soc``.
+ModelSource = Callable[[DataFrame], strength_model.StrengthModel | DataFrame]
+
+
+def scored_by(source: ModelSource, rows: DataFrame) -> DataFrame:
+    found = source(rows)
+    return found if isinstance(found, DataFrame) else strength_model.predict(rows, found)
 
 
 def run_v3(tables, settings: Settings, model_for: ModelSource, settle,
            suspects_with_links: DataFrame | None = None) -> RunResult:
-    """Newer rules. ``settle(name, df)`` writes a table to shared storage and returns it read back;
-    it is used where several results branch off one state. The network stage needs link counts of suspects
+    """Newer rules. ``settle(name, df)`` writes a table (or what a function gives) to shared storage and returns it read
+    back; it is used where several results branch off one state. The network stage needs link counts of suspects
     (``link_stats.suspects_with_links``) and is refused without them."""
     if settings.network.enabled and suspects_with_links is None:
         raise ValueError("the network stage needs link counts of suspects")
     scanned = relational.scan_case_forms(tables, settings.country, contacts=True)
-    forms = settle("forms", people.with_narrative(people.suspect_forms(scanned)))
+    forms = settle("forms", people.with_narrative(people.suspect_forms(scanned), settings.fill_missing))
 
     feature_rows = settle("features", model_features(forms, settings))
-    scored_forms = settle("scored-forms", strength_model.predict(feature_rows, model_for(feature_rows)))
+    scored_forms = settle("scored-forms", lambda: scored_by(model_for, feature_rows))
 
     suspects, police, victims = entity_groups(
         tables, people.suspect_rows(forms),
@@ -92,28 +97,29 @@ def run_v3(tables, settings: Settings, model_for: ModelSource, settle,
     suspects, police, victims = [
         replace(g, active=settle(f"{g.name}-open", g.active)) for g in (suspects, police, victims)]
 
-    measures = scoring.case_measures(settings, victims.active, police.active, scored_forms)
+    measures = scoring.case_measures(settings, victims.active, police.active, scored_forms, legacy_case_key=settings.legacy_case_key)
     return finish(tables, settings, suspects, police, victims, measures, scored_forms, settle, suspects_with_links)
 
 
 def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links: int = 3,
-           known: dict | None = None) -> RunResult:
+           known: dict | None = None, store: Callable[[DataFrame], dict] | None = None) -> RunResult:
     """Older rules: arrests from their own sheet, addresses, box flags, and the contact graph.
 
-    ``known`` is the stored graph that updated link sheets are added to; without one the graph starts empty.
+    ``known`` is the graph that updated link sheets are added to; without one it starts empty. ``store`` takes the
+    links into a stored graph instead, and gives that graph with its counts.
     """
     all_forms = relational.scan_case_forms_v2(tables)
     arrests = settle("arrests", aggregates.arrest_rows(tables.arrests_sheet))
     form_rows = settle("forms", aggregates.label_from_arrests(people.suspect_forms_v2(all_forms), arrests))
-    feature_rows = settle("features", features.engineer_v2(form_rows))
-    scored_forms = settle("scored-forms", strength_model.predict(feature_rows, model_for(feature_rows)).select(
+    feature_rows = settle("features", features.engineer_v2(form_rows, null_is_true=settings.null_is_true, as_coded=settings.as_coded))
+    scored_forms = settle("scored-forms", lambda: scored_by(model_for, feature_rows).select(
         "suspect_id", "cif_number", "interview_date", "arrest", "soc"))
 
     addresses = people.pick_addresses(relational.scan_addresses(tables))
     boxes = all_forms.select("cif_number", "person_id", "pb_number", "interview_date", F.lit("").alias("case_notes"))
     suspects, police, victims = entity_groups(
         tables,
-        people.suspect_rows(boxes, people.with_address(relational.scan_suspects_v2(tables), addresses)),
+        people.suspect_rows(boxes, people.with_address(relational.scan_suspects_v2(tables), addresses), settings.keep_unmatched),
         people.victim_rows(people.with_address(relational.scan_victims_v2(tables), addresses)))
     suspects, police, victims = merge_and_close(
         (suspects, police, victims), arrests, None, settle, keep_blank_cases=True)
@@ -122,16 +128,21 @@ def run_v2(tables, settings: Settings, model_for: ModelSource, settle, top_links
 
     # The graph takes the updated sheets in before scoring: with the network stage on, its counts lift eminence.
     links = sheets.recently_updated_links(suspects.active, tables.link_rows, settings.as_of)
-    graph = known or graph_ops.empty_graph(tables.spark)
-    graph = graph_ops.extend(graph, graph_ops.new_rows(settle("links", links), graph, settle))
-    graph["suspects"] = settle("link-counts", link_stats.refresh_link_stats(graph, settle=settle))
+    links = settle("links", links)
+    if store is not None:
+        graph = store(links)
+    else:
+        before = known or graph_ops.empty_graph(tables.spark)
+        added = graph_ops.new_rows(links, before, settle, settings.canonical_undirected)
+        graph = graph_ops.extend(before, added)
+        graph["suspects"] = settle("link-counts", link_stats.refresh_touched(graph, added, settings.as_coded, settle))
 
     dates = all_forms.select("cif_number", "interview_date")
-    measures = scoring.case_measures(settings, victims.active, police.active, dates, arrests)
+    measures = scoring.case_measures(settings, victims.active, police.active, dates, arrests, settings.legacy_case_key)
     result = finish(tables, settings, suspects, police, victims, measures, scored_forms, settle,
                     link_stats.suspects_with_links(graph, graph["suspects"]))
     return replace(result, graph=graph, link_work_list=ranking.link_sheet_work_list(
-        result.suspects.active, top_links))
+        result.suspects.active, top_links, settings.as_coded))
 
 
 def finish(tables, settings: Settings, suspects: EntityGroup, police: EntityGroup,
