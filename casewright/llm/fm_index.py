@@ -1,7 +1,8 @@
-"""A compressed full-text index over integer tokens: suffix order, Burrows-Wheeler transform and wavelet matrix.
+"""A full-text index over integer tokens: suffix order, Burrows-Wheeler transform and wavelet matrix.
 
-Everything is a numpy array and every query works on many patterns at once. The suffix order is that of the first
-``DEPTH`` tokens, which is all that patterns of up to ``DEPTH`` tokens can see.
+Everything is a numpy array and every query works on many patterns at once; counts are held for each place and level, so the
+index of a shard trades memory for speed. The suffix order is that of the first ``depth`` tokens, which is all that
+patterns of up to ``depth`` tokens can see.
 """
 
 from __future__ import annotations
@@ -60,8 +61,8 @@ class WaveletMatrix:
 class FMIndex:
     """Backward search over a text of token numbers below ``sigma``."""
 
-    def __init__(self, text: np.ndarray, sigma: int) -> None:
-        self.order = suffix_order(text)
+    def __init__(self, text: np.ndarray, sigma: int, depth: int = DEPTH) -> None:
+        self.order = suffix_order(text, depth)
         # The transform of the text as a ring: the token before each suffix.
         self.wavelet = WaveletMatrix(text[self.order - 1].astype(np.int64), sigma)
         self.start = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])[:-1]

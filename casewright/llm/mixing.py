@@ -1,9 +1,10 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every document waits in its source's queue, in shuffled order. A source with target t is served at rate t, so a
-document finishes at virtual time (words of its source up to and with it) / t. All sources are busy until virtual time 1,
-when the budget is used up; a source whose target exceeds its size queues its documents again, up to three times.
-Documents in service when the budget ends are taken in part.
+document finishes at virtual time (words of its source up to and with it) / t. A source whose target exceeds its size queues its
+documents again, up to three times. Copies are range-sorted by finish time over all sources; sums per range give every copy
+the words that are mixed before it, and the mix ends where the budget is reached. All sources are busy until then, so
+documents in service at that time are taken in part.
 
 Defined cases: a null text has no words. The null source comes last by code point. Rows that repeat an id are queued as
 separate rows; wholly equal rows stand next to each other and their order does not matter. Ties in the shuffle key
@@ -93,20 +94,45 @@ def _served(passes: int, until: float) -> Column:
     return F.filter(F.array(*[copy(n) for n in range(passes)]), lambda c: c["words"] > 0)
 
 
+def _mixed(queued: DataFrame, passes: int, share: float) -> DataFrame:
+    """The copies in the mix: source, words_before, doc_id, text_hash, copy, finish, words.
+
+    ``queued`` is a written table. The copies are range-partitioned by finish time; the words before a copy are those of earlier
+    ranges, of which there is one row each, and of earlier copies of its range.
+    """
+    due = F.floor(F.col("target") * F.lit(share) + 0.5)
+    budget = queued.groupBy("source").agg(F.max(due).alias("due")).agg(F.sum("due")).first()[0] or 0
+    order = ["finish", "doc_id", "text_hash", "copy"]
+    copies = queued.select("source", "words_before", "doc_id", "text_hash", F.inline(_served(passes, share)))
+    ranged = settle("mix-order", copies.repartitionByRange(*order).withColumn("piece", F.spark_partition_id()))
+    up_to = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = ranged.groupBy("piece").agg(F.sum("words").alias("n")).select(
+        F.col("piece").alias("of"), F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("before", F.coalesce(F.sum("words").over(inside), F.lit(0))).join(
+        F.broadcast(pieces), F.col("piece") == F.col("of"))  # a row per partition
+    left = F.lit(budget) - F.col("before") - F.col("offset")
+    return placed.filter(left > 0).select(
+        "source", "words_before", "doc_id", "text_hash", "copy", "finish", F.least("words", left).cast("long").alias("words"))
+
+
 def schedule(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, seed: str = SEED,
              share: float = 1.0, ordered: bool = True) -> DataFrame:
-    """The mix in order: doc_id, text_hash, copy, finish, words, range-sorted by virtual finish time.
+    """The mix in order: doc_id, text_hash, copy, finish, words, sorted by virtual finish time and cut at the budget.
 
-    ``share`` is the part of all targets to take. As every source is served at its rate all the time, the budget ends
-    at virtual time ``share``, and no running total over the whole mix is needed to truncate there. ``ordered=False``
-    leaves out the sort, for results that are joined on.
+    ``share`` is the part of all targets to take. ``ordered=False`` leaves the rows in the order of a join, for results that are
+    joined on; which rows they are is the same.
     """
-    copies = queue(docs, weights, passes, seed).select("doc_id", "text_hash", F.inline(_served(passes, share)))
-    return copies.orderBy("finish", "doc_id", "text_hash", "copy") if ordered else copies
+    mix = _mixed(settle("queue", queue(docs, weights, passes, seed)), passes, share).select("doc_id", "text_hash", "copy", "finish", "words")
+    return mix.orderBy("finish", "doc_id", "text_hash", "copy") if ordered else mix
 
 
 def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, seed: str = SEED,
                 share: float = 1.0) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words of all its copies in the mix)."""
-    served = F.aggregate(_served(passes, share), F.lit(0).cast("long"), lambda n, c: n + c["words"])
-    return queue(docs, weights, passes, seed).select("doc_id", "size", "source_size", "target", served.alias("taken"))
+    queued = settle("queue", queue(docs, weights, passes, seed))
+    # Among documents with words, the words before one in its queue tell it from all others of its source.
+    taken = _mixed(queued, passes, share).groupBy("source", "words_before").agg(F.sum("words").alias("words"))
+    same = F.col("q.source").eqNullSafe(F.col("t.source")) & (F.col("q.words_before") == F.col("t.words_before")) & (F.col("q.size") > 0)
+    return queued.alias("q").join(taken.alias("t"), same, "left").select(
+        "q.doc_id", "q.size", "q.source_size", "q.target", F.coalesce("t.words", F.lit(0)).cast("long").alias("taken"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from casewright.llm.common import release, settle
-from casewright.llm.fm_index import FMIndex
+from casewright.llm.fm_index import DEPTH, FMIndex
 from casewright.llm.pieces import Batch, Routes, Tokens, _same, ragged, repeated_spans
 from casewright.llm.suffix_dedup import merged, with_spans
 from casewright.llm.words import mixed, words_of
@@ -95,7 +95,7 @@ def judged(batch: Batch, window: int = WINDOW_WORDS, k: int = ANCHOR_WORDS) -> t
     text[ragged(at, lengths[piece])] = number[ragged(begin[piece], lengths[piece])]
     lowest = ids[member][piece]
     out = [_whole(batch, member, model, piece, ids, window)]
-    index = FMIndex(text, sigma)
+    index = FMIndex(text, sigma, max(DEPTH, window))
     owner = np.repeat(np.arange(len(piece)), lengths[piece] + 1)
     # Stream the pieces through the index, by the places where a window ends.
     windows = lengths[piece] - window + 1
@@ -147,7 +147,9 @@ def removed_spans(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
 
 def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS, digest: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, and ``kept``, the words left, joined by one space (with
-    ``digest``, ``kept_sha256`` instead)."""
+    ``digest``, ``kept_sha256`` instead). Windows are of 3 to 200 words."""
+    if not ANCHOR_WORDS <= window <= 200:  # a piece's counts are stored in a byte each
+        raise ValueError(f"no window of {window} words")
     found = settle("word-spans", removed_spans(docs, window))
     release(docs.sparkSession)
 

@@ -153,6 +153,20 @@ def test_frequent_anchors_give_the_same_result(spark, monkeypatch, often):
     assert got == want
 
 
+@pytest.mark.parametrize("window", [20, 40])
+def test_windows_beyond_the_usual_depth(spark, awkward, window):
+    """Texts that agree in their first words only: a match of 16 words is none of 20."""
+    rng = random.Random(3)
+    base = [sentence(rng, 60, 30) for _ in range(3)]
+    rows = [(i, base[i % 3] if i < 6 else " ".join([*base[i % 3].split()[:18], sentence(rng, 40, 3)]), "en", "s") for i in range(30)]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.without_repeats(table(spark, rows), window).collect()}
+    want = {r[0]: (len(listed), int(gone.sum())) for r, (listed, gone) in zip(
+        rows, removed(rows, lambda t: (t or "").encode().split(), window), strict=True)}
+    assert got == want and any(n for _, n in want.values())
+    with pytest.raises(ValueError):
+        substring_dedup.without_repeats(table(spark, rows), 300)
+
+
 def test_fm_index_counts():
     rng = np.random.default_rng(2)
     text = np.r_[rng.integers(1, 7, 3000), 0]

@@ -62,3 +62,20 @@ def test_query_equals_sql(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert normal(got.columns, got.collect()) == normal(want.columns, want.fetchall())
+
+
+def test_stages_carry_columns_of_any_name(spark, folder):
+    """Columns called like those that the stages use inside."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ("words", "copy", "finish", "__id", "__hash", "__sha", "digest", "text_hash", "component_id", "size", "a.b", "Target", "k", "d")
+    for n, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] * 0 + n)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = corpus_pipeline.settle(name, stage(spark, docs, folder))
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == docs.columns
+        docs = out
+    row = docs.first()
+    assert {n: row[n] for n in names if n not in ("words", "copy", "finish")} == {
+        name: n for n, name in enumerate(names) if name not in ("words", "copy", "finish")}
+    assert row["copy"] in (1, 2, 3) and row["words"] > 0 and docs.columns.count("words") == 1
