@@ -5,7 +5,8 @@ duplicates by SimHash (the document with the smallest id of each group stays), b
 sources to their target weights. Every stage takes what its predecessor kept, as written and read again.
 
 Defined cases, beside those of the operators: wholly repeated rows count as one document from the second stage on;
-rows that share an id and differ in text are different documents all the way; extra columns are carried along.
+rows that share an id and differ in text are different documents all the way; extra columns are carried along, whatever their
+names (but the mix has its own ``copy``, ``finish`` and ``words`` in place of columns of these names).
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ ORACLE_SQL = None
 
 def _where(docs: DataFrame, keys: DataFrame, how: str, text_hash: Column | None = None) -> DataFrame:
     """Rows of ``docs`` with (or without) a partner in ``keys`` (doc_id, text_hash); a null id equals itself."""
-    hashed = F.xxhash64(docs["text"]) if text_hash is None else text_hash
-    named = keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    return docs.join(named, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (hashed == F.col("__hash")), how)
+    hashed = F.xxhash64("d.text") if text_hash is None else text_hash
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (hashed == F.col("k.text_hash"))
+    return docs.alias("d").join(keys.select("doc_id", "text_hash").alias("k"), same, how)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +40,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(docs)
     kept = found.filter("kept").select("doc_id", F.col("text_sha256").alias("text_hash"))
-    same = F.sha2(ascii_lower(F.coalesce(docs["text"], F.lit(""))), 256)
-    return _first_rows(_where(docs, kept, "left_semi", same), docs)
+    return _first_rows(_where(docs, kept, "left_semi", _digest("d.text")), docs)
+
+
+def _digest(text: str) -> Column:
+    return F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256)
 
 
 def _first_rows(staying: DataFrame, docs: DataFrame) -> DataFrame:
@@ -48,15 +52,15 @@ def _first_rows(staying: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``docs`` has the same rows before any join; which ids repeat is read there, and only those rows move.
     """
-    sha = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), 256)
-    several = settle("repeated-rows", docs.select(F.col("doc_id").alias("__id"), sha.alias("__sha")).groupBy(
-        "__id", "__sha").count().filter("count > 1").drop("count"))
+    several = settle("repeated-rows", docs.select("doc_id", _digest("text").alias("text_hash")).groupBy(
+        "doc_id", "text_hash").count().filter("count > 1").drop("count"))
     if several.isEmpty():
         return staying
-    same = staying["doc_id"].eqNullSafe(several["__id"]) & (sha == several["__sha"])
-    single = staying.join(several, same, "left_anti")
-    repeated = staying.join(several, same, "left_semi").withColumn("__sha", sha).dropDuplicates(["doc_id", "__sha"])
-    return single.union(repeated.drop("__sha"))
+    sha = "digest"
+    while sha in map(str.lower, staying.columns):
+        sha += "_"
+    repeated = _where(staying, several, "left_semi", _digest("d.text")).withColumn(sha, _digest("text")).dropDuplicates(["doc_id", sha])
+    return _where(staying, several, "left_anti", _digest("d.text")).union(repeated.drop(sha))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,11 +78,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each copy of a document, with ``copy``, ``finish`` (place in the mix) and ``words`` taken."""
-    taken = [c for c in docs.columns if c not in ("copy", "finish", "words")]
-    copies = settle("mix", mixing.schedule(docs, ordered=False)).distinct()
-    named = copies.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "copy", "finish", "words")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
-    return docs.join(named, same).select(*[docs[c] for c in taken], "copy", "finish", "words")
+    taken = [F.col(f"d.`{c}`") for c in docs.columns if c.lower() not in ("copy", "finish", "words")]
+    copies = settle("mix", mixing.schedule(docs, ordered=False)).distinct().alias("m")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64("d.text") == F.col("m.text_hash"))
+    return docs.alias("d").join(copies, same).select(*taken, "m.copy", "m.finish", "m.words")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
