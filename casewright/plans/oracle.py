@@ -606,7 +606,9 @@ TEXTS = {
     "s6_addresses": "select address1_id, address_1, address2_id, address_2 from addresses",
     "s7_sheet_reader": _tabs("case_status, date_closed") + " union all select 'cases', '', '', '', '' from cases_sheet "
                        "union all select 'arrests', '', '', '', '' from arrests_sheet",
-    "s8_backup": _tabs(f"case_status, {AS_OF} as snapshot_date"),
+    "s8_backup": f"select tab, case_id, uid, case_status, snapshot_date from ({_tabs('case_status, date_closed')}), "
+                 f"(select cast({AS_OF} - n as date) as snapshot_date, n from (values (0), (1), (2)) as t(n)) "
+                 "where n < 2 or length(date_closed) <= 1",
     "s9_csv_sink": _tabs("case_status"),
     "s10_publish": "select tab, case_id as \"Case_ID\", uid as \"Uid\", case_status as \"Case_Status\", date_closed as \"Date_Closed\" from ("
                    + _tabs("case_status, date_closed") + ")",

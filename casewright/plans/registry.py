@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,7 +17,7 @@ from casewright.operators.lifecycle import EntityGroup
 from casewright.plans import daily, runs
 from casewright.schemas import LINK_SHEET, POLICE_SHEET, SUSPECT_SHEET, VICTIM_SHEET
 from casewright.session import cut_lineage, scratch_path
-from casewright.sources import graph_store, relational, sheets, sinks, tables
+from casewright.sources import backups, graph_store, relational, sheets, sinks, tables
 from casewright.sources.bindings import Bindings
 
 SETTINGS = Settings(as_of=date(2001, 8, 1), country="ASIA",
@@ -208,11 +208,15 @@ def s7_sheet_reader(b):
 @query
 def s8_backup(b):
     root, tabs = scratch_path(b.spark, "backups"), bound_tabs(b)
-    sinks.back_up({name: df for name, (df, _, _) in tabs.items()}, root, SETTINGS.as_of)
-    sinks.back_up({"police": b.police_sheet}, root, SETTINGS.as_of)
+    days = [SETTINGS.as_of - timedelta(days=n) for n in (2, 1, 0)]
+    tables = {name: df for name, (df, _, _) in tabs.items()}
+    backups.back_up({name: df.filter("length(date_closed) <= 1") for name, df in tables.items()}, root, days[0])
+    for day in days[1:]:  # the last day changes nothing
+        backups.back_up(tables, root, day)
+    backups.back_up({"police": b.police_sheet}, root, SETTINGS.as_of)
     return unions.by_name(*[
-        _tab_rows(name, b.spark.read.parquet(f"{root}/{name}").withColumn("date_closed", F.col("snapshot_date")), uid)
-        for name, (_, _, uid) in tabs.items()]).withColumnRenamed("date_closed", "snapshot_date")
+        _tab_rows(name, backups.read(b.spark, root, name, day).withColumn("date_closed", F.lit(day)), uid)
+        for name, (_, _, uid) in tabs.items() for day in days]).withColumnRenamed("date_closed", "snapshot_date")
 
 
 @query

@@ -1,6 +1,7 @@
 """Merging, closing and filling, on small lists where the order of steps would show."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from casewright import fixed_values as fv
 from casewright.operators import aggregates, dedup, joins, lifecycle, people, ranking, unions
 from casewright.operators.lifecycle import EntityGroup
 from casewright.session import scratch_path
-from casewright.sources import relational, sheets, sinks
+from casewright.sources import backups, relational, sheets
 
 COLUMNS = ("case_id", "suspect_id", "name", "case_status", "date_closed")
 VICTIM = ("case_id", "victim_id", "name", "case_status", "date_closed")
@@ -189,11 +190,31 @@ def test_sheets_round_trip(spark):
 def test_backup_touches_its_own_day_only(spark):
     root = scratch_path(spark, "backup")
     one = frame(spark, [("K1", "s1", "", "", "")])
-    sinks.back_up({"t": one}, root, dt.date(2001, 8, 1))
-    sinks.back_up({"t": one}, root, dt.date(2001, 8, 2))
-    sinks.back_up({"t": one.union(one)}, root, dt.date(2001, 8, 2))
-    counts = {str(r.snapshot_date): r["count"] for r in spark.read.parquet(f"{root}/t").groupBy("snapshot_date").count().collect()}
-    assert counts == {"2001-08-01": 1, "2001-08-02": 2}
+    backups.back_up({"t": one}, root, dt.date(2001, 8, 1))
+    backups.back_up({"t": one}, root, dt.date(2001, 8, 2))
+    backups.back_up({"t": one.union(one)}, root, dt.date(2001, 8, 2))
+    assert [backups.read(spark, root, "t", dt.date(2001, 8, d)).count() for d in (1, 2, 9)] == [1, 2, 2]
+    with pytest.raises(FileNotFoundError):
+        backups.read(spark, root, "t", dt.date(2001, 7, 31))
+    with pytest.raises(ValueError):
+        backups.back_up({"t": one}, root, dt.date(2001, 8, 1))
+
+
+def test_backups_rebuild_every_date_from_changes(spark, monkeypatch):
+    monkeypatch.setattr(backups, "FULL_EVERY", 3)
+    root, rng = scratch_path(spark, "backup"), random.Random(1)
+    rows, told = [], {}
+    for day in range(1, 8):
+        if day != 3:  # a day without change
+            rows = [r for r in rows if rng.random() < .7] + [(f"K{rng.randrange(4)}", rng.choice(["", None, "a"]), day % 2) for _ in range(4)]
+        told[day] = sorted(rows, key=repr)
+        manifest = backups.back_up({"t": spark.createDataFrame(rows, "k string, v string, n int"), "u": spark.range(2)}, root, dt.date(2001, 8, day))
+        if day == 3:
+            assert not any(v for k, v in manifest.tables.items() if "/2001-08-03/" in k)
+    for day, want in told.items():
+        got = backups.read(spark, root, "t", dt.date(2001, 8, day)).collect()
+        assert sorted(map(tuple, got), key=repr) == want
+    assert {k.split("/")[1] for k in manifest.tables if k.startswith("t/") and k.endswith("full")} == {"2001-08-01", "2001-08-04", "2001-08-07"}
 
 
 def test_jdbc_options():

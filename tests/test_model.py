@@ -108,3 +108,23 @@ def test_tabs_are_published_together(spark):
     with pytest.raises(Exception):  # noqa: B017
         sinks.publish(spark, root, {"one": (good.limit(0), ("case_id",)), "two": (broken, ("name",))})
     assert sinks.published(spark, root, "one").count() == 1 and sinks.published(spark, root, "two").count() == 1
+
+
+def test_models_have_generations(spark, planted, monkeypatch):
+    path = scratch_path(spark, "model")
+    first = strength_model.train_or_load(spark, planted, path, True, AS_OF, 90, grid=None)
+    # A save that is ended before its manifest leaves the model in force.
+    monkeypatch.setattr(strength_model.generations, "put", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    other = strength_model.StrengthModel(first.pipeline, first.columns, {"test_accuracy": -1.0}, first.kinds)
+    with pytest.raises(OSError):
+        strength_model.save(spark, other, path)
+    assert strength_model.load(spark, path).metrics == first.metrics
+    monkeypatch.undo()
+    strength_model.save(spark, other, path)
+    assert strength_model.load(spark, path).metrics["test_accuracy"] == -1.0
+    assert strength_model.load(spark, path, 1).metrics == first.metrics
+    assert first.kinds == {"flag_a": "flag", "flag_b": "flag", "noise": "number"}
+    with pytest.raises(strength_model.ForeignRows, match="flag_a"):
+        strength_model.predict(planted.withColumn("flag_a", F.col("flag_a").cast("string")), strength_model.load(spark, path))
+    with pytest.raises(FileNotFoundError):
+        strength_model.load(spark, path + "-none")
