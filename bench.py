@@ -11,7 +11,7 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 from casewright.plans import registry  # noqa: E402
-from casewright.session import local_session  # noqa: E402
+from casewright.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = (
     "s2_case_form_scan", "p6_suspect_rows", "p8_narrative", "p18_features", "a4_arrest_rows",
@@ -36,6 +36,7 @@ def main() -> None:
         "metric": "total seconds of the headline queries", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }))
+    clear_scratch(spark)
     spark.stop()
 
 

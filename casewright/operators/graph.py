@@ -10,7 +10,7 @@ from casewright.functions.text import blank_to_null
 from casewright.operators.dedup import fill_from_first_row, keep_first
 from casewright.operators.numbering import number_rows
 from casewright.operators.unions import by_name, insert_if_absent
-from casewright.schemas import GRAPH_TABLES
+from casewright.schemas import GRAPH_TABLES, LINK_HEAD, LINK_SHEET
 from casewright.session import settle as write_down
 
 Graph = dict  # table name to DataFrame
@@ -38,6 +38,31 @@ def prepare_links(sheets: DataFrame) -> DataFrame:
     return filled.withColumn("edge_direction", edge_direction("relationship_type"))
 
 
+def await_first_rows(sheets: DataFrame, heads: DataFrame, waiting: DataFrame,
+                     first_row: int | None = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of sheets that land in several files, in any order: (ready links, new heads, rows that wait).
+
+    A sheet's first row is that with the number ``first_row``; where rows are not numbered from a fixed one (None), it is the
+    first landed one whose name and cases are all typed, which suits sheets that have them on their first row only. Its
+    cells fill the blank ones of all others. Rows wait until it has landed. Of several first rows of a sheet the least counts,
+    and one that was taken before stays. A row that has landed and waits already is not taken twice.
+    """
+    rows = sheets.select(*LINK_SHEET).unionByName(waiting).distinct()
+    is_first = F.col("row_no") == first_row if first_row is not None else F.lit(True)
+    if first_row is None:
+        for c in LINK_HEAD:
+            is_first = is_first & blank_to_null(c).isNotNull()
+    first = rows.filter(is_first).groupBy("sheet_id").agg(F.min(F.struct("row_no", *LINK_HEAD)).alias("h")).select(
+        "sheet_id", *[f"h.{c}" for c in LINK_HEAD])
+    new_heads = insert_if_absent(heads, first, "sheet_id")
+    known = heads.select("sheet_id", *[F.col(c).alias(f"_{c}") for c in LINK_HEAD]).unionByName(
+        new_heads.select("sheet_id", *[F.col(c).alias(f"_{c}") for c in LINK_HEAD]))
+    filled = rows.join(known, "sheet_id").withColumns(
+        {c: F.coalesce(blank_to_null(c), F.col(f"_{c}")) for c in LINK_HEAD}).select(*LINK_SHEET)
+    links = filled.withColumn("edge_direction", edge_direction("relationship_type"))
+    return links, new_heads, rows.join(known.select("sheet_id"), "sheet_id", "left_anti").select(*LINK_SHEET)
+
+
 def _suspects(links: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     names = links.select("name").filter(blank_to_null("name").isNotNull()).distinct()
     if existing is not None:

@@ -804,5 +804,16 @@ TEXTS = {
 }
 
 
+M1_NUMBERS = ("number_of_victims", "number_of_traffickers", "expected_earning", "total_blue_flags")
+# Two flags are never set in the bound tables, and not in the SQL: organ removal, and the destination Kyegegwa.
+M1_FLAGS = sorted([c for c in fv.CASE_FORM_FLAGS if c != "exploitation_organ_removal_occ"] + [c for c, _ in fv.BELIEF_WORDS] + [
+    "destination_gulf", *(f"destination_{p}" for p in fv.PLACES_V3 if p != "Kyegegwa")])
+TEXTS["m1_feature_vector"] = (
+    f"select suspect_id, cif_number, cast({len(M1_FLAGS) + 2 + len(M1_NUMBERS)} as bigint) as places, array_to_string(list_filter(["
+    + ", ".join(f"case when {c} then '{c}' end" for c in M1_FLAGS) + "], lambda x: x is not null), ',') as set_flags, "
+    + ", ".join(f"coalesce(round(({c} - avg({c}) over ()) / nullif(stddev_samp({c}) over (), 0), 6), 0) + 0.0::double as scaled_{c}" for c in M1_NUMBERS)
+    + f" from ({FEATURES_V3})")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: build(sql) for name, sql in TEXTS.items()}

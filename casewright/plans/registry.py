@@ -889,7 +889,14 @@ def m1_feature_vector(b):
     from pyspark.ml import Pipeline
     fitted = Pipeline(stages=strength_model.transformer_stages(rows, columns)).fit(rows)
     from pyspark.ml.functions import vector_to_array
-    return fitted.transform(rows).select("suspect_id", "cif_number", vector_to_array("features").alias("features"))
+    types = dict(rows.dtypes)
+    flags = [c for c in columns if types[c] == "boolean"]
+    numbers = [c for c in columns if c not in flags]
+    places = {c: i for i, c in enumerate([*flags, *numbers])}
+    vector = fitted.transform(rows).select("suspect_id", "cif_number", vector_to_array("features").alias("v"))
+    set_flags = F.array_join(F.array(*[F.when(F.col("v")[places[c]] == 1, F.lit(c)) for c in sorted(flags)]), ",")
+    return vector.select("suspect_id", "cif_number", F.size("v").cast("long").alias("places"), set_flags.alias("set_flags"), *[
+        (F.round(F.col("v")[places[c]], 6) + 0.0).alias(f"scaled_{c}") for c in numbers])
 
 
 @query

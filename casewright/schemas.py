@@ -23,10 +23,12 @@ CASE_SHEET = (
     "case_id", "case_name", "priority", "irf_case_notes", "narrative", "case_status",
     "next_action_priority",
 )
+# First-row cells that blank cells of a link sheet take.
+LINK_HEAD = ("name", "case_id", "suspect_case_id")
 LINK_SHEET = ("sheet_id", "row_no", "name", "relationship_type", "source", "target",
               "target_label", "case_id", "suspect_case_id")
 
-# Headings a reader of the published tables sees.
+# Headings a reader of the published tables sees.
 DISPLAY_NAMES = {
     "case_id": "Case_ID", "case_name": "Case_Name", "suspect_id": "Suspect_ID",
     "victim_id": "Victim_ID", "name": "Name", "suspect_name": "Suspect_Name",
@@ -64,5 +66,12 @@ GRAPH_TABLES = {
 }
 
 
+# Intake of sheets that land in several files: first rows, and rows that wait for theirs.
+INTAKE_TABLES = {
+    "sheet_heads": _struct(("sheet_id", _L), *((c, _S) for c in LINK_HEAD)),
+    "waiting_rows": _struct(*((c, _L if c in ("sheet_id", "row_no") else _S) for c in LINK_SHEET)),
+}
+
+
 def text_schema(columns) -> T.StructType:
     return _struct(*[(c, _S) for c in columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -48,13 +50,20 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="casewright-")
+    atexit.register(shutil.rmtree, root, True)
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the scratch root; nothing is ever overwritten there."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the scratch root, in that of this application; nothing is ever overwritten there."""
+    return f"{scratch_root(spark)}/casewright-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to the scratch root. For its end: tables that are still to be read go too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/casewright-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(spark: SparkSession, name: str, df):

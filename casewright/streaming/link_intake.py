@@ -20,10 +20,11 @@ LINK_SCHEMA = T.StructType([
 
 
 def take_in_new_sheets(spark: SparkSession, landing: str, graph_root: str, checkpoint: str,
-                       files_per_batch: int = 1000) -> StreamingQuery:
+                       files_per_batch: int = 1000, first_row: int | None = 1) -> StreamingQuery:
     """Start the pick-up; it ends when every landed file is in the graph.
 
-    A sheet lands as one file, so its first row is in the same batch as the rows it fills.
+    A sheet may land in several files, in any order: rows wait in the store for the first row of their sheet. Of rows of one
+    sheet that repeat a pair of accounts, the one that is taken first counts.
     """
     rows = (
         spark.readStream.schema(LINK_SCHEMA)
@@ -33,6 +34,6 @@ def take_in_new_sheets(spark: SparkSession, landing: str, graph_root: str, check
     return (
         rows.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _batch: graph_store.add_sheets(spark, graph_root, df))
+        .foreachBatch(lambda df, _batch: graph_store.add_landed(spark, graph_root, df, first_row))
         .start()
     )

@@ -1,6 +1,6 @@
 import pytest
 
-from casewright.session import local_session
+from casewright.session import clear_scratch, local_session
 
 DATA = "/root/testdata/sf0.001"
 
@@ -10,6 +10,7 @@ def spark():
     session = local_session(8, "tests", memory="8g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
