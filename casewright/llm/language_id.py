@@ -2,12 +2,17 @@
 
 Training counts every character n-gram of the highest order of every labelled text, by language, in Spark; all lower
 orders follow from those counts by joins and groups (Kneser-Ney uses continuation counts, the number of distinct
-characters seen before an n-gram). The finished model is a sorted array of n-gram hashes for each order, with a row of
-log probabilities, one per language, so that one search scores all languages. Texts are scored whole, by mean log
-probability a character (the negative cross-entropy), and the lowest cross-entropy wins.
+characters seen before an n-gram). The log probability of a character is a sum over the n-grams that end at it and over
+their contexts::
 
-The model has every n-gram of the training part, however many there are, so it grows with the distinct n-grams of the
-corpus.
+    log p(d | abc) = start + sum of gain(n-gram) + sum of log back-off(context),   gain = log(1 + share / (back-off * p below))
+
+where what a language has not seen adds nothing. So the model is one set of (n-gram hash, language, value) entries that can be
+cut anywhere: it is made by joins, dealt to blocks of at most about ``BLOCK_ENTRIES`` entries, and each block becomes a sorted
+array of hashes with the entries behind it. The driver passes on one block at a time, and a task that scores texts holds one at a
+time. Texts are scored whole, by mean log probability a character (the negative cross-entropy), and the lowest cross-entropy
+wins. The model has every n-gram of the training part and any number of languages; a very long text is read in pieces that
+overlap by the characters that an n-gram reaches back.
 
 Defined cases: a null text or one without a letter gives ``und`` with score 0, rejected. Ties go to the first language
 by code point. Without any training row the model has no language: everything is ``und``, and only texts without a
@@ -20,15 +25,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewright.llm.common import settle, text_bytes
 
 ORDER = 4
-MOST_LANGUAGES = 200
+#: Entries of a block of the model: what the driver passes on, and a task holds, at once (some 70 MB).
+BLOCK_ENTRIES = 4_000_000
 DISCOUNT_FLOOR, DISCOUNT_CEILING = 0.1, 0.95
 #: Rows that a language needs for a usual cross-entropy of its own; with fewer, that of all languages together holds.
 CALIBRATION_ROWS = 8
@@ -36,8 +43,11 @@ CALIBRATION_ROWS = 8
 #: above the entropy of the language's single characters: then its order of characters says nothing of the language.
 REJECTED_SPREADS = 12.0
 UNKNOWN = "und"
-BITS = np.uint64(21)
+#: Bytes of text that are scored at once; eight times as many where the blocks of the model take turns.
 CHUNK = 1 << 18
+#: log probability of any code point where nothing is known of a language.
+FLOOR = float(np.log(1.0 / 0x110000))
+MULTIPLIER = 0x9E3779B97F4A7C15
 
 _LETTERS: np.ndarray | None = None
 
@@ -77,13 +87,12 @@ def normal(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def grams(chars: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(packed n-gram, valid) ending at each character; valid where it lies within one text. 21 bits a character, so
-    three characters are exact and four are a hash of 64 bits."""
+    """(hash of 64 bits of the n-gram, valid) ending at each character; valid where it lies within one text."""
     key = np.zeros(len(chars), np.uint64)
     wide = chars.astype(np.uint64)
     valid = np.ones(len(chars), bool)
     for back in range(n - 1, -1, -1):
-        key *= np.uint64(0x9E3779B97F4A7C15)
+        key *= np.uint64(MULTIPLIER)
         key[back:] += wide[: len(wide) - back] + np.uint64(1)
     if n > 1:
         valid[: n - 1] = False
@@ -91,13 +100,24 @@ def grams(chars: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return key, valid
 
 
-def gram_key(text: str) -> int:
-    key = 0
-    for ch in text:
-        key = (key * 0x9E3779B97F4A7C15 + ord(ch) + 1) % (1 << 64)
+def gram_keys(texts: pa.Array, order: int) -> np.ndarray:
+    """The hashes that ``grams`` gives, of n-grams of up to ``order`` characters."""
+    points = np.array(texts.to_pylist(), f"<U{order}").view(np.uint32).reshape(-1, order).astype(np.uint64)
+    length = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+    key = np.zeros(len(points), np.uint64)
+    for place in range(order):
+        inside = place < length
+        key[inside] = key[inside] * np.uint64(MULTIPLIER) + points[inside, place] + np.uint64(1)
     return key
 
 
+def entry_keys(key: np.ndarray, n: int | np.ndarray, context: bool | np.ndarray) -> np.ndarray:
+    """Hash of an entry: the n-gram's, told apart by its order and by whether it stands as an n-gram or as a context."""
+    kind = np.atleast_1d(n).astype(np.uint64) * np.uint64(2) + np.atleast_1d(context).astype(np.uint64)
+    tag = kind * np.uint64(0xD1B54A32D192ED03)
+    return key ^ tag
+
+
 def counts(train: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, n): occurrences of every n-gram of the highest order, over all rows of (text, lang)."""
 
@@ -107,11 +127,10 @@ def counts(train: DataFrame, order: int = ORDER) -> DataFrame:
             data, offsets = text_bytes(batch.column(1))
             names, code = np.unique(langs.astype(str), return_inverse=True)
             found: dict[tuple[int, str], int] = {}
-            for first, last in stretches(offsets):
-                chars, rows = normal(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first])
+            for chars, rows, fresh in pieces(data, offsets, order):
                 key, valid = grams(chars, rows, order)
-                at = np.flatnonzero(valid)
-                mine = code[first:last][rows[at]]
+                at = np.flatnonzero(valid & fresh)
+                mine = code[rows[at]]
                 for lang in range(len(names)):
                     own = at[mine == lang]
                     _, example, n = np.unique(key[own], return_index=True, return_counts=True)
@@ -128,16 +147,41 @@ def counts(train: DataFrame, order: int = ORDER) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def stretches(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of rows with about ``CHUNK`` bytes, at least one row each."""
+def stretches(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``size`` bytes, at least one row each; a row of more than twice that stands alone."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + CHUNK, side="left"))
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="left"))
         last = min(max(last, first + 1), n)
+        if last - first > 1 and offsets[last] - offsets[last - 1] > 2 * size:
+            last -= 1
         yield first, last
         first = last
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, order: int, size: int = CHUNK) -> Iterator[tuple[np.ndarray, ...]]:
+    """(characters, row of each, whether it counts) of all texts, about ``size`` bytes at a time. The space in front of a text does
+    not count, nor do the ``order`` - 1 characters that a piece of a long text repeats from the piece before."""
+    for first, last in stretches(offsets, size):
+        start, end = int(offsets[first]), int(offsets[last])
+        if last - first > 1 or end - start <= 2 * size:
+            chars, rows = normal(data[start:end], offsets[first: last + 1] - start)
+            yield chars, rows + first, np.r_[False, rows[1:] == rows[:-1]]
+            continue
+        before = np.zeros(0, np.uint32)
+        while start < end:
+            cut = min(start + size, end)
+            while cut < end and data[cut] & 0xC0 == 0x80:
+                cut += 1
+            chars, _ = normal(data[start:cut], np.array([0, cut - start]))
+            if len(before):
+                letter = letters()[code_points(data[start: min(start + 8, cut)])[0]] != 32
+                chars = np.concatenate([before, chars[1:] if letter or before[-1] == 32 else chars])
+            fresh = np.arange(len(chars)) >= max(len(before), 1)
+            yield chars, np.full(len(chars), first), fresh
+            before, start = chars[-max(order - 1, 1):], cut
+
+
 def probabilities(top: DataFrame, order: int = ORDER) -> DataFrame:
     """(order, lang, gram, n, share, back) of the n-grams of every order.
 
@@ -170,67 +214,139 @@ def probabilities(top: DataFrame, order: int = ORDER) -> DataFrame:
         left.withColumn("back", F.greatest("back", F.lit(1e-6))), ["lang", "order", "context"])
 
 
+def entries(shares: DataFrame, languages: list[str], order: int) -> tuple[DataFrame, DataFrame]:
+    """(key, l, value) of the whole model, and per language (lang, start, plain): the log probability of a character that it
+    has not seen, and the entropy of its single characters."""
+    below, found = None, []
+    for n in range(1, order + 1):
+        level = shares.filter(F.col("order") == n)
+        if below is None:
+            level = level.withColumn("below", F.lit(float(np.exp(FLOOR))))
+        else:
+            lower = below.select("lang", F.col("gram").alias("tail"), F.col("p").alias("below"))
+            level = level.withColumn("tail", F.substring("gram", 2, n - 1)).join(lower, ["lang", "tail"])
+        below = settle("level", level.select(
+            "lang", "gram", "context", "back", F.expr("share + back * below").alias("p"),
+            F.expr("log1p(share / (back * below))").alias("gain")))
+        found.append(below.select("lang", "gram", F.lit(n).alias("n"), F.lit(False).alias("context"), F.col("gain").alias("value")))
+        if n == 1:
+            single = below.groupBy("lang").agg(
+                (F.first("back")).alias("back"), (-F.sum(F.expr("p * ln(p)"))).alias("plain")).select(
+                "lang", (F.lit(FLOOR) + F.ln("back")).alias("start"), "plain")
+        else:
+            found.append(below.groupBy("lang", "context").agg(F.first("back").alias("back")).select(
+                "lang", F.col("context").alias("gram"), F.lit(n - 1).alias("n"), F.lit(True).alias("context"),
+                F.ln("back").alias("value")))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    names = pa.array(languages, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, gram, n, context, value = batch.columns
+            key = entry_keys(gram_keys(gram, order), n.to_numpy(), context.to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key.view(np.int64)), pc.index_in(lang, value_set=names), value.cast(pa.float32(), safe=False)],
+                ["key", "l", "value"])
+
+    return every.mapInArrow(run, "key long, l int, value float"), single
+
+
+@dataclass
+class Block:
+    """Sorted hashes, and behind each the languages that have it and what it adds to their log probability."""
+
+    keys: np.ndarray
+    bounds: np.ndarray
+    langs: np.ndarray
+    values: np.ndarray
+
+    @staticmethod
+    def of(rows: pa.Table) -> Block:
+        key = rows.column("key").to_numpy().view(np.uint64)
+        lang = rows.column("l").to_numpy()
+        by_key = np.lexsort((lang, key))
+        keys, first = np.unique(key[by_key], return_index=True)
+        return Block(keys, np.r_[first, len(key)].astype(np.int64), lang[by_key], rows.column("value").to_numpy()[by_key])
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``key``, language, value) of every entry of every one of ``key``."""
+        # Repeated n-grams are searched once.
+        distinct, back_to = np.unique(key, return_inverse=True)
+        at = np.searchsorted(self.keys, distinct)
+        at[at == len(self.keys)] = 0
+        there = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        here = np.flatnonzero(there[back_to])
+        at = at[back_to[here]]
+        first, many = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+        entry = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        return np.repeat(here, many), self.langs[entry], self.values[entry]
+
+
 @dataclass
 class Model:
-    """Sorted n-gram hashes of each order with interpolated log probabilities and back-off weights by language."""
+    """What is known by language, and the blocks of the n-gram entries as broadcast variables."""
 
     languages: list[str]
     order: int
-    keys: list[np.ndarray] = field(default_factory=list)
-    logp: list[np.ndarray] = field(default_factory=list)
-    back: list[np.ndarray] = field(default_factory=list)
-    floor: float = float(np.log(1.0 / 0x110000))
-    unseen: np.ndarray | float = 0.0  # log probability of a character that no text of the training part has
+    blocks: list[Broadcast] = field(default_factory=list)
+    start: np.ndarray | None = None
+    plain: np.ndarray | None = None
     sharpness: float = 1.0
     usual: np.ndarray | None = None
 
-    def find(self, n: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each key among the n-grams of order ``n``, and whether it is there."""
-        known = self.keys[n - 1]
-        if not len(known):
-            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-        at = np.searchsorted(known, key)
-        at[at == len(known)] = 0
-        return at, known[at] == key
-
-    def scores(self, chars: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Log probability of each character after the ones before it, one column per language."""
-        out = np.zeros((len(chars), len(self.languages)), np.float32)
-        first = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
-        start = np.flatnonzero(first)
-        depth = np.minimum(np.arange(len(chars)) - np.repeat(start, np.diff(np.r_[start, len(chars)])) + 1, self.order)
+    def turns(self) -> Iterator[Block]:
+        """The blocks in turn. Where there are several, the one before is let go first."""
+        for block in self.blocks:
+            yield block.value
+            if len(self.blocks) > 1 and getattr(block, "_path", None):  # it can be read again from its file
+                block.__dict__.pop("_value", None)
+
+    def scores(self, chars: np.ndarray, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window of each character of ``at``, windows x languages log probabilities): characters with the same ones before
+        them share a window."""
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        depth = np.minimum(np.arange(len(chars)) - np.repeat(first, np.diff(np.r_[first, len(chars)])) + 1, self.order)
         keys = {n: grams(chars, rows, n)[0] for n in range(1, self.order + 1)}
-        open_ = np.arange(len(chars))
-        for n in range(self.order, 0, -1):
-            able = depth[open_] >= n
-            tried = open_[able]
-            # Repeated n-grams are searched once.
-            distinct, back_to = np.unique(keys[n][tried], return_inverse=True)
-            at, there = self.find(n, distinct)
-            hit = there[back_to]
-            out[tried[hit]] += self.logp[n - 1][at[back_to[hit]]]
-            missed = tried[~hit]
-            if n > 1 and len(missed):
-                at, there = self.find(n - 1, keys[n - 1][missed - 1])
-                out[missed[there]] += self.back[n - 2][at[there]]
-            elif len(missed):
-                out[missed] += self.unseen
-            open_ = np.concatenate([open_[~able], missed])
-        return out
+        whole = keys[self.order][at]
+        short = np.flatnonzero(depth[at] < self.order)
+        for n in range(1, self.order):
+            mine = at[short[depth[at[short]] == n]]
+            whole[short[depth[at[short]] == n]] = entry_keys(keys[n][mine], n, False)
+        distinct, window = np.unique(whole, return_inverse=True)
+        example = np.zeros(len(distinct), np.int64)
+        example[window] = at
+        wanted = []
+        for n in range(1, self.order + 1):
+            able = np.flatnonzero(depth[example] >= n)
+            wanted.append((able, entry_keys(keys[n][example[able]], n, False)))
+            if n > 1:
+                wanted.append((able, entry_keys(keys[n - 1][example[able] - 1], n - 1, True)))
+        which, wanted = np.concatenate([w for w, _ in wanted]), np.concatenate([k for _, k in wanted])
+        out = np.tile(self.start, (len(distinct), 1))
+        for block in self.turns():
+            place, lang, value = block.find(wanted)
+            out += np.bincount(which[place] * len(self.languages) + lang, value, out.size).reshape(out.shape)
+        return window, out
 
     def cross_entropies(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rows x languages) mean negative log probability a character, and the number of characters scored."""
+        """(rows x languages) mean negative log probability a character, and the number of characters scored (0 without any
+        letter)."""
         n_rows = len(offsets) - 1
         total, length = np.zeros((n_rows, len(self.languages))), np.zeros(n_rows, np.int64)
-        for first, last in stretches(offsets):
-            chars, rows = normal(data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first])
-            points = self.scores(chars, rows)
-            counted = np.r_[False, rows[1:] == rows[:-1]] if len(rows) else np.zeros(0, bool)  # not the first space
-            points[~counted] = 0
-            for lang in range(len(self.languages)):
-                total[first:last, lang] += np.bincount(rows, points[:, lang], last - first)
-            has_letter = np.bincount(rows, chars != 32, last - first) > 0
-            length[first:last] += np.bincount(rows, counted, last - first).astype(np.int64) * has_letter
+        lettered = np.zeros(n_rows, bool)
+        for chars, rows, fresh in pieces(data, offsets, self.order, CHUNK if len(self.blocks) < 2 else 8 * CHUNK):
+            at = np.flatnonzero(fresh)
+            first, many = int(rows[0]), int(rows[-1] - rows[0]) + 1
+            mine = rows[at] - first
+            length[first: first + many] += np.bincount(mine, minlength=many)
+            lettered[rows[chars != 32]] = True
+            if len(at) and self.languages:
+                window, out = self.scores(chars, rows, at)
+                for lang in range(len(self.languages)):
+                    total[first: first + many, lang] += np.bincount(mine, out[window, lang], many)
+        length *= lettered
         return -total / np.maximum(length, 1)[:, None], length
 
     def judge(self, entropies: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -243,79 +359,32 @@ class Model:
         score = 1 / odds.sum(axis=1)
         mean, spread, single = self.usual[best].T if self.usual is not None else (0, np.inf, 0)
         limit = mean + REJECTED_SPREADS * np.sqrt(spread ** 2 + single ** 2 / np.maximum(length, 1))
-        plain = -(np.exp(self.logp[0]) * self.logp[0]).sum(axis=0)
-        limit = np.maximum(limit, plain[best])
+        limit = np.maximum(limit, self.plain[best])
         none = length == 0
         return np.where(none, -1, best), np.where(none, 0.0, score), none | (lowest > limit)
 
 
-def assemble(rows: pd.DataFrame, languages: list[str], order: int) -> Model:
-    """The sorted arrays from the n-grams of all languages. An n-gram of one language has a column for
-    every language, filled by interpolation."""
-    model = Model(languages, order)
-    number = {lang: i for i, lang in enumerate(languages)}
-    rows = rows.assign(l=rows["lang"].map(number))
-    lower: dict[str, np.ndarray] = {}
-    empty = np.full(len(languages), np.exp(model.floor))
-    for n in range(1, order + 1):
-        level = rows[rows["order"] == n]
-        # Contexts of the next order belong here too: one at the start of a text follows nothing.
-        listed = sorted({*level["gram"], *rows.loc[rows["order"] == n + 1, "context"]})
-        place = {g: i for i, g in enumerate(listed)}
-        share = np.zeros((len(listed), len(languages)))
-        share[level["gram"].map(place).to_numpy(int), level["l"].to_numpy(int)] = level["share"]
-        back: dict[str, np.ndarray] = {}
-        for lang, context, value in level[["l", "context", "back"]].drop_duplicates().itertuples(index=False):
-            back.setdefault(context, np.ones(len(languages)))[lang] = value
-        values = np.empty_like(share)
-        plain = np.ones(len(languages))
-        for i, gram in enumerate(listed):
-            values[i] = share[i] + back.get(gram[:-1], plain) * _lower(lower, back_of, gram[1:], empty) if n > 1 else (
-                share[i] + back[""] * np.exp(model.floor))
-        if n == 1:
-            model.unseen = (model.floor + np.log(back.get("", plain))).astype(np.float32)
-        else:  # back-off weights belong to the contexts, which are n-grams of the order below
-            weights = np.ones((len(previous), len(languages)))
-            for i, gram in enumerate(previous):
-                if gram in back:
-                    weights[i] = back[gram]
-            keys = np.array([gram_key(g) for g in previous], np.uint64)
-            model.back.append(np.log(weights[np.argsort(keys)]).astype(np.float32))
-        lower = {g: values[i] for i, g in enumerate(listed)} if n == 1 else {**lower, **dict(zip(listed, values, strict=True))}
-        back_of = back if n == 1 else {**back_of, **back}
-        keys = np.array([gram_key(g) for g in listed], np.uint64)
-        by_key = np.argsort(keys)
-        model.keys.append(keys[by_key])
-        model.logp.append(np.log(values[by_key]).astype(np.float32))
-        previous = listed
-    model.back.append(np.zeros((len(previous), len(languages)), np.float32))
-    return model
-
-
-def _lower(known: dict, back: dict, gram: str, empty: np.ndarray) -> np.ndarray:
-    """Interpolated probability of a shorter n-gram, backing off where it is not known."""
-    weight = np.ones(len(empty))
-    while gram:
-        if gram in known:
-            return weight * known[gram]
-        weight = weight * back.get(gram[:-1], 1.0)
-        gram = gram[1:]
-    return weight * empty
-
-
-def train(rows: DataFrame, order: int = ORDER) -> Model:
-    """A model from (text, lang) rows; rows without a language or text are left out. At most ``MOST_LANGUAGES``
-    languages can be learnt; more raise an error."""
+def train(rows: DataFrame, order: int = ORDER, block_entries: int = BLOCK_ENTRIES) -> Model:
+    """A model from (text, lang) rows; rows without a language or text are left out."""
     usable = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    table = settle("shares", probabilities(settle("counts", counts(usable, order)), order))
-    names = [r["lang"] for r in table.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    model = assemble(pd.concat([
-        table.filter(F.col("lang") == name).toPandas() for name in names]) if names else pd.DataFrame(
-            columns=table.columns), names, order)
-    if names:
-        _calibrate(model, usable)
+    shares = settle("shares", probabilities(settle("counts", counts(usable, order)), order))
+    names = [r["lang"] for r in shares.select("lang").distinct().collect()]
+    model = Model(sorted(names), order)
+    if not names:
+        return model
+    every, single = entries(shares, model.languages, order)
+    known = {r["lang"]: r for r in single.collect()}
+    model.start = np.array([known[lang]["start"] for lang in model.languages])
+    model.plain = np.array([known[lang]["plain"] for lang in model.languages])
+    every = settle("entries", every)
+    blocks = -(-every.count() // block_entries)
+    if blocks > 1:  # each block is read on its own, so its rows lie together
+        every = every.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+        every = settle("blocks", every.repartition("block").sortWithinPartitions("block"))
+    for block in range(blocks):
+        mine = every.filter(F.col("block") == block).drop("block") if blocks > 1 else every
+        model.blocks.append(rows.sparkSession.sparkContext.broadcast(Block.of(mine.toArrow())))
+    _calibrate(model, usable)
     return model
 
 
@@ -323,14 +392,13 @@ def _calibrate(model: Model, usable: DataFrame) -> None:
     """Sharpness of the score and usual cross-entropies, from sums over all training rows."""
     grid = 2.0 ** np.arange(-4, 5)
     number = {lang: i for i, lang in enumerate(model.languages)}
-    held = usable.sparkSession.sparkContext.broadcast(model)
     names = ["rows", "w", "wx", "wxx", *(f"loss{k}" for k in range(len(grid)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(number), len(names)))
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            entropies, length = held.value.cross_entropies(data, offsets)
+            entropies, length = model.cross_entropies(data, offsets)
             truth = np.array([number[lang] for lang in batch.column(0).to_pylist()], int)
             entropies, length, truth = entropies[length > 0], length[length > 0], truth[length > 0]
             if not len(truth):
@@ -362,14 +430,12 @@ def _calibrate(model: Model, usable: DataFrame) -> None:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, rejected for each row, from the text alone."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
-            known = held.value
-            best, score, rejected = known.judge(*known.cross_entropies(data, offsets))
-            names = np.array([*known.languages, UNKNOWN], object)
+            best, score, rejected = model.judge(*model.cross_entropies(data, offsets))
+            names = np.array([*model.languages, UNKNOWN], object)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(score),
                 pa.array(rejected), batch.column(2)], ["doc_id", "lang_pred", "score", "rejected", "text_hash"])

@@ -5,15 +5,20 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import tracemalloc
+from collections import Counter
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from casewright.llm import (components, decontamination, exact_dedup, fm_index, html_extract, language_id, mixing, pieces,
                             simhash, substring_dedup, suffix_dedup, url_filter, warc, words)
+from casewright.llm.common import text_bytes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, fp long, bucket int, name string"
 
@@ -360,8 +365,9 @@ def test_kneser_ney_sums_to_one(spark):
     model = language_id.train(table(spark, texts), order=3)
     chars = sorted({*"ab ", "c", "q"})
     for context in ("ab", "ba", " a", "qq"):
-        chance = {c: float(np.exp(model.scores(np.array([ord(x) for x in context + c], np.uint32), np.zeros(3, np.int64))[2, 0]))
-                  for c in [*chars, "z"]}  # z stands for all unseen code points
+        chance = {c: float(np.exp(model.scores(
+            np.array([ord(x) for x in context + c], np.uint32), np.zeros(3, np.int64), np.array([2]))[1][0, 0]))
+            for c in [*chars, "z"]}  # z stands for all unseen code points
         assert sum(chance[c] for c in chars) + chance["z"] * (0x110000 - len(chars)) == pytest.approx(1.0, abs=1e-4)
 
 
@@ -369,11 +375,92 @@ def test_every_ngram_is_kept(spark):
     # 70,000 different letters of one language: more single n-grams than the cap of 60,000 there was.
     wide = [chr(c) for c in range(0x3400, 0x20000 + 42_000) if chr(c).isalpha() and chr(c).lower() == chr(c)][:70_000]
     texts = [(i, "".join(wide[i * 500: i * 500 + 500]), "aa") for i in range(140)]
-    known = language_id.train(table(spark, texts), order=2)
-    keys = np.array([language_id.gram_key(t) for t in wide], np.uint64)
-    assert len(wide) == 70_000 and known.find(1, keys)[1].all()
-    pairs = np.array([language_id.gram_key(r[1][k: k + 2]) for r in texts for k in range(499)], np.uint64)
-    assert known.find(2, pairs)[1].all()
+    known = language_id.train(table(spark, texts), order=2, block_entries=50_000)
+
+    def kept(grams, n):
+        keys = language_id.entry_keys(language_id.gram_keys(pa.array(grams), 2), n, False)
+        return sum(np.isin(keys, block.value.keys) for block in known.blocks)
+
+    assert len(wide) == 70_000 and len(known.blocks) > 3 and (kept(wide, 1) == 1).all()
+    assert (kept([r[1][k: k + 2] for r in texts for k in range(499)], 2) == 1).all()
+
+
+def plain_kneser_ney(rows, order):
+    """The log probability of a character after the ones before it, written out with dictionaries."""
+    levels = {lang: {order: Counter()} for _, _, lang in rows}
+    for _, text, lang in rows:
+        norm = plain_norm(text)
+        levels[lang][order].update(norm[i: i + order] for i in range(len(norm) - order + 1))
+    share, back = {}, {}
+    for lang, level in levels.items():
+        for n in range(order, 0, -1):
+            if n < order:
+                level[n] = Counter(g[1:] for g in level[n + 1])
+            times = Counter(level[n].values())
+            d = times[1] / (times[1] + 2 * times[2]) if times[1] + times[2] else 0.5
+            d = min(max(d, language_id.DISCOUNT_FLOOR), language_id.DISCOUNT_CEILING)
+            total = Counter()
+            for gram, m in level[n].items():
+                total[gram[:-1]] += m
+            used = Counter()
+            for gram, m in level[n].items():
+                share[lang, gram] = (m - d) / total[gram[:-1]]
+                used[gram[:-1]] += share[lang, gram]
+            back.update({(lang, context): max(1 - x, 1e-6) for context, x in used.items()})
+
+    def chance(lang, gram):
+        if not gram:
+            return 1 / 0x110000
+        return share.get((lang, gram), 0) + back.get((lang, gram[:-1]), 1) * chance(lang, gram[1:])
+
+    return lambda lang, text: [np.log(chance(lang, text[max(0, i - order + 1): i + 1])) for i in range(1, len(text))]
+
+
+def plain_norm(text):
+    letters = " " + "".join(c.lower() if c.isalpha() else " " for c in text)
+    return re.sub(" +", " ", letters)
+
+
+def test_scores_equal_plain_kneser_ney(spark, monkeypatch):
+    rng = random.Random(12)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(i, make("abcde  .", 60), "aa") for i in range(12)] + [(50 + i, make("cdefÄß й", 60), "bb") for i in range(9)]
+    rows += [(90, make("xyz ", 300), "cc"), (91, "", "cc"), (92, "b", "cc")]
+    texts = [make("abcdefxyzÄß й1.", n) for n in (0, 1, 2, 3, 4, 5, 70, 4000)] + [" ", "  7a", "9" * 500 + "ab c" + "-" * 300 + "d" * 200, "é"]
+    plain = plain_kneser_ney(rows, 4)
+    for size, entries in ((1 << 18, 4_000_000), (64, 200), (7, 100)):
+        # Long texts are cut into pieces and the model into blocks: the scores stay.
+        monkeypatch.setattr(language_id, "CHUNK", size)
+        model = language_id.train(table(spark, rows), block_entries=entries)
+        assert len(model.blocks) == 1 if entries > 1000 else len(model.blocks) > 2
+        got, length = model.cross_entropies(*text_bytes(pa.array(texts)))
+        for text, found, n in zip(texts, got, length, strict=True):
+            norm = plain_norm(text)
+            assert n == (len(norm) - 1 if norm.strip() else 0)
+            if n:
+                assert found.tolist() == pytest.approx([-np.mean(plain(lang, norm)) for lang in ("aa", "bb", "cc")], abs=1e-4)
+
+
+def test_many_languages_and_an_empty_table(spark):
+    # More languages than the 200 that there once were at most.
+    rows = [(i, (chr(0x4E00 + i) + chr(0x4E00 + i + 1)) * 20, f"l{i:03}") for i in range(230)]
+    model = language_id.train(table(spark, rows))
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(table(spark, rows), model).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    assert language_id.predict(table(spark, rows).limit(0), model).count() == 0
+
+
+def test_long_text_needs_bounded_memory(spark):
+    rows = [(i, "the cat sat on a mat and ran " * 9, "aa") for i in range(4)]
+    model = language_id.train(table(spark, rows))
+    data, offsets = text_bytes(pa.array(["the cat sat on a mat and ran " * 600_000, "cat"]))
+    short, _ = model.cross_entropies(*text_bytes(pa.array(["the cat sat on a mat and ran " * 6_000, "cat"])))
+    tracemalloc.start()
+    got, length = model.cross_entropies(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(data) > 17_000_000 and peak < 150_000_000 and length.tolist() == [29 * 600_000, 3]
+    assert got == pytest.approx(short, abs=1e-3)
 
 
 def test_rejection_holds_for_rare_languages(spark):
