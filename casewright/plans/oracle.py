@@ -306,6 +306,13 @@ def willing_sql(condition: str) -> str:
 WILLING = f"case_status = '{fv.VICTIM_WILLING_STATUS}'"
 STEP = f"contains(case_status, '{fv.STEP_COMPLETE}')"
 MULTIPLIER = "(case when coalesce(willing_count, 0) >= 7 then 1::double else 1 - pow(0.5::double, coalesce(willing_count, 0)) end)"
+# Values in the order of the stored vocabulary: by feature (a feature a day), then by digest bucket and value.
+VOCABULARY = f"""
+    select feature, value, row_number() over (
+             order by feature, left(md5(feature || chr(1) || coalesce(value, '')), 3), value nulls first) as id,
+           cast({AS_OF} + day as date) as first_seen
+    from (select distinct 'education' as feature, cast(education as varchar) as value, 0 as day from case_form
+          union all select distinct 'pv_occupation', cast(pv_occupation as varchar), 1 from case_form)"""
 AGE = f"cast(date_diff('day', interview_date, {AS_OF}) as double)"
 BIO = f"(case when case_status = '{fv.SUSPECT_LOCATED_STATUS}' then 1 else 0 end)::int"
 DAMPING = f"log10(first_degree_links + {fv.NETWORK_LINK_OFFSET})"
@@ -645,6 +652,10 @@ TEXTS = {
                   "coalesce(legal_action_taken <> '', false) as legal_action_taken, coalesce(recruited_agency, false) as recruited_agency, "
                   "interview_date from case_form",
     "p14_category_flags": f"select id, {EDUCATION}, {OCCUPATION}, {MISSING} from case_form",
+    "p14b_category_vocabulary": VOCABULARY,
+    "p14c_category_ids": f"select f.id, e.id as education_id, o.id as pv_occupation_id from case_form f "
+                         f"left join ({VOCABULARY}) e on e.feature = 'education' and e.value is not distinct from cast(f.education as varchar) "
+                         f"left join ({VOCABULARY}) o on o.feature = 'pv_occupation' and o.value is not distinct from cast(f.pv_occupation as varchar)",
     "p15_digits": f"select id, {DIGITS} as earning from case_form",
     "p16_defaults": f"select id, coalesce(number_of_victims, 1) as number_of_victims, {DIGITS} as expected_earning from case_form",
     "p17_drop_empty": "select id, known_broker_years, exploitation_organ_removal_exp from case_form",

@@ -12,7 +12,7 @@ from casewright.config import NetworkWeights, Settings
 from casewright.functions import ids, links as link_columns, text
 from casewright.functions.narrative import narrative
 from casewright.operators import (aggregates, dedup, features, graph, joins, lifecycle, link_stats,
-                                  people, ranking, scoring, strength_model, unions)
+                                  people, ranking, scoring, strength_model, unions, vocabulary)
 from casewright.operators.lifecycle import EntityGroup
 from casewright.plans import daily, runs
 from casewright.schemas import LINK_SHEET, POLICE_SHEET, SUSPECT_SHEET, VICTIM_SHEET
@@ -363,6 +363,23 @@ def p14_category_flags(b):
     return features.category_flags(rows, features.category_levels(rows, ["education", "pv_occupation"]))
 
 
+@query
+def p14b_category_vocabulary(b):
+    return _vocabulary(b)
+
+
+@query
+def p14c_category_ids(b):
+    columns = ["education", "pv_occupation"]
+    return vocabulary.encoded(b.case_form.select("id", *columns), columns, cut_lineage(b.spark, "vocabulary", _vocabulary(b)))
+
+
+def _vocabulary(b):
+    """Levels of education first, occupations as of the next day."""
+    first = cut_lineage(b.spark, "vocabulary", vocabulary.extended(None, b.case_form, ["education"], SETTINGS.as_of))
+    return vocabulary.extended(first, b.case_form, ["education", "pv_occupation"], SETTINGS.as_of + timedelta(days=1))
+
+
 @query
 def p15_digits(b):
     return b.case_form.select("id", text.digits("expected_earning").alias("earning"))

@@ -7,8 +7,8 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
-from casewright.operators import features, strength_model
-from casewright.session import scratch_path
+from casewright.operators import features, strength_model, vocabulary
+from casewright.session import cut_lineage, scratch_path
 from casewright.sources import sinks, tables
 
 AS_OF = dt.date(2001, 8, 1)
@@ -128,3 +128,72 @@ def test_models_have_generations(spark, planted, monkeypatch):
         strength_model.predict(planted.withColumn("flag_a", F.col("flag_a").cast("string")), strength_model.load(spark, path))
     with pytest.raises(FileNotFoundError):
         strength_model.load(spark, path + "-none")
+
+
+JOBS = "id long, pv_occupation string, education string"
+
+
+def listed(vocabulary_rows):
+    return {(r.feature, r.value): (r.id, r.first_seen) for r in vocabulary_rows.collect()}
+
+
+def test_vocabulary_keeps_its_ids(spark):
+    first = vocabulary.extended(None, spark.createDataFrame([(1, "cook", None), (2, "cook", ""), (3, "a", "b")], JOBS),
+                                ["pv_occupation", "education"], AS_OF)
+    assert {i for i, _ in listed(first).values()} == {1, 2, 3, 4, 5}
+    later = spark.createDataFrame([(9, "baker", None), (10, None, ""), (11, "cook", "b"), (11, "cook", "b")], JOBS)
+    first = cut_lineage(spark, "vocabulary", first)
+    second = vocabulary.extended(first, later, ["pv_occupation", "education"], AS_OF + dt.timedelta(days=1))
+    both = listed(second)
+    assert {k: both[k] for k in listed(first)} == listed(first)
+    assert {k: v[1] for k, v in both.items() if k not in listed(first)} == dict.fromkeys(
+        [("pv_occupation", "baker"), ("pv_occupation", None)], AS_OF + dt.timedelta(days=1))
+    assert sorted(i for i, _ in both.values()) == list(range(1, 8))
+    for nothing in (later, later.limit(0)):
+        assert listed(vocabulary.extended(second, nothing, ["pv_occupation"], AS_OF)) == both
+    assert vocabulary.extended(None, later.limit(0), ["education"], AS_OF).count() == 0
+    got = {tuple(r) for r in vocabulary.encoded(later.unionByName(
+        spark.createDataFrame([(12, "new", "b")], JOBS)), ["pv_occupation", "education"], second).collect()}
+    assert got == {(9, both["pv_occupation", "baker"][0], both["education", None][0]),
+                   (10, both["pv_occupation", None][0], both["education", ""][0]),
+                   (11, both["pv_occupation", "cook"][0], both["education", "b"][0]),
+                   (12, None, both["education", "b"][0])}
+
+
+def test_encoding_collects_nothing_and_joins_by_hash(spark):
+    rows = spark.createDataFrame([(1, "cook", None)], JOBS)
+    known = cut_lineage(spark, "vocabulary", vocabulary.extended(None, rows, ["pv_occupation"], AS_OF))
+    plan = vocabulary.encoded(rows, ["pv_occupation"], known)._jdf.queryExecution().executedPlan().toString()
+    assert "HashJoin" in plan or "SortMergeJoin" in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_retrained_model_keeps_positions(spark):
+    def fitted(rows, known):
+        pipeline = Pipeline(stages=strength_model.transformer_stages(rows, ["flag", "n", "pv_occupation"], known))
+        return {r.pv_occupation: r.features.toArray() for r in pipeline.fit(rows).transform(rows).collect()}
+
+    rows = spark.createDataFrame([(True, 1.0, "m"), (False, 2.0, "z"), (True, 4.0, None)], "flag boolean, n double, pv_occupation string")
+    known = cut_lineage(spark, "vocabulary", vocabulary.extended(None, rows, ["pv_occupation"], AS_OF))
+    # New values sort before, between and after the old ones.
+    more = rows.unionByName(spark.createDataFrame([(True, 0.0, v) for v in ("a", "n", "zz")], rows.schema))
+    longer = cut_lineage(spark, "vocabulary", vocabulary.extended(known, more, ["pv_occupation"], AS_OF))
+    before, after = fitted(rows, known), fitted(more, longer)
+    for value, vector in before.items():
+        assert (vector[2:] == after[value][2:len(vector)]).all() and vector[2:].sum() == 1 and after[value][2:].sum() == 1
+    unknown = fitted(more, known)
+    assert all(unknown[v][2:].sum() == 0 for v in ("a", "n", "zz"))
+    with pytest.raises(ValueError, match="without gaps"):
+        vocabulary.tokens(longer.filter("id <> 2"))
+
+
+def test_model_with_a_vocabulary_is_saved(spark, planted):
+    rows = planted.withColumn("pv_occupation", F.when(F.col("flag_a"), "broker").otherwise("cook"))
+    known = cut_lineage(spark, "vocabulary", vocabulary.extended(None, rows, ["pv_occupation"], AS_OF))
+    path = scratch_path(spark, "model")
+    model = strength_model.train_or_load(spark, rows, path, True, AS_OF, 90, grid=GRID, folds=2, known=known)
+    assert "pv_occupation" in model.columns
+    loaded = strength_model.predict(rows, strength_model.load(spark, path))
+    assert loaded.columns == [*rows.columns, "soc"] and loaded.count() == 900
+    means = {r.arrest: r.m for r in loaded.groupBy("arrest").agg(F.avg("soc").alias("m")).collect()}
+    assert means[1] > means[0] + .3
