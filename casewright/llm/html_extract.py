@@ -45,7 +45,7 @@ ARTICLE_PAGES, OTHER_PAGES, SAME = 8, 3, 0.9
 #: Cells of the alignment matrix, in bits, that are held at once.
 HELD_BITS = 1 << 26
 
-# Elements and names of parts that are not the article.
+# Words chosen here for elements and names of parts that are not the article.
 SKIPPED = frozenset("nav header footer aside form script style noscript template button select textarea svg iframe menu "
                     "dialog head title object canvas audio video datalist math".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
