@@ -6,8 +6,9 @@ anchors at equal places, wherever they stand. Neighbouring windows mostly share
 anchor is a piece, stored once with its tokens. Pieces go to the bucket of their anchor, and all windows equal to a
 window of the bucket are in the bucket.
 
-Before pieces move, equal pieces of one task are combined: the one of the smallest document is sent, the others
-are known to be repeats. An anchor that is very frequent in a sample of the texts (a passage that a large part of all
+Before pieces move, equal pieces of one task are combined: the one of the smallest document is sent, those of other
+documents are known to be repeats, and further ones of the same document travel as places only (twins), which share
+what is found for the piece. An anchor that is very frequent in a sample of the texts (a passage that a large part of all
 documents share) is not a bucket of its own: its windows are sent one by one, each to the bucket of its hash. The
 sample decides only where pieces go, never what is found.
 """
@@ -15,7 +16,8 @@ sample decides only where pieces go, never what is found.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total)
 
 
+def pairs(wanted: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into ``wanted``, index into ``keys``) of all pairs of equal values."""
+    order = np.argsort(keys, kind="stable")
+    low, high = np.searchsorted(keys[order], wanted, side="left"), np.searchsorted(keys[order], wanted, side="right")
+    return np.repeat(np.arange(len(wanted)), high - low), order[ragged(low, high - low)]
+
+
 @dataclass
 class Batch:
     """Pieces with what is needed to judge them: token content as bytes, and the document they come from."""
@@ -92,23 +101,29 @@ class Batch:
     doc: np.ndarray  # number of the document in the two arrays below
     doc_ids: np.ndarray
     text_hashes: np.ndarray
+    # Further places of a piece under the same doc_id: number of the piece, first token there, number of the document.
+    twin_of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    twin_first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    twin_doc: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __len__(self) -> int:
         return len(self.lengths)
 
 
 _FIELDS = (("lengths", np.uint32), ("left", np.uint8), ("windows", np.uint8), ("first", np.int64), ("doc", np.uint32))
+_TWIN_FIELDS = (("twin_of", np.uint32), ("twin_first", np.int64), ("twin_doc", np.uint32))
 
 
 def packed(batch: Batch) -> bytes:
     """A batch as compressed bytes. Documents are kept once, places as differences."""
-    used, doc = np.unique(batch.doc, return_inverse=True)
-    head = np.array([len(batch), len(used), len(batch.data)], np.int64)
-    values = {"lengths": batch.lengths, "left": batch.left, "windows": batch.windows, "first": batch.first, "doc": doc}
-    values["first"] = np.diff(values["first"], prepend=0)
-    values["doc"] = np.diff(values["doc"], prepend=0)
+    used, doc = np.unique(np.r_[batch.doc, batch.twin_doc], return_inverse=True)
+    head = np.array([len(batch), len(used), len(batch.data), len(batch.twin_of)], np.int64)
+    values = {"lengths": batch.lengths, "left": batch.left, "windows": batch.windows}
+    for name, places in (("first", batch.first), ("doc", doc[: len(batch)]), ("twin_of", batch.twin_of),
+                         ("twin_first", batch.twin_first), ("twin_doc", doc[len(batch):])):
+        values[name] = np.diff(places, prepend=0)
     parts = [head.tobytes(), batch.doc_ids[used].tobytes(), batch.text_hashes[used].tobytes()]
-    for name, kind in _FIELDS:
+    for name, kind in _FIELDS + _TWIN_FIELDS:
         wide = values[name].astype(kind)
         size = np.dtype(kind).itemsize
         parts.append(wide.view(np.uint8).reshape(-1, size).T.tobytes())  # equal bytes together compress well
@@ -118,24 +133,28 @@ def packed(batch: Batch) -> bytes:
 
 def unpacked(blobs: list[bytes]) -> Batch:
     """All batches of a bucket as one."""
-    tool, found, n_docs = zstandard.ZstdDecompressor(), [], 0
+    tool, found, n_docs, n_pieces = zstandard.ZstdDecompressor(), [], 0, 0
     for blob in blobs:
         raw = tool.decompress(blob)
-        n, docs, size = np.frombuffer(raw, np.int64, 3).tolist()
-        at = 24
+        n, docs, size, twins = np.frombuffer(raw, np.int64, 4).tolist()
+        at = 32
         ids = np.frombuffer(raw, np.int64, docs, at)
         hashes = np.frombuffer(raw, np.int64, docs, at + 8 * docs)
         at += 16 * docs
         values = {}
-        for name, kind in _FIELDS:
-            width = np.dtype(kind).itemsize
+        for name, kind in _FIELDS + _TWIN_FIELDS:
+            width, rows = np.dtype(kind).itemsize, twins if name.startswith("twin") else n
             values[name] = np.ascontiguousarray(
-                np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel()
-            at += n * width
+                np.frombuffer(raw, np.uint8, rows * width, at).reshape(width, rows).T).view(kind).ravel()
+            at += rows * width
         found.append((np.frombuffer(raw, np.uint8, size, at), values["lengths"].astype(np.int64),
                       values["left"].astype(np.int64), values["windows"].astype(np.int64), np.cumsum(values["first"]),
-                      np.cumsum(values["doc"], dtype=np.uint32).astype(np.int64) + n_docs, ids, hashes))
+                      np.cumsum(values["doc"], dtype=np.uint32).astype(np.int64) + n_docs, ids, hashes,
+                      np.cumsum(values["twin_of"], dtype=np.uint32).astype(np.int64) + n_pieces,
+                      np.cumsum(values["twin_first"]),
+                      np.cumsum(values["twin_doc"], dtype=np.uint32).astype(np.int64) + n_docs))
         n_docs += docs
+        n_pieces += n
     return Batch(*[np.concatenate(column) for column in zip(*found, strict=True)])
 
 
@@ -155,12 +174,13 @@ def hit_rows(doc: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndar
     """(doc_id, text_hash, merged spans as int64 pairs) for each document with hits."""
     if not len(doc):
         return
-    order = np.argsort(doc, kind="stable")
-    doc, starts, ends = doc[order], starts[order], ends[order]
-    heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-    for first, last in zip(heads.tolist(), [*heads[1:].tolist(), len(doc)], strict=True):
-        merged = np.stack(spans(starts[first:last], ends[first:last]), axis=1)
-        yield int(ids[doc[first]]), int(hashes[doc[first]]), merged.astype(np.int64).tobytes()
+    used, number = np.unique(doc, return_inverse=True)
+    stride = int(ends.max()) + 1  # documents side by side do not touch
+    low, high = spans(number * stride + starts, number * stride + ends)
+    owner = low // stride
+    raw = np.stack([low - owner * stride, high - owner * stride], axis=1).astype(np.int64).tobytes()
+    edges = [*(16 * np.searchsorted(owner, np.arange(len(used)))).tolist(), len(raw)]
+    yield from zip(ids[used].tolist(), hashes[used].tolist(), [raw[a:b] for a, b in pairwise(edges)], strict=True)
 
 
 @dataclass
@@ -234,9 +254,11 @@ def _flush(tokens: Tokens, cut: list[dict[str, np.ndarray]], ids: np.ndarray, ha
     col = {k: np.concatenate([c[k] for c in cut]) for k in cut[0] if k != "data"}
     col["starts"] = np.concatenate([c["starts"] + s for c, s in zip(cut, sizes, strict=False)])
     n = len(col["starts"])
+    if not n:  # no text of the flush holds a window
+        return
     order = np.lexsort((ids[col["doc"]], col["cover"]))
-    cover, doc_id = col["cover"][order], ids[col["doc"]][order]
-    head = np.maximum.accumulate(np.where(np.r_[True, cover[1:] != cover[:-1]], np.arange(n), 0)) if n else order
+    cover = col["cover"][order]
+    head = np.maximum.accumulate(np.where(np.r_[True, cover[1:] != cover[:-1]], np.arange(n), 0))
     other = np.flatnonzero(head != np.arange(n))
     mine, model = order[other], order[head[other]]
     equal = (col["lengths"][mine] == col["lengths"][model]) & (col["left"][mine] == col["left"][model])
@@ -245,7 +267,8 @@ def _flush(tokens: Tokens, cut: list[dict[str, np.ndarray]], ids: np.ndarray, ha
     mine, model = mine[equal], model[equal]
     stays = np.ones(n, bool)
     stays[mine] = False
-    later = mine[ids[col["doc"][mine]] > ids[col["doc"][model]]]
+    after = ids[col["doc"][mine]] > ids[col["doc"][model]]
+    later = mine[after]
     first = col["first"][later]
     for doc, text_hash, found in hit_rows(
             col["doc"][later], first, first + col["windows"][later] + tokens.window - 1, ids, hashes):
@@ -253,13 +276,21 @@ def _flush(tokens: Tokens, cut: list[dict[str, np.ndarray]], ids: np.ndarray, ha
     at = np.flatnonzero(stays)
     at = at[np.argsort(col["bucket"][at], kind="stable")]
     buckets = col["bucket"][at]
-    heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(at) else []
+    # Equal pieces under the model's own id are no repeats of it, but share its repeats: they go along as places.
+    place = np.zeros(n, np.int64)
+    place[at] = np.arange(len(at))
+    twin, twin_of = mine[~after], place[model[~after]]
+    order = np.argsort(twin_of, kind="stable")
+    twin, twin_of = twin[order], twin_of[order]
+    heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
     for lo, hi in zip(heads, [*heads[1:], len(at)], strict=True):
         part = at[lo:hi]
         lengths = col["lengths"][part]
+        own = slice(*np.searchsorted(twin_of, [lo, hi]).tolist())
         yield int(buckets[lo]), 0, 0, packed(Batch(
             data[ragged(col["starts"][part], lengths)], lengths, col["left"][part], col["windows"][part],
-            col["first"][part], col["doc"][part], ids, hashes))
+            col["first"][part], col["doc"][part], ids, hashes,
+            twin_of[own] - lo, col["first"][twin[own]], col["doc"][twin[own]]))
 
 
 _SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("data", pa.binary())])
@@ -314,12 +345,18 @@ def _sender(tokens: Tokens, held) -> Callable:
 
 
 def _judge(judge: Callable[[Batch], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Callable:
-    """Reads the rows of a partition in order of bucket; ``judge`` gives (doc, start, end) of the repeats of a bucket."""
+    """Reads the rows of a partition in order of bucket; ``judge`` gives (piece, start, end) of the repeats of a bucket,
+    counted from the piece's first token. They hold for its twins too."""
 
     def close(blobs: list[bytes]) -> Iterator[tuple]:
         if blobs:
             batch = unpacked(blobs)
-            yield from hit_rows(*judge(batch), batch.doc_ids, batch.text_hashes)
+            piece, start, end = judge(batch)
+            hit, twin = pairs(piece, batch.twin_of)
+            doc = np.r_[batch.doc[piece], batch.twin_doc[twin]]
+            first = np.r_[batch.first[piece], batch.twin_first[twin]]
+            yield from hit_rows(doc, first + np.r_[start, start[hit]], first + np.r_[end, end[hit]], batch.doc_ids,
+                                batch.text_hashes)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, blobs = HITS, []

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from casewright.llm.common import release, settle
 from casewright.llm.fm_index import DEPTH, FMIndex
-from casewright.llm.pieces import Batch, Routes, Tokens, _same, ragged, repeated_spans
+from casewright.llm.pieces import Batch, Routes, Tokens, _same, pairs, ragged, repeated_spans
 from casewright.llm.suffix_dedup import merged, with_spans
 from casewright.llm.words import mixed, words_of
 
@@ -67,7 +67,7 @@ def word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes:
 
 def judged(batch: Batch, window: int = WINDOW_WORDS, k: int = ANCHOR_WORDS) -> tuple[
         np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, end) in words of the repeats among the pieces of a shard."""
+    """(piece, start, end) in words of the repeats among the pieces of a shard, from the piece's first word on."""
     ids = batch.doc_ids[batch.doc]
     words = batch.windows + window - 1
     found = words_of(batch.data, np.concatenate([[0], np.cumsum(batch.lengths)]))
@@ -94,7 +94,7 @@ def judged(batch: Batch, window: int = WINDOW_WORDS, k: int = ANCHOR_WORDS) -> t
     at = np.cumsum(lengths[piece] + 1) - lengths[piece] - 1
     text[ragged(at, lengths[piece])] = number[ragged(begin[piece], lengths[piece])]
     lowest = ids[member][piece]
-    out = [_whole(batch, member, model, piece, ids, window)]
+    out = [_whole(batch, member, model, ids, window)]
     index = FMIndex(text, sigma, max(DEPTH, window))
     owner = np.repeat(np.arange(len(piece)), lengths[piece] + 1)
     # Stream the pieces through the index, by the places where a window ends.
@@ -110,9 +110,11 @@ def judged(batch: Batch, window: int = WINDOW_WORDS, k: int = ANCHOR_WORDS) -> t
         places = ragged(keys, top - keys)
         least = np.minimum.reduceat(lowest[owner[index.order[places]]], np.cumsum(top - keys) - (top - keys))
         hit = full[lowest[source[full]] > least[back]]
-        rows = member[piece[source[hit]]]
-        start = batch.first[rows] + shift[hit]
-        out.append((batch.doc[rows], start, start + window))
+        # What is found in a stand-in holds for all equal pieces under its id.
+        own = np.flatnonzero(ids[member] == ids[member[model]])
+        found, at = pairs(piece[source[hit]], model[own])
+        start = shift[hit[found]]
+        out.append((member[own[at]], start, start + window))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -133,11 +135,11 @@ def _distinct(number: np.ndarray, begin: np.ndarray, lengths: np.ndarray, ids: n
     return np.unique(stand), stand
 
 
-def _whole(batch: Batch, member: np.ndarray, model: np.ndarray, piece: np.ndarray, ids: np.ndarray, window: int) -> tuple[
+def _whole(batch: Batch, member: np.ndarray, model: np.ndarray, ids: np.ndarray, window: int) -> tuple[
         np.ndarray, np.ndarray, np.ndarray]:
     """Pieces equal to one of an earlier document are repeats from end to end."""
     later = member[ids[member] > ids[member[model]]]
-    return batch.doc[later], batch.first[later], batch.first[later] + batch.windows[later] + window - 1
+    return later, np.zeros(len(later), np.int64), batch.windows[later] + window - 1
 
 
 def removed_spans(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:

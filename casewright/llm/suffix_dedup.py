@@ -103,7 +103,7 @@ def _lowest(ids: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 
 def judged(batch: Batch, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, start, end) of the repeats among the pieces of a bucket."""
+    """(piece, start, end) of the repeats among the pieces of a bucket, from the piece's first byte on."""
     first = leading(batch.data)
     starts = np.cumsum(batch.lengths) - batch.lengths
     ids = batch.doc_ids[batch.doc]
@@ -126,11 +126,8 @@ def judged(batch: Batch, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> t
         own = ids[member[equal]]
         low = _lowest(own, named)
         later = member[equal[own > low]]
-        found.append((batch.doc[later], batch.first[later], batch.first[later] + batch.windows[later] + window - 1))
-        order = np.lexsort((own, named))
-        head = np.r_[True, named[order][1:] != named[order][:-1]]
-        alone[equal] = False
-        alone[equal[order[head]]] = True
+        found.append((later, np.zeros(len(later), np.int64), batch.windows[later] + window - 1))
+        alone[equal[own > low]] = False
     member, group = member[alone], group[alone]
     # What is left differs somewhere: its strings are sorted one by one, among those with the same anchor and place.
     order, group = _together(np.argsort(group, kind="stable"), np.sort(group, kind="stable"))
@@ -145,8 +142,7 @@ def judged(batch: Batch, window: int = WINDOW_BYTES, k: int = ANCHOR_BYTES) -> t
         if len(inside):
             own = ids[piece[inside]]
             hit = inside[own > _lowest(own, named)]
-            begin = batch.first[piece[hit]] + shift[hit]
-            found.append((batch.doc[piece[hit]], begin, begin + window))
+            found.append((piece[hit], shift[hit], shift[hit] + window))
     if not found:
         return zero[:0], zero[:0], zero[:0]
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))

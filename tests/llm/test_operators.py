@@ -9,6 +9,7 @@ import re
 import tracemalloc
 from collections import Counter
 from datetime import datetime
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -172,6 +173,48 @@ def test_windows_beyond_the_usual_depth(spark, awkward, window):
         substring_dedup.without_repeats(table(spark, rows), 300)
 
 
+@pytest.mark.parametrize("several_flushes", [False, True])
+def test_repeats_that_stand_twice_in_a_document(spark, monkeypatch, several_flushes):
+    """A line that a document repeats is a repeat at each of its places: found whole or in part, in the same task or another."""
+    if several_flushes:
+        monkeypatch.setattr(pieces, "FLUSH_BYTES", 1)
+    rng = random.Random(4)
+    line, other = sentence(rng, 24), sentence(rng, 24)
+    part = " ".join(line.split()[4:20])
+    twice = " ".join([line, sentence(rng, 9), line, line, other])
+    rows = [(1, f"{sentence(rng, 8)} {part} {sentence(rng, 8)}"), (2, f"{other} {other}"), (3, twice), (4, twice), (5, f"{twice} {twice}"),
+            (5, f"{line} {line} {line} {other}"), (6, "short")]
+    judges = ((suffix_dedup.Bytes(), suffix_dedup.judged, lambda t: list(t.encode()), 50),
+              (substring_dedup.WordTokens(), substring_dedup.judged, lambda t: t.encode().split(), 13))
+    for tokens, judge, split, window in judges:
+        held = SimpleNamespace(value=pieces.Routes(5, np.zeros(0, np.uint64), np.zeros(0, "S16")))
+        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array(range(len(rows)))],
+                                           ["doc_id", "text", "text_hash"])
+        sent = pa.Table.from_batches(pieces._sender(tokens, held)(iter([batch.slice(i, 1) for i in range(len(rows))])))
+        got = {}
+        for found in pieces._judge(judge)(iter(sent.sort_by("bucket").to_batches())):
+            for row in found.to_pylist():
+                got.setdefault(row["text_hash"], []).append(row["spans"])
+        for i, (listed, gone) in enumerate(removed(rows, split, window)):
+            marked = np.zeros(len(listed), bool)
+            for start, end in zip(*suffix_dedup.merged(got.get(i)), strict=True):
+                marked[start:end] = True
+            assert marked.tolist() == gone.tolist(), (i, window)
+    if not several_flushes:
+        got = sorted((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.without_repeats(table(spark, rows)).collect())
+        assert got == sorted((r[0], len(d), int(g.sum())) for r, (d, g) in zip(
+            rows, removed(rows, lambda t: list(t.encode()), 50), strict=True))
+        got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.without_repeats(table(spark, rows)).collect())
+        assert got == sorted((r[0], len(d), int(g.sum())) for r, (d, g) in zip(
+            rows, removed(rows, lambda t: t.encode().split(), 13), strict=True))
+
+
+@pytest.mark.parametrize("operator", [suffix_dedup, substring_dedup])
+def test_texts_below_a_window_only(spark, operator):
+    rows = [(1, "short"), (2, None), (3, "short")]
+    assert [r.n_removed for r in operator.without_repeats(table(spark, rows)).collect()] == [0, 0, 0]
+
+
 def test_fm_index_counts():
     rng = np.random.default_rng(2)
     text = np.r_[rng.integers(1, 7, 3000), 0]
