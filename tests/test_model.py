@@ -74,6 +74,35 @@ def test_grids():
     assert len(strength_model.search_grid(forest, fv.GRID_V2)) == 2 * 2 * 4 * 5 * 2
 
 
+def test_forests_keep_node_ids_and_grow_one_at_a_time(planted, monkeypatch):
+    """Trees are not sent to every task in every pass, and the driver holds one growing forest."""
+    seen = []
+
+    class Search(strength_model.CrossValidator):
+        def fit(self, rows):
+            seen.append((self.getParallelism(), self.getEstimator().getCacheNodeIds()))
+            raise StopIteration
+
+    monkeypatch.setattr(strength_model, "CrossValidator", Search)
+    rows = strength_model.training_rows(planted, AS_OF, 90)
+    columns = strength_model.feature_columns(rows)
+    with pytest.raises(StopIteration):
+        strength_model.grid_search(rows, columns, GRID, 2)
+    assert seen == [(1, True)]
+    best, _ = strength_model.one_forest(rows, columns)
+    assert best.stages[-1].getCacheNodeIds()
+
+
+def test_node_ids_change_no_tree(planted):
+    columns = strength_model.feature_columns(planted)
+    trees = []
+    for kept in (False, True):
+        grown = strength_model.forest(numTrees=4, maxDepth=8, seed=3).setCacheNodeIds(kept)
+        fitted = strength_model.classifier_pipeline(planted, columns, grown).fit(planted).stages[-1]
+        trees.append([tree.toDebugString.split("\n", 1)[1] for tree in fitted.trees])
+    assert trees[0] == trees[1]
+
+
 def test_empty_features_are_dropped(planted):
     kept = features.drop_empty_features(planted, ("suspect_id",))
     assert "never" not in kept.columns and "flag_a" in kept.columns
