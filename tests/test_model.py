@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
 from casewright.operators import features, strength_model, vocabulary
+from casewright.plans import registry
 from casewright.session import cut_lineage, scratch_path
 from casewright.sources import sinks, tables
 
@@ -103,6 +104,15 @@ def test_node_ids_change_no_tree(planted):
     assert trees[0] == trees[1]
 
 
+def test_training_reads_written_features(spark, monkeypatch):
+    """The feature rows of ``s11`` are made once, not again for every pass over them."""
+    trained = []
+    real = registry.one_forest
+    monkeypatch.setattr(registry, "one_forest", lambda b, rows: trained.append(rows) or real(b, rows))
+    registry.QUERIES["s11_training_columns"](spark, "/root/testdata/sf0.001")
+    assert all("casewright-" in path for path in trained[0].inputFiles())
+
+
 def test_empty_features_are_dropped(planted):
     kept = features.drop_empty_features(planted, ("suspect_id",))
     assert "never" not in kept.columns and "flag_a" in kept.columns
