@@ -9,8 +9,9 @@ window of the bucket are in the bucket.
 Before pieces move, equal pieces of one task are combined: the one of the smallest document is sent, those of other
 documents are known to be repeats, and further ones of the same document travel as places only (twins), which share
 what is found for the piece. An anchor that is very frequent in a sample of the texts (a passage that a large part of all
-documents share) is not a bucket of its own: its windows are sent one by one, each to the bucket of its hash. The
-sample decides only where pieces go, never what is found.
+documents share) is not a bucket of its own: its windows are sent one by one, each to the bucket of its hash; its pieces
+are combined before they are split, so copies of a passage take no memory by the window. The sample decides only where
+pieces go, never what is found.
 """
 
 from __future__ import annotations
@@ -29,11 +30,15 @@ from casewright.llm.common import text_bytes
 from casewright.llm.words import mixed
 
 FLUSH_BYTES = 12 << 20
+#: Texts of one repeated word have a piece at each token.
+FLUSH_PIECES = 2 << 20
 STRETCH_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 #: Rows sampled to place splitters and to find very frequent anchors.
 SAMPLE_ROWS = 4000
 HITS = -1
+#: The mark of pieces that are sent window by window.
+SPLIT = -2
 LEVEL = 3
 LOW32 = np.uint64(0xFFFFFFFF)
 
@@ -208,30 +213,44 @@ class Tokens:
         raise NotImplementedError
 
 
+def _cover(tokens: Tokens, gram: np.ndarray, first: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """A hash of all the content of pieces: anchors-sized grams that cover them."""
+    cover = mixed(gram[first] + windows.astype(np.uint64))
+    last = first + windows + tokens.window - 1 - tokens.k
+    for step in range(tokens.k, 2 * tokens.window, tokens.k):
+        cover = mixed(cover * np.uint64(3) + gram[np.minimum(first + step, last)])
+    return cover
+
+
 def _cut(tokens: Tokens, routes: Routes, data: np.ndarray, offsets: np.ndarray, base: int) -> dict[str, np.ndarray]:
     """The pieces of a stretch of whole texts; ``base`` is the number of its first document."""
     data, bounds, gram, byte_range = tokens.read(data, offsets)
     runs = anchored_runs(gram, bounds, tokens.window, tokens.k)
     first, windows, anchor = runs.first, runs.windows, runs.anchor
-    common = np.isin(gram[anchor], routes.frequent) if len(routes.frequent) else np.zeros(len(anchor), bool)
-    if common.any():  # one piece for each window
-        single = ragged(first[common], windows[common])
-        anchor = np.r_[anchor[~common], np.repeat(anchor[common], windows[common])]
-        first, windows = np.r_[first[~common], single], np.r_[windows[~common], np.ones(len(single), np.int64)]
-    plain = int((~common).sum())
     starts, ends = byte_range(first, first + windows + tokens.window - 1)
     doc = np.searchsorted(bounds, first, side="right") - 1
-    # A hash of all the content: anchors-sized grams that cover the piece.
-    cover = mixed(gram[first] + windows.astype(np.uint64))
-    last = first + windows + tokens.window - 1 - tokens.k
-    for step in range(tokens.k, 2 * tokens.window, tokens.k):
-        cover = mixed(cover * np.uint64(3) + gram[np.minimum(first + step, last)])
     at, _ = byte_range(anchor, anchor + 1)
     bucket = tokens.bucket(gram[anchor], data, at, routes)
-    if plain < len(bucket):
-        bucket[plain:] = (cover[plain:] % np.uint64(routes.buckets)).astype(np.int64)
-    return {"starts": starts, "lengths": ends - starts, "left": anchor - first, "windows": windows,
-            "first": first - bounds[doc], "doc": doc + base, "cover": cover, "bucket": bucket, "data": data}
+    bucket[np.isin(gram[anchor], routes.frequent)] = SPLIT
+    small = {"lengths": ends - starts, "left": anchor - first, "windows": windows, "first": first - bounds[doc], "doc": doc + base,
+             "bucket": bucket}
+    return {"starts": starts, "cover": _cover(tokens, gram, first, windows), "data": data,
+            **{name: column.astype(np.int32) for name, column in small.items()}}
+
+
+def _windows(tokens: Tokens, routes: Routes, data: np.ndarray, piece: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Each window of the pieces as a piece of its own, in order, in the bucket of its hash."""
+    before = np.cumsum(np.r_[0, piece["lengths"]])
+    _, bounds, gram, byte_range = tokens.read(data[ragged(piece["starts"], piece["lengths"])], before)
+    of = np.repeat(np.arange(len(piece["windows"])), piece["windows"])
+    shift = ragged(np.zeros(len(piece["windows"]), np.int64), piece["windows"])
+    first = bounds[of] + shift
+    low, high = byte_range(first, first + tokens.window)
+    cover = _cover(tokens, gram, first, np.ones(len(first), np.int64))
+    small = {"lengths": high - low, "left": piece["left"][of] - shift, "windows": np.ones(len(first)), "first": piece["first"][of] + shift,
+             "doc": piece["doc"][of], "bucket": cover % np.uint64(routes.buckets)}
+    return {"starts": piece["starts"][of] + low - before[of], "cover": cover,
+            **{name: column.astype(np.int32) for name, column in small.items()}}
 
 
 def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -246,42 +265,81 @@ def _same(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -
     return out
 
 
-def _flush(tokens: Tokens, cut: list[dict[str, np.ndarray]], ids: np.ndarray, hashes: np.ndarray) -> Iterator[
+def _equal(data: np.ndarray, piece: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces equal to one that stays, the one that stays: of the smallest id)."""
+    n = len(piece["starts"])
+    order = np.lexsort((ids[piece["doc"]], piece["cover"]))
+    cover = piece["cover"][order]
+    head = np.maximum.accumulate(np.where(np.r_[True, cover[1:] != cover[:-1]], np.arange(n), 0))
+    other = np.flatnonzero(head != np.arange(n))
+    mine, model = order[other], order[head[other]]
+    for name in ("lengths", "left"):
+        same = piece[name][mine] == piece[name][model]
+        mine, model = mine[same], model[same]
+    same = _same(data, piece["starts"][mine], piece["starts"][model], piece["lengths"][mine])
+    return mine[same], model[same]
+
+
+def _flush(tokens: Tokens, routes: Routes, cut: list[dict[str, np.ndarray]], ids: np.ndarray, hashes: np.ndarray) -> Iterator[
         tuple[int, int, int, bytes]]:
-    """Rows (bucket, doc_id, text_hash, bytes): packed pieces by bucket, and hits found within the flush."""
+    """Rows (bucket, doc_id, text_hash, bytes): packed pieces by bucket, and hits found within the flush. Empties ``cut``."""
     sizes = np.cumsum([0, *[len(c["data"]) for c in cut]])
     data = np.concatenate([c["data"] for c in cut])
     col = {k: np.concatenate([c[k] for c in cut]) for k in cut[0] if k != "data"}
     col["starts"] = np.concatenate([c["starts"] + s for c, s in zip(cut, sizes, strict=False)])
-    n = len(col["starts"])
-    if not n:  # no text of the flush holds a window
+    cut.clear()
+    if not len(col["starts"]):  # no text of the flush holds a window
         return
-    order = np.lexsort((ids[col["doc"]], col["cover"]))
-    cover = col["cover"][order]
-    head = np.maximum.accumulate(np.where(np.r_[True, cover[1:] != cover[:-1]], np.arange(n), 0))
-    other = np.flatnonzero(head != np.arange(n))
-    mine, model = order[other], order[head[other]]
-    equal = (col["lengths"][mine] == col["lengths"][model]) & (col["left"][mine] == col["left"][model])
-    mine, model = mine[equal], model[equal]
-    equal = _same(data, col["starts"][mine], col["starts"][model], col["lengths"][mine])
-    mine, model = mine[equal], model[equal]
-    stays = np.ones(n, bool)
-    stays[mine] = False
+    mine, model = _equal(data, col, ids)
     after = ids[col["doc"][mine]] > ids[col["doc"][model]]
     later = mine[after]
     first = col["first"][later]
-    for doc, text_hash, found in hit_rows(
-            col["doc"][later], first, first + col["windows"][later] + tokens.window - 1, ids, hashes):
-        yield HITS, doc, text_hash, found
-    at = np.flatnonzero(stays)
+    yield from ((HITS, *row) for row in hit_rows(
+        col["doc"][later], first, first + col["windows"][later] + tokens.window - 1, ids, hashes))
+    # Equal pieces under the model's own id are no repeats of it, but share its repeats: they go along as places.
+    twin, twin_of = mine[~after], model[~after]
+    twin_first, twin_doc = col["first"][twin], col["doc"][twin]
+    stays = np.ones(len(col["starts"]), bool)
+    stays[mine] = False
+    split = stays & (col["bucket"] == SPLIT)
+    if split.any():  # equal pieces are combined before, and equal windows of what is left after
+        whole, parted = np.flatnonzero(stays & ~split), np.flatnonzero(split)
+        place = np.zeros(len(stays), np.int64)
+        place[whole] = np.arange(len(whole))
+        place[parted] = np.cumsum(np.r_[0, col["windows"][parted]])[:-1]
+        single = _windows(tokens, routes, data, {k: v[parted] for k, v in col.items()})
+        mine, model = _equal(data, single, ids)
+        stands = np.arange(len(single["starts"]))
+        stands[mine] = model
+        is_later = ids[single["doc"]] > ids[single["doc"][stands]]
+        is_twin = (stands != np.arange(len(stands))) & ~is_later
+        # The windows of twins of split pieces, and what each is equal to.
+        of_split = split[twin_of]
+        count = col["windows"][twin[of_split]]
+        shift = ragged(np.zeros(len(count), np.int64), count)
+        own = np.repeat(place[twin_of[of_split]], count) + shift
+        own_first = np.repeat(twin_first[of_split], count) + shift
+        own_doc = np.repeat(twin_doc[of_split], count)
+        gone = is_later[own]
+        doc, first = np.r_[single["doc"][is_later], own_doc[gone]], np.r_[single["first"][is_later], own_first[gone]]
+        yield from ((HITS, *row) for row in hit_rows(doc, first, first + tokens.window, ids, hashes))
+        alone = np.flatnonzero(stands == np.arange(len(stands)))
+        new = np.zeros(len(stands), np.int64)
+        new[alone] = len(whole) + np.arange(len(alone))
+        twin_of = np.r_[place[twin_of[~of_split]], new[stands[is_twin]], new[stands[own[~gone]]]]
+        twin_first = np.r_[twin_first[~of_split], single["first"][is_twin], own_first[~gone]]
+        twin_doc = np.r_[twin_doc[~of_split], single["doc"][is_twin], own_doc[~gone]]
+        col = {k: np.concatenate([v[whole], single[k][alone]]) for k, v in col.items()}
+        at = np.arange(len(col["starts"]))
+    else:
+        at = np.flatnonzero(stays)
     at = at[np.argsort(col["bucket"][at], kind="stable")]
     buckets = col["bucket"][at]
-    # Equal pieces under the model's own id are no repeats of it, but share its repeats: they go along as places.
-    place = np.zeros(n, np.int64)
+    place = np.zeros(len(col["starts"]), np.int64)
     place[at] = np.arange(len(at))
-    twin, twin_of = mine[~after], place[model[~after]]
+    twin_of = place[twin_of]
     order = np.argsort(twin_of, kind="stable")
-    twin, twin_of = twin[order], twin_of[order]
+    twin_of, twin_first, twin_doc = twin_of[order], twin_first[order], twin_doc[order]
     heads = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
     for lo, hi in zip(heads, [*heads[1:], len(at)], strict=True):
         part = at[lo:hi]
@@ -289,8 +347,7 @@ def _flush(tokens: Tokens, cut: list[dict[str, np.ndarray]], ids: np.ndarray, ha
         own = slice(*np.searchsorted(twin_of, [lo, hi]).tolist())
         yield int(buckets[lo]), 0, 0, packed(Batch(
             data[ragged(col["starts"][part], lengths)], lengths, col["left"][part], col["windows"][part],
-            col["first"][part], col["doc"][part], ids, hashes,
-            twin_of[own] - lo, col["first"][twin[own]], col["doc"][twin[own]]))
+            col["first"][part], col["doc"][part], ids, hashes, twin_of[own] - lo, twin_first[own], twin_doc[own]))
 
 
 _SENT = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("data", pa.binary())])
@@ -325,7 +382,7 @@ def _sender(tokens: Tokens, held) -> Callable:
         cut: list[dict] = []
         ids: list[np.ndarray] = []
         hashes: list[np.ndarray] = []
-        docs = size = 0
+        docs = size = n_pieces = 0
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for first, last in _stretches(offsets):
@@ -335,11 +392,12 @@ def _sender(tokens: Tokens, held) -> Callable:
                 hashes.append(batch.column(2)[first:last].to_numpy(zero_copy_only=False))
                 docs += last - first
                 size += int(here[-1] - here[0])
-                if size >= FLUSH_BYTES:
-                    yield from _flush(tokens, cut, np.concatenate(ids), np.concatenate(hashes))
-                    cut, ids, hashes, docs, size = [], [], [], 0, 0
+                n_pieces += len(cut[-1]["starts"])
+                if size >= FLUSH_BYTES or n_pieces >= FLUSH_PIECES:
+                    yield from _flush(tokens, routes, cut, np.concatenate(ids), np.concatenate(hashes))
+                    cut, ids, hashes, docs, size, n_pieces = [], [], [], 0, 0, 0
         if cut:
-            yield from _flush(tokens, cut, np.concatenate(ids), np.concatenate(hashes))
+            yield from _flush(tokens, routes, cut, np.concatenate(ids), np.concatenate(hashes))
 
     return lambda batches: _batches(rows(batches), _SENT)
 

@@ -209,6 +209,33 @@ def test_repeats_that_stand_twice_in_a_document(spark, monkeypatch, several_flus
             rows, removed(rows, lambda t: t.encode().split(), 13), strict=True))
 
 
+def test_copies_are_combined_before_they_are_split():
+    """Windows of frequent anchors are dealt out one by one, but not those of every copy."""
+    rng = random.Random(8)
+    passage, line = sentence(rng, 60), sentence(rng, 20)
+    rows = [(i // 2, f"{passage} {line} {sentence(rng, i % 3)} {line}") for i in range(60)]
+    for tokens, judge, split, window in ((suffix_dedup.Bytes(), suffix_dedup.judged, lambda t: list(t.encode()), 50),
+                                         (substring_dedup.WordTokens(), substring_dedup.judged, lambda t: t.encode().split(), 13)):
+        data, offsets = text_bytes(pa.array([t for _, t in rows]))
+        gram = tokens.read(data, offsets)[2]
+        routes = pieces.Routes(5, np.unique(gram), np.zeros(0, "S16"))
+        cut = pieces._cut(tokens, routes, data, offsets, 0)
+        assert 2 * len(cut["starts"]) < int(cut["windows"].sum())
+        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array(range(len(rows)))],
+                                           ["doc_id", "text", "text_hash"])
+        sent = pa.Table.from_batches(pieces._sender(tokens, SimpleNamespace(value=routes))(iter([batch])))
+        assert {r["bucket"] for r in sent.to_pylist()} == {pieces.HITS, *range(5)}
+        got = {}
+        for found in pieces._judge(judge)(iter(sent.sort_by("bucket").to_batches())):
+            for row in found.to_pylist():
+                got.setdefault(row["text_hash"], []).append(row["spans"])
+        for i, (listed, gone) in enumerate(removed(rows, split, window)):
+            marked = np.zeros(len(listed), bool)
+            for start, end in zip(*suffix_dedup.merged(got.get(i)), strict=True):
+                marked[start:end] = True
+            assert marked.tolist() == gone.tolist(), (i, window)
+
+
 @pytest.mark.parametrize("operator", [suffix_dedup, substring_dedup])
 def test_texts_below_a_window_only(spark, operator):
     rows = [(1, "short"), (2, None), (3, "short")]
