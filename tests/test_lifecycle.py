@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from casewright import fixed_values as fv
 from casewright.operators import aggregates, dedup, joins, lifecycle, people, ranking, unions
 from casewright.operators.lifecycle import EntityGroup
+from casewright.plans import registry
 from casewright.session import scratch_path
 from casewright.sources import backups, relational, sheets
 
@@ -224,3 +226,31 @@ def test_jdbc_options():
     assert split["dbtable"].startswith("(select id from t)") and split["numPartitions"] == "4"
     with pytest.raises(ValueError):
         relational.jdbc_options("jdbc:x", "select 1", "id")
+
+
+def test_closing_writes_down_what_the_groups_read(monkeypatch):
+    """Not the 60 columns of the forms, and the new rows of suspects and police once."""
+    written = {}
+
+    class Table:
+        def __init__(self, *columns):
+            self.columns = columns
+
+        def select(self, *columns):
+            return Table(*columns)
+
+        def filter(self, condition):
+            return self
+
+    def settle(name, df):
+        written.setdefault(name, []).append(df.columns)
+        return df
+
+    monkeypatch.setattr(registry, "settle_on", lambda spark: settle)
+    monkeypatch.setattr(registry, "noted_forms", lambda b: Table(*map(str, range(60))))
+    monkeypatch.setattr(registry, "new_victims", lambda b: None)
+    monkeypatch.setattr(registry, "F", SimpleNamespace(col=str))
+    monkeypatch.setattr(people, "suspect_rows", lambda forms: Table("suspect_id"))
+    monkeypatch.setattr(registry.runs, "entity_groups", lambda b, suspects, victims: ())
+    assert registry.closed_groups(SimpleNamespace(spark=None)) == []
+    assert len(written["forms"]) == len(written["new-suspects"]) == 1 and len(written["forms"][0]) < 15
