@@ -202,6 +202,25 @@ def test_backup_touches_its_own_day_only(spark):
         backups.back_up({"t": one}, root, dt.date(2001, 8, 1))
 
 
+def test_backups_move_only_what_changes(spark, monkeypatch):
+    root = scratch_path(spark, "backups")
+    rows = [("a", "x")] * 3 + [("b", None), ("c", ""), ("c", "")]
+    tab = lambda rows: spark.createDataFrame(rows, "k string, v string")
+    read = lambda day: backups.read(spark, root, "t", dt.date(2001, 8, day))
+    days = {1: rows, 2: [*rows, ("d", "y"), ("d", "y")], 4: [("a", "x"), ("b", ""), ("c", ""), ("c", ""), ("d", "y")], 5: []}
+    for day in (1, 2):
+        backups.back_up({"t": tab(days[day])}, root, dt.date(2001, 8, day))
+    assert "Exchange" not in read(2)._jdf.queryExecution().executedPlan().toString()
+    with monkeypatch.context() as patch:
+        patch.setattr(backups, "settle", lambda name, df: pytest.fail("an unchanged tab was written"))
+        manifest = backups.back_up({"t": tab(days[2])}, root, dt.date(2001, 8, 3))
+    assert manifest.tables["t/2001-08-03/added"] == manifest.tables["t/2001-08-03/removed"] == ()
+    for day in (4, 5):
+        backups.back_up({"t": tab(days[day])}, root, dt.date(2001, 8, day))
+    for day, expected in {**days, 3: days[2]}.items():
+        assert sorted(map(tuple, read(day).collect()), key=repr) == sorted(expected, key=repr)
+
+
 def test_backups_rebuild_every_date_from_changes(spark, monkeypatch):
     monkeypatch.setattr(backups, "FULL_EVERY", 3)
     root, rng = scratch_path(spark, "backup"), random.Random(1)
