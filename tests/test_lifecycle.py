@@ -238,6 +238,13 @@ def test_backups_rebuild_every_date_from_changes(spark, monkeypatch):
     assert {k.split("/")[1] for k in manifest.tables if k.startswith("t/") and k.endswith("full")} == {"2001-08-01", "2001-08-04", "2001-08-07"}
 
 
+def test_combining_reads_each_table_once(spark):
+    one = group(spark, "suspects", [("K1", "s1", "typed", "", ""), ("K1", "s1", "zzz", "", "")], [("K1", "s1", "new", "", ""), ("K2", "s2", "new", "", "")])
+    active = lifecycle.combine(one).active
+    assert sorted((r.suspect_id, r.name) for r in active.collect()) == [("s1", "typed"), ("s2", "new")]
+    assert active._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
 def test_jdbc_options():
     plain = relational.jdbc_options("jdbc:x", "select 1", user="u")
     assert plain["query"] == "select 1" and plain["user"] == "u"
