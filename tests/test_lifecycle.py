@@ -238,6 +238,22 @@ def test_backups_rebuild_every_date_from_changes(spark, monkeypatch):
     assert {k.split("/")[1] for k in manifest.tables if k.startswith("t/") and k.endswith("full")} == {"2001-08-01", "2001-08-04", "2001-08-07"}
 
 
+def test_chosen_boxes_give_the_older_forms(spark):
+    """Also for repeated forms, forms without a date or a number, and boxes without one."""
+    days = [dt.date(2001, 1, 1), dt.date(2001, 2, 1), None]
+    forms = spark.createDataFrame(
+        [(n % 9, None if n == 4 else f"N01000000{n % 3}{'AB'[n % 2]}", days[n % 3], ["Primary", None][n % 2], n % 9 > 4, "x") for n in range(12)],
+        "id long, cif_number string, interview_date date, education string, flag boolean, staff_name string")
+    forms = forms.union(forms.limit(3))
+    boxes = spark.createDataFrame([(n % 10, n, [1, 2, None][n % 3]) for n in range(40)], "cif_id long, person_id long, pb_number int")
+    old = people.suspect_forms_v2(forms.join(boxes, forms["id"] == boxes["cif_id"]))
+    chosen = people.suspect_boxes_v2(forms, boxes)
+    new = people.forms_of_boxes_v2(forms, chosen)
+    assert new.columns == old.columns and "flag" not in chosen.columns
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+    assert rows(new) == rows(old) != []
+
+
 def test_combining_reads_each_table_once(spark):
     one = group(spark, "suspects", [("K1", "s1", "typed", "", ""), ("K1", "s1", "zzz", "", "")], [("K1", "s1", "new", "", ""), ("K2", "s2", "new", "", "")])
     active = lifecycle.combine(one).active
