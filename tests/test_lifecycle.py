@@ -296,3 +296,41 @@ def test_closing_writes_down_what_the_groups_read(monkeypatch):
     monkeypatch.setattr(registry.runs, "entity_groups", lambda b, suspects, victims: ())
     assert registry.closed_groups(SimpleNamespace(spark=None)) == []
     assert len(written["forms"]) == len(written["new-suspects"]) == 1 and len(written["forms"][0]) < 15
+
+
+def test_tables_of_one_key_shuffle_the_rows_once(spark):
+    rows = frame(spark, [("K1", "s1"), ("K2", "s2"), ("", "s3"), (None, "s4")], ("case_id", "suspect_id"))
+    one = frame(spark, [("K1", "a"), ("", "b"), (None, "c")], ("case_id", "x"))
+    two = frame(spark, [("K1", "d"), ("K2", "e"), (" ", "f")], ("irf_number", "y"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in zip(kept, ("-1", "false"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        both = joins.attach_all(rows, [(one, "case_id"), (two, "irf_number")], "case_id", "suspect_id")
+        assert both._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+        assert sorted(tuple(r) for r in both.select("suspect_id", "x", "y").collect()) == [
+            ("s1", "a", "d"), ("s2", None, "e"), ("s3", None, None), ("s4", None, None)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_closing_with_notes_writes_each_list_twice(spark):
+    """Active and judged; what stays and goes is read from the latter, notes come along, and no id is closed twice."""
+    columns = (*COLUMNS, "irf_case_notes")
+    wide = lambda *rows: [(*r, "typed") for r in rows]
+    suspects = group(spark, "suspects", wide(("K1", "s1", "", "", ""), ("K2", "s2", "", "", ""), ("K2", "s2", "", "", "")),
+                     wide(("K1", "s4", "", "", "")), wide(("K9", "s9", "", "", ""), ("", "s8", "", "", "")), columns)
+    police = group(spark, "police", wide(("K1", "s1", "", "", ""), ("K2", "s2", "", "", "07/01/2001")), (), (), columns)
+    victims = group(spark, "victims", wide(("K1", "v1", "", "", ""), ("K2", "v2", "", "", "")),
+                    columns=("case_id", "victim_id", *columns[2:]))
+    notes = frame(spark, [("K1", "b"), ("K1", "a"), ("K2", "c"), (None, "d")], ("irf_number", "case_notes"))
+    arrested = frame(spark, [("s4",)], ("suspect_id",))
+    written = []
+    done = registry.runs.merge_and_close((suspects, police, victims), arrested, notes, lambda name, df: written.append(name) or df)
+    lists = [(sorted((r[1], r.irf_case_notes) for r in g.active.collect()), sorted((r[1], r.irf_case_notes) for r in g.closed.collect()))
+             for g in done]
+    assert lists == [([("s1", "a")], [("s2", "c"), ("s4", "typed"), ("s9", "typed")]), ([("s1", "a")], [("s2", "typed")]),
+                     ([("v1", "a")], [("v2", "c")])]
+    assert sorted(written) == sorted(["cases-present", *[f"{n}-{step}" for n in ("suspects", "police", "victims")
+                                                         for step in ("closed", "active", "judged")]])
