@@ -28,12 +28,15 @@ def attach(left: DataFrame, right: DataFrame, key: str, uid: str,
 
 
 def attach_all(left: DataFrame, rights: list[tuple[DataFrame, str]], key: str, uid: str) -> DataFrame:
-    """``attach`` for several tables, given with the name of their key, on one key of ``left``: its rows are shuffled once for all."""
+    """``attach`` for several tables, given with the name of their key, on one key of ``left``: its rows are shuffled once for all.
+
+    No key of ``left`` is blank (``spread_key``), so the tables are not searched for blank ones: Spark would do that below their
+    own joins, on every row they are made of, and work the key out again each time.
+    """
     out = left.withColumn("_left_key", spread_key(key, uid))
     for right, right_key in rights:
         values = [c for c in right.columns if c != right_key]
-        keyed = right.filter(F.length(F.trim(right_key)) > 0)
-        keyed = keyed.select(F.col(right_key).alias("_right_key"), *values)
+        keyed = right.select(F.col(right_key).alias("_right_key"), *values)
         out = out.join(keyed, F.col("_left_key") == F.col("_right_key"), "left").drop("_right_key")
     return out.drop("_left_key")
 

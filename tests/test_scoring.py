@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from casewright import fixed_values as fv
 from casewright.config import NetworkWeights, Settings
-from casewright.operators import scoring
+from casewright.operators import joins, scoring
+from casewright.session import RECOMMENDED_CONF
 
 S = Settings(as_of=dt.date(2001, 8, 1), country="ASIA")
 
@@ -121,3 +122,21 @@ def test_weights_from_table(spark):
     assert scoring.weights_from_table(table, ("a", "b", "c")) == {"a": 2.0, "b": 0.0}
     with pytest.raises(ValueError):
         replace(S, solvability_weights={"a": 1.0})
+
+
+def test_blank_keys_are_not_searched_for_below_the_joins(spark):
+    """A filter on the case or suspect of a form would be worked out on every row that the forms are made of."""
+    forms = spark.createDataFrame([("K1A", "K1.PB1", 1), ("A", "", 1), (" A", None, 1), (None, " ", 1), ("K1B", "K1.PB1", 2)],
+                                  "cif_number string, suspect_id string, arrest int").withColumn("interview_date", F.lit("2001-07-30").cast("date"))
+    measures, known = scoring.case_measures(S, forms=forms), scoring.suspect_measures(forms)
+    assert [(r.case_id, r.others_arrested) for r in measures.collect()] == [("K1", 3)]
+    suspects = spark.createDataFrame([("K1", "K1.PB1"), ("", ""), (" ", " "), (None, None)], "case_id string, suspect_id string")
+    scored = joins.attach(joins.attach(suspects, measures, "case_id", "suspect_id"), known, "suspect_id", "suspect_id")
+    plan = scored._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "Filter" in line and "trim(" in line]
+    assert sorted((repr(r.suspect_id), r.others_arrested, r.arrest) for r in scored.collect()) == [
+        ("' '", None, None), ("''", None, None), ("'K1.PB1'", 3, 1), ("None", None, None)]
+
+
+def test_sessions_hash_joins_whose_small_side_is_small():
+    assert RECOMMENDED_CONF["spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"] == "64MB"
