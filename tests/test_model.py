@@ -62,6 +62,35 @@ def test_train_save_load_predict(spark, planted):
     assert fewer.count() == 900
 
 
+def test_forests_are_saved_tree_by_tree(spark, planted, monkeypatch):
+    """Never the nodes of all trees at once on the driver; what is read back is the same forest, parameters and all."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import RandomForestClassificationModel
+    path = scratch_path(spark, "model")
+    model = strength_model.train(planted, AS_OF, 90, grid=GRID, folds=2)
+    forest = model.pipeline.stages[-1]
+    with monkeypatch.context() as m:
+        m.setattr(RandomForestClassificationModel, "write", lambda self: pytest.fail("the whole forest was written at once"))
+        manifest = strength_model.save(spark, model, path)
+    folder = f"{path}/{manifest.tables['model'][0]}"
+    assert not any("RandomForest" in s.uid for s in PipelineModel.load(f"{folder}/pipeline").stages)
+    loaded = strength_model.load(spark, path).pipeline.stages[-1]
+    assert [t.toDebugString.split("\n", 1)[1] for t in loaded.trees] == [t.toDebugString.split("\n", 1)[1] for t in forest.trees]
+    assert loaded.featureImportances == forest.featureImportances
+    assert {p.name: loaded.getOrDefault(p) for p in loaded.params if loaded.isSet(p)} == {
+        p.name: forest.getOrDefault(p) for p in forest.params if forest.isSet(p)}
+
+
+def test_models_of_other_classifiers_and_of_older_layout_load(spark, planted):
+    from pyspark.ml.classification import LogisticRegression
+    path = scratch_path(spark, "model")
+    rows = strength_model.with_part(planted)
+    plain = strength_model.classifier_pipeline(rows, ["flag_a", "flag_b"], LogisticRegression(labelCol="arrest", maxIter=3)).fit(rows)
+    strength_model.save(spark, strength_model.StrengthModel(plain, ["flag_a", "flag_b"], {}), path)
+    scored = strength_model.predict(planted, strength_model.load(spark, path))
+    assert scored.filter("soc between 0 and 1").count() == 900
+
+
 def test_one_class_is_refused(planted):
     with pytest.raises(ValueError):
         strength_model.with_balanced_weight(planted.filter("arrest = 0"))
