@@ -91,6 +91,23 @@ def test_models_of_other_classifiers_and_of_older_layout_load(spark, planted):
     assert scored.filter("soc between 0 and 1").count() == 900
 
 
+def test_searches_go_by_rows_cores_and_heap(planted, monkeypatch):
+    """Few rows are not dealt to many tasks, and the cores left over grow further forests if the driver has room for them."""
+    gb = 1 << 30
+    assert strength_model.search_tasks(250_000, 1_850_000, 6, 3 * gb) == (2, 3)
+    assert strength_model.search_tasks(250_000, 1_850_000, 6, 3 * gb // 4) == (2, 1)
+    assert strength_model.search_tasks(2_500_000, 18_500_000, 12, 30 * gb) == (13, 1)
+    assert strength_model.search_tasks(0, 0, 8, gb) == (1, 8)
+    seen, fit = [], strength_model.CrossValidator.fit
+    monkeypatch.setattr(strength_model.CrossValidator, "fit", lambda self, vectors: (
+        seen.append((vectors.rdd.getNumPartitions(), self.getParallelism() > 1)), fit(self, vectors))[1])
+    rows = planted.repartition(5)
+    strength_model.grid_search(rows, ["flag_a", "flag_b"], GRID, 2)
+    monkeypatch.setattr(strength_model, "TASK_ROWS", 300)
+    strength_model.grid_search(rows, ["flag_a", "flag_b"], GRID, 2, parallelism=1)
+    assert seen == [(1, True), (3, False)]
+
+
 def test_one_class_is_refused(planted):
     with pytest.raises(ValueError):
         strength_model.with_balanced_weight(planted.filter("arrest = 0"))
