@@ -1,13 +1,16 @@
 """A day's run from workbook to published tabs, and what happens when it is ended half-way."""
 
+import os
+import time
 from dataclasses import replace
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from casewright.operators import features, graph, scoring
 from casewright.plans import daily, journal, registry
-from casewright.session import scratch_path
+from casewright.session import cut_lineage, scratch_path
 from casewright.sources import backups, generations, graph_store, sinks
 from casewright.sources.bindings import Bindings
 from casewright.streaming.link_intake import LINK_SCHEMA
@@ -108,3 +111,37 @@ def test_switches_reach_the_runs(spark):
     keys = {legacy: {r.case_id for r in scoring.case_measures(registry.PLAIN, forms=dotted, legacy_case_key=legacy).collect()}
             for legacy in (False, True)}
     assert keys[False] == {"X01"} != keys[True]
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """Else those of a whole day's run stay on disk together."""
+    df = spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    held, before = _shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    rows = cut_lineage(spark, "grouped", df)
+    until = time.time() + 20
+    while _shuffle_files(spark) - held and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - held
+    assert spark.conf.get(CLEANUP, None) == before
+    assert {(r.k, r["count"]) for r in rows.collect()} == {(r.k, r["count"]) for r in df.collect()}
+
+
+def test_days_run_without_keeping_shuffle_files(spark, monkeypatch):
+    seen, before = [], spark.conf.get(CLEANUP, None)
+
+    def act(tables, *rest):
+        seen.append(spark.conf.get(CLEANUP))
+        raise RuntimeError("ended")
+
+    monkeypatch.setattr(daily, "_run_day", act)
+    with pytest.raises(RuntimeError):
+        daily.run_day(SimpleNamespace(spark=spark), registry.SETTINGS, None, None)
+    assert seen == ["true"] and spark.conf.get(CLEANUP, None) == before
